@@ -1,13 +1,16 @@
-"""Numbers, scales and units written as text, as column expressions.
+"""Numbers, scales and units written as text.
 
-Everything here stays in the JVM: two anchored regular expressions per value and one
-lookup per unit against a literal table whose size is fixed by this module.
+Values are read a column at a time in Arrow's own kernels (no Python code per row); the
+unit tables are fixed by this module.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+import functools
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Physical units. dimension -> canonical unit -> (size in the dimension's base unit, spellings)
 UNITS: dict[str, dict[str, tuple[float, tuple[str, ...]]]] = {
@@ -91,16 +94,18 @@ PLACEHOLDERS = ("", "0", "-", "--", "---", "n/a", "na", "n.a.", "n.d.", "nd", "t
 SCALES = {"thousand": 1e3, "mil": 1e3, "tausend": 1e3, "mille": 1e3, "k": 1e3, "million": 1e6, "millones": 1e6, "millionen": 1e6, "millions": 1e6}
 NO_UNIT = ("", "-", "--", "n/a", "na", "none", "null", "?")
 
-_NUM = r"\d{1,3}(?: \d{3})+(?:[.,]\d+)?(?!\d)|\d+(?:[.,]\d+)*(?:e[+-]?\d+)?"
-_QUANTITY = rf"^[^\d]*?({_NUM})(?:\s*[-–—]\s*(?:{_NUM}))?\s*(?:(thousand|millionen|millions|million|millones|mille|mil|tausend)\b)?\s*([^(]*)"
-_FEET_INCHES = r"^[^\d]*(\d+)\s*(?:-?\s*ft|'|′)\s*-?\s*(\d+(?:\.\d+)?)\s*(?:-?\s*in\b|\"|″)"
-_ODD_SPACES = "[\\u00a0\\u2007\\u2009\\u202f\\u2002\\u2003\\t\\r\\n]"
+_NUM = r"\d{1,3}(?: \d{3})+(?:[.,]\d+)?|\d+(?:[.,]\d+)*(?:e[+-]?\d+)?"
+_QUANTITY = rf"^[^\d]*(?P<num>{_NUM})(?:\s*[-–—]\s*(?:{_NUM}))?\s*(?:(?P<scale>thousand|millionen|millions|million|millones|mille|mil|tausend)(?: +|$))?\s*(?P<unit>[^(]*)"
+_FEET_INCHES = r"^[^\d]*(?P<ft>\d+)\s*(?:-?\s*ft|'|′)\s*-?\s*(?P<in>\d+(?:\.\d+)?)\s*(?:-?\s*in\b|\"|″)"
+_ODD_SPACES = r"[\x{00a0}\x{2002}\x{2003}\x{2007}\x{2009}\x{202f}\t\r\n]"
 
-CANON_SCHEMA = "dimension string, spelling string, canonical string, base double"
+DIMENSIONS = list(UNITS)
+#: Most units in one dimension, and one state more for "a thousand times the common unit".
+STATES = max(len(u) for u in UNITS.values()) + 1
 
 
 def canonical(unit: str) -> tuple[str, str] | None:
-    """(dimension, canonical unit) of a catalogue unit."""
+    """(dimension, canonical unit) of a catalogue unit; None if unknown."""
     for dim, units in UNITS.items():
         for canon, (_, spellings) in units.items():
             if unit == canon or unit.strip().lower() in spellings:
@@ -108,58 +113,156 @@ def canonical(unit: str) -> tuple[str, str] | None:
     return None
 
 
-def unit_table(spark: SparkSession) -> DataFrame:
-    """All spellings; its size is that of :data:`UNITS`."""
-    rows = [(dim, s, canon, base) for dim, units in UNITS.items() for canon, (base, spellings) in units.items() for s in dict.fromkeys((*spellings, canon.lower()))]
-    return spark.createDataFrame(rows, CANON_SCHEMA)
+@functools.cache
+def states(common: str) -> tuple[tuple[str, ...], tuple[float, ...]]:
+    """The unit states of a common unit, itself first, with their factors to it (NaN: not linear)."""
+    dim, canon = canonical(common)
+    units = UNITS[dim]
+    names = (canon, *(u for u in units if u != canon))
+    return (*names, f"1000 {canon}"), (*(units[u][0] / units[canon][0] for u in names), 1000.0)
+
+
+@functools.cache
+def _spellings() -> tuple[pa.Array, np.ndarray]:
+    """Keys "dimension number|spelling" and the unit's place in its dimension."""
+    keys, place = [], []
+    for d, units in enumerate(UNITS.values()):
+        for i, (canon, (_, spellings)) in enumerate(units.items()):
+            for s in dict.fromkeys((*spellings, canon.lower())):
+                keys.append(f"{d}|{s}")
+                place.append(i)
+    return pa.array(keys), np.array(place)
 
 
-def clean(text: Column) -> Column:
+def clean(text: pa.Array) -> pa.Array:
     """Lower case, usual spaces, no space at the ends."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), _ODD_SPACES, " "), " {2,}", " "))
+    t = pc.replace_substring_regex(pc.utf8_lower(text), _ODD_SPACES, " ")
+    return pc.utf8_trim(pc.replace_substring_regex(t, " {2,}", " "), " ")
+
+
+def is_missing(cleaned: pa.Array) -> pa.Array:
+    """True for null, blank and stand-ins for a missing value."""
+    known = pc.is_in(cleaned, value_set=pa.array(PLACEHOLDERS))
+    shape = pc.match_substring_regex(cleaned, r"^(?:[-–—*.?_\s]*|0+(?:[.,]0+)?)$")
+    return pc.fill_null(pc.or_(known, shape), True)
 
 
-def is_placeholder(cleaned: Column) -> Column:
-    """True for null, blank and stand-ins for a missing value; ``cleaned`` comes from :func:`clean`."""
-    return cleaned.isNull() | cleaned.isin(*PLACEHOLDERS) | cleaned.rlike(r"^[-–—*.?_\s]*$") | cleaned.rlike(r"^0+(?:[.,]0+)?$")
+def _double(text: pa.Array) -> pa.Array:
+    return pc.cast(pc.if_else(pc.match_substring_regex(text, r"^\d+(?:\.\d+)?(?:e[+-]?\d+)?$"), text, None), pa.float64())
 
 
-def readings(token: Column) -> tuple[Column, Column]:
+def readings(token: pa.Array) -> tuple[pa.Array, pa.Array]:
     """The two ways to read a number token: the usual one, and the other one where a single separator leaves it open (else null)."""
-    t = F.replace(token, F.lit(" "), F.lit(""))
-    dots, commas = F.length(t) - F.length(F.replace(t, F.lit("."), F.lit(""))), F.length(t) - F.length(F.replace(t, F.lit(","), F.lit("")))
-    no_commas, no_dots = F.replace(t, F.lit(","), F.lit("")), F.replace(t, F.lit("."), F.lit(""))
-    comma_is_point = F.replace(no_dots, F.lit(","), F.lit("."))
-    both = (dots > 0) & (commas > 0)
-    three = t.rlike(r"^[1-9]\d{0,2}[.,]\d{3}$")
-    usual = (
-        F.when(both & (F.instr(F.reverse(t), ".") < F.instr(F.reverse(t), ",")), no_commas)
-        .when(both, comma_is_point)
-        .when(commas > 1, no_commas)
-        .when(dots > 1, no_dots)
-        .when((commas == 1) & three, no_commas)
-        .when(commas == 1, comma_is_point)
-        .otherwise(t)
+    t = pc.replace_substring(token, " ", "")
+    dots, commas = pc.count_substring(t, "."), pc.count_substring(t, ",")
+    no_commas, no_dots = pc.replace_substring(t, ",", ""), pc.replace_substring(t, ".", "")
+    point = pc.replace_substring(no_dots, ",", ".")
+    both = pc.and_(pc.greater(dots, 0), pc.greater(commas, 0))
+    last_dot = pc.match_substring_regex(t, r",.*\.[^,]*$")
+    three = pc.match_substring_regex(t, r"^[1-9]\d{0,2}[.,]\d{3}$")
+    one_comma = pc.equal(commas, 1)
+    usual = pc.if_else(
+        both,
+        pc.if_else(last_dot, no_commas, point),
+        pc.if_else(pc.or_(pc.greater(commas, 1), pc.and_(one_comma, three)), no_commas, pc.if_else(pc.greater(dots, 1), no_dots, pc.if_else(one_comma, point, t))),
     )
-    other = F.when(three & (commas == 1), comma_is_point).when(three & (dots == 1), no_dots)
-    return usual.try_cast("double"), other.try_cast("double")
+    other = pc.if_else(three, pc.if_else(one_comma, point, no_dots), None)
+    return _double(usual), _double(other)
+
+
+def _group(found: pa.Array, name: str) -> pa.Array:
+    return pc.struct_field(found, name)
+
+
+def _np(a: pa.Array) -> np.ndarray:
+    return a.to_numpy(zero_copy_only=False)
 
 
-def parse(value: Column) -> Column:
-    """struct(missing, number, other, scale, unit_text, feet) of the first quantity in ``value``.
+def unit_place(dim: np.ndarray, text: pa.Array) -> np.ndarray:
+    """The place of each unit text among its dimension's units; -1 where unknown."""
+    keys, place = _spellings()
+    at = pc.index_in(pc.binary_join_element_wise(pc.cast(pa.array(dim), pa.string()), text, "|"), value_set=keys)
+    return np.where(_np(pc.is_valid(at)), place[_np(pc.fill_null(at, 0))], -1)
 
-    number/other are the readings of :func:`readings`; scale is that of a scale word; unit_text
-    is what follows the number up to a bracket; feet holds feet-and-inches values in feet.
-    Null, blank and stand-in values give missing = true; text without a number a null number.
+
+def _to_common(x: np.ndarray, factor: np.ndarray, slope_deg: np.ndarray) -> np.ndarray:
+    with np.errstate(all="ignore"):
+        return np.where(slope_deg, np.tan(np.radians(x)) * 100, x * factor)
+
+
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """base[d, place]: a unit's size in its dimension's base unit; state[d, common, place]: its state's number, the common unit being 0."""
+    most = STATES - 1
+    base = np.full((len(UNITS), most), np.nan)
+    state = np.full((len(UNITS), most, most), -1, np.int64)
+    for d, units in enumerate(UNITS.values()):
+        for i, (size, _) in enumerate(units.values()):
+            base[d, i] = size
+            order = [i, *(j for j in range(len(units)) if j != i)]
+            for k, j in enumerate(order):
+                state[d, i, j] = k
+    return base, state
+
+
+def read(value: pa.Array, unit: pa.Array, hint: pa.Array, dim: np.ndarray, common: np.ndarray, low: np.ndarray, high: np.ndarray, bare_is_common: bool) -> dict[str, pa.Array]:
+    """Read the first quantity of each value.
+
+    dim and common number a parameter's dimension and its common unit's place in it, -1 for
+    parameters without one. A unit in the value goes before ``unit``. Returns missing,
+    alone (the whole value is one number), number, scale, idx (the state of the unit: 0 the
+    common unit, null where it needs decoding), hint_idx, and home (in the common unit where
+    idx is known). A bare number is in the common unit if it lies in the band, or always
+    with bare_is_common. Where a comma may be a decimal or a thousands mark, the usual
+    reading counts unless only the other one falls in the band.
     """
     c = clean(value)
-    missing = is_placeholder(c)
-    token = F.regexp_extract(c, _QUANTITY, 1)
-    usual, other = readings(F.when(token != "", token))
-    word = F.regexp_extract(c, _QUANTITY, 2)
-    scale = F.coalesce(*[F.when(word == k, F.lit(v)) for k, v in SCALES.items() if len(k) > 2], F.lit(1.0))
-    ft = F.regexp_extract(c, _FEET_INCHES, 1)
-    feet = F.when(ft != "", ft.try_cast("double") + F.regexp_extract(c, _FEET_INCHES, 2).try_cast("double") / 12)
-    return F.when(missing, F.struct(F.lit(True).alias("missing"), F.lit(None).cast("double").alias("number"), F.lit(None).cast("double").alias("other"), F.lit(1.0).alias("scale"), F.lit("").alias("unit_text"), F.lit(None).cast("double").alias("feet"))).otherwise(
-        F.struct(F.lit(False).alias("missing"), usual.alias("number"), other.alias("other"), scale.alias("scale"), F.trim(F.regexp_extract(c, _QUANTITY, 3)).alias("unit_text"), feet.alias("feet"))
-    )
+    missing = _np(is_missing(c))
+    has = dim >= 0
+    d, k = np.where(has, dim, 0), np.where(has, common, 0)
+    found = pc.extract_regex(c, _QUANTITY)
+    usual_a, other_a = readings(_group(found, "num"))
+    usual, other = _np(pc.fill_null(usual_a, float("nan"))).astype(float), _np(pc.fill_null(other_a, float("nan"))).astype(float)
+    feet = pc.extract_regex(c, _FEET_INCHES)
+    composite = _np(pc.is_valid(feet))
+    ft = _np(pc.fill_null(_double(_group(feet, "ft")), 0.0)) + _np(pc.fill_null(_double(_group(feet, "in")), 0.0)) / 12
+    usual = np.where(composite, ft, usual)
+    word = pc.fill_null(_group(found, "scale"), "")
+    scale = np.ones(len(c))
+    for w, f in SCALES.items():
+        if len(w) > 2:
+            scale[_np(pc.equal(word, w))] = f
+    text = pc.utf8_trim(pc.fill_null(_group(found, "unit"), ""), " ")
+    plain = pc.utf8_rtrim(text, characters=".;, ")
+    own = np.maximum(unit_place(dim, text), unit_place(dim, plain))
+    own = np.where(composite, unit_place(dim, pa.array(["ft"] * len(c))), own)
+    column = unit_place(dim, pc.fill_null(clean(unit), ""))
+    stated = np.where(own >= 0, own, column)
+    base, state = _tables()
+    at = np.where(stated >= 0, stated, k)
+    factor = base[d, at] / base[d, k]
+    slope = (np.array(DIMENSIONS)[d] == "slope") & (at != k)
+    conv = lambda x: _to_common(x * scale, factor, slope)
+    inside = lambda v: (v >= low) & (v <= high)
+    with np.errstate(invalid="ignore"):
+        number = np.where(~np.isnan(other) & ~inside(conv(usual)) & inside(conv(other)), other, usual)
+        number = np.where(missing, np.nan, number)
+        at_home = np.ones(len(c), bool) if bare_is_common else inside(number * scale)
+        idx = np.where(stated >= 0, state[d, k, at], np.where(at_home, 0, -1))
+        known = has & ~np.isnan(number) & (idx >= 0)
+        home = np.where(known, conv(number), np.nan)
+    hinted = unit_place(dim, pc.fill_null(clean(hint), ""))
+    hint_idx = np.where(has & (hinted >= 0), state[d, k, np.maximum(hinted, 0)], -1)
+    null = lambda a, t, ok: pa.array(a.astype(t), mask=~ok)
+    return {
+        "missing": pa.array(missing),
+        "alone": pc.fill_null(pc.match_substring_regex(c, r"^\d[\d.,]*$"), False),
+        "number": null(number, float, ~np.isnan(number)),
+        "scale": pa.array(scale),
+        "idx": null(idx, np.int8, known),
+        "hint_idx": null(hint_idx, np.int8, hint_idx >= 0),
+        "home": null(home, float, known & ~np.isnan(home)),
+    }
+
+
+READ_FIELDS = "missing boolean, alone boolean, number double, scale double, idx tinyint, hint_idx tinyint, home double"

@@ -19,102 +19,63 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import quantity as Q
 from ..session import materialize
 
-#: Most units in one dimension, and one state more for "a thousand times the common unit".
-STATES = max(len(u) for u in Q.UNITS.values()) + 1
 #: Log probabilities of a change of unit between months, and of a record against its month's unit.
 SWITCH, AGAINST = np.log(0.05), np.log(0.02)
 #: Standard deviation of log values about the level, and weight kept from the month before.
 SIGMA, SMOOTH = 1.2, 0.7
 
 
-def _states(common: str) -> tuple[list[str], list[float]]:
-    """The unit states of a common unit, itself first, with their factors to it (NaN: not linear)."""
-    dim, canon = Q.canonical(common)
-    units = Q.UNITS[dim]
-    names = [canon] + [u for u in units if u != canon]
-    return [*names, f"1000 {canon}"], [*(units[u][0] / units[canon][0] for u in names), 1000.0]
-
-
 def common_units(catalog: DataFrame) -> DataFrame:
-    """Per parameter with a common unit: its dimension, band, and unit states with factors.
+    """Per parameter with a known common unit: numbers of its dimension and unit, band, unit states and factors.
 
-    The catalogue is a small dimension table; unknown common units are left out.
+    The catalogue is a dimension table of one row per parameter.
     """
     spark = catalog.sparkSession
-    known = sorted({s for units in Q.UNITS.values() for _, (_, sp) in units.items() for s in sp} | {u for units in Q.UNITS.values() for u in units})
     rows = []
-    for u in known:
-        dim, canon = Q.canonical(u)
-        names, factors = _states(u)
-        rows.append((u, dim, canon, names, factors))
-    units = spark.createDataFrame(rows, "cu string, dimension string, common string, states array<string>, factors array<double>").dropDuplicates(["cu"])
+    for d, (_, units) in enumerate(Q.UNITS.items()):
+        for i, (canon, (_, spellings)) in enumerate(units.items()):
+            names, factors = Q.states(canon)
+            rows += [(s, d, i, list(names), list(factors)) for s in dict.fromkeys((canon, canon.lower(), *spellings))]
+    seen: dict[str, tuple] = {}
+    for r in rows:
+        seen.setdefault(r[0], r)  # "kg" is a mass before it is a force
+    units = spark.createDataFrame(list(seen.values()), "cu string, dim int, common int, states array<string>, factors array<double>")
     return (
         catalog.where(F.col("common_unit").isNotNull())
-        .select(F.col("parameter").alias("parameter"), F.trim("common_unit").alias("cu"), F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"))
+        .select("parameter", F.trim("common_unit").alias("cu"), F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"))
         .dropDuplicates(["parameter"])
         .join(F.broadcast(units), "cu")
         .drop("cu")
     )
 
 
-def _to_common(x, factor, unit, common):
-    """A value in the common unit; degrees of slope are the one unit that isn't linear."""
-    slope = F.when((common == "%") & (unit == "deg"), F.tan(F.radians(x)) * 100).when((common == "deg") & (unit == "%"), F.degrees(F.atan(x / 100)))
-    return F.coalesce(slope, x * factor)
+def _read_batches(batches: Iterator[pa.RecordBatch], keep: list[str], bare_is_common: bool) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        number = lambda c, null: pc.fill_null(b.column(c), null).to_numpy(zero_copy_only=False)
+        cols = Q.read(b.column("value"), b.column("unit"), b.column("hint"), number("dim", -1), number("common", -1), number("low", np.nan), number("high", np.nan), bare_is_common)
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *cols.values()], names=[*keep, *cols])
 
 
 def read_records(records: DataFrame, catalog: DataFrame, bare_is_common: bool = False) -> DataFrame:
-    """Parse records(record_kind, record_id, device, parameter, value string, unit string, hint string, ts).
+    """Read the quantities of records(parameter, value string, unit string, hint string, ...).
 
     ``unit`` is the unit a record claims for its value; ``hint`` a unit it once had, which
-    says nothing certain. Adds: missing, number, scale, stated (the canonical unit of the
-    value, or of ``unit``), common, dimension, low, high, states, factors, and certain: the
-    unit when it needs no decoding, that is when stated, or when a bare number lies in the
-    band (with bare_is_common: always). Parameters without common unit stay, with nulls.
-
-    Null, blank and stand-in values give missing = true and null numbers. Where a comma may
-    be a decimal or a thousands mark, the usual reading counts unless only the other one
-    falls in the band.
+    says nothing certain. All columns stay but the hint; added are those of
+    :func:`tamarack.functions.quantity.read`. Parameters without common unit have null idx.
     """
-    spark = records.sparkSession
-    units = Q.unit_table(spark).select("dimension", "spelling", "canonical", "base")
-    own = F.broadcast(units.select(F.col("dimension").alias("_d1"), F.col("spelling").alias("_s1"), F.col("canonical").alias("_own")))
-    col = F.broadcast(units.select(F.col("dimension").alias("_d2"), F.col("spelling").alias("_s2"), F.col("canonical").alias("_col")))
-    df = records.withColumn("_q", Q.parse(F.col("value"))).withColumn("_u", Q.clean(F.col("unit"))).join(F.broadcast(common_units(catalog)), "parameter", "left")
-    text = F.col("_q.unit_text")
-    df = df.withColumn("_t", F.when(F.col("_q.feet").isNotNull(), F.lit("ft")).otherwise(F.when(text.endswith("."), F.when(text.isin("h.p."), text).otherwise(F.rtrim(F.regexp_replace(text, r"[.;,]+$", "")))).otherwise(text)))
-    df = df.join(own, (F.col("dimension") == F.col("_d1")) & (F.col("_t") == F.col("_s1")), "left")
-    df = df.join(col, (F.col("dimension") == F.col("_d2")) & (F.col("_u") == F.col("_s2")), "left")
-    stated = F.coalesce("_own", "_col")
-    df = df.withColumn("stated", F.when(~F.col("_q.missing"), stated))
-    factor = F.element_at("factors", F.array_position("states", F.coalesce("stated", "common")).cast("int"))
-    conv = lambda x: _to_common(x * F.col("_q.scale"), factor, F.coalesce("stated", "common"), F.col("common"))
-    inside = lambda v: F.coalesce(v.between(F.col("low"), F.col("high")), F.lit(False))
-    usual, other = F.coalesce("_q.feet", "_q.number"), F.col("_q.other")
-    number = F.when(other.isNotNull() & ~inside(conv(usual)) & inside(conv(other)), other).otherwise(usual)
-    df = df.withColumn("number", number)
-    bare = F.col("stated").isNull()
-    at_home = F.lit(True) if bare_is_common else inside(F.col("number") * F.col("_q.scale"))
-    return df.select(
-        *[c for c in records.columns],
-        F.col("_q.missing").alias("missing"),
-        "number",
-        F.col("_q.scale").alias("scale"),
-        "stated",
-        F.when(F.col("number").isNotNull() & F.col("common").isNotNull(), F.when(~bare, F.col("stated")).when(at_home, F.col("common"))).alias("certain"),
-        "common",
-        "dimension",
-        "low",
-        "high",
-        "states",
-        "factors",
-    )
+    keep = [c for c in records.columns if c != "hint"]
+    dims = common_units(catalog).select("parameter", "dim", "common", "low", "high")
+    df = records.join(F.broadcast(dims), "parameter", "left").select(*records.columns, "dim", "common", "low", "high")
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in records.select(*keep).schema), Q.READ_FIELDS])
+    return df.mapInArrow(lambda it: _read_batches(it, keep, bare_is_common), schema)
 
 
 def spec_records(specs: DataFrame) -> DataFrame:
@@ -123,7 +84,7 @@ def spec_records(specs: DataFrame) -> DataFrame:
 
 def point_records(points: DataFrame, parameter: str = "rimpull_maximo") -> DataFrame:
     """Force points as records: the original unit is the unit only where it is kN, else a hint."""
-    unit = Q.clean(F.col("original_unit"))
+    unit = F.lower(F.trim("original_unit"))
     kn = unit.isin(*Q.UNITS["force"]["kN"][1])
     return points.select(
         F.lit("point").alias("record_kind"), F.col("id").cast("bigint").alias("record_id"), F.col("equipment_id").cast("bigint").alias("device"), F.lit(parameter).alias("parameter"),
@@ -146,8 +107,8 @@ def _viterbi(hard, n_bare, s1, s2, fit, level0, logf, first):
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[order], lengths[order]
     longest = int(lengths[0])
-    back = np.zeros((n, STATES), np.int8)
-    score = np.zeros((len(starts), STATES))
+    back = np.zeros((n, Q.STATES), np.int8)
+    score = np.zeros((len(starts), Q.STATES))
     lev = level0[starts].copy()
     for t in range(longest):
         m = int(np.searchsorted(-lengths, -t, side="left"))  # chains longer than t
@@ -167,7 +128,7 @@ def _viterbi(hard, n_bare, s1, s2, fit, level0, logf, first):
             best = prev.argmax(1)
             jump = prev[np.arange(m), best][:, None] + SWITCH
             stay = prev >= jump
-            back[at] = np.where(stay, np.arange(STATES), best[:, None])
+            back[at] = np.where(stay, np.arange(Q.STATES), best[:, None])
             score[:m] = np.where(stay, prev, jump) + emit
     last = starts + lengths - 1
     now = score.argmax(1).astype(np.int8)
@@ -204,8 +165,8 @@ def _decode_chains(df: pd.DataFrame) -> pd.DataFrame:
     df = df.reset_index(drop=True)
     key = df["device"].fillna(-1).astype("int64").astype(str) + "|" + df["parameter"]
     first = (key != key.shift()).to_numpy()
-    wide = lambda p: np.column_stack([df[f"{p}{k}"].to_numpy(float) for k in range(STATES)])
-    logf = np.full((len(df), STATES), np.nan)
+    wide = lambda p: np.column_stack([df[f"{p}{k}"].to_numpy(float) for k in range(Q.STATES)])
+    logf = np.full((len(df), Q.STATES), np.nan)
     for (_,), g in df.groupby(["parameter"], sort=False):
         f = np.asarray(g["factors"].iloc[0], float)
         logf[g.index, : len(f)] = np.log(f)
@@ -222,8 +183,8 @@ def unit_steps(read: DataFrame) -> DataFrame:
     in_band = lambda k: (F.col("x") * F.get("factors", F.lit(k))).between(F.col("low"), F.col("high"))
     one = lambda c: F.sum(F.when(c, 1).otherwise(0))
     steps = read.groupBy("device", "parameter", "month").agg(
-        *[one(F.col("idx") == k).alias(f"h{k}") for k in range(STATES)],
-        *[one(bare & in_band(k)).alias(f"f{k}") for k in range(STATES)],
+        *[one(F.col("idx") == k).alias(f"h{k}") for k in range(Q.STATES)],
+        *[one(bare & in_band(k)).alias(f"f{k}") for k in range(Q.STATES)],
         one(bare).alias("bare"),
         F.sum(F.when(bare, lx).otherwise(0.0)).alias("s1"),
         F.sum(F.when(bare, lx * lx).otherwise(0.0)).alias("s2"),
@@ -246,30 +207,21 @@ def normalize_units(records: DataFrame, catalog: DataFrame) -> DataFrame:
     common unit, and missing values, come out with nulls. Null devices form a chain of their
     own, records without a time a step of their own. An empty table gives an empty result.
     """
-    read = read_records(records, catalog)
-    narrow = read.where(F.col("number").isNotNull() & F.col("common").isNotNull() & (F.col("number") > 0)).select(
-        "record_kind", "record_id", "device", "parameter", "number", "scale",
-        (F.array_position("states", F.col("certain")) - 1).cast("tinyint").alias("idx"),
-        F.coalesce(F.year("ts") * 12 + F.month("ts"), F.lit(0)).cast("int").alias("month"),
-        "hint",
-    )
-    narrow = materialize(narrow, "units")
-    dims = F.broadcast(common_units(catalog))
-    full = narrow.join(dims, "parameter")
-    factor = F.get("factors", F.col("idx").cast("int"))
-    unit = F.get("states", F.col("idx").cast("int"))
-    home = _to_common(F.col("number") * F.col("scale"), factor, unit, F.col("common"))
-    full = full.withColumn("x", F.col("number") * F.col("scale")).withColumn("home", home)
+    month = F.coalesce(F.year("ts") * 12 + F.month("ts"), F.lit(0)).cast("int").alias("month")
+    read = read_records(records.select("record_kind", "record_id", "device", "parameter", "value", "unit", "hint", month), catalog)
+    narrow = read.where((F.col("number") > 0))
+    narrow = materialize(narrow.drop("value", "unit", "missing", "alone"), "units")
+    full = narrow.join(F.broadcast(common_units(catalog).drop("dim", "common")), "parameter").withColumn("x", F.col("number") * F.col("scale"))
     steps = unit_steps(full.select("device", "parameter", "month", "idx", "x", "home", "low", "high", "factors"))
+    unit_of = lambda i: F.get("states", i.cast("int"))
     sure = full.where(F.col("idx").isNotNull()).select(
-        "record_kind", "record_id", "device", "parameter", "number", unit.alias("unit"), F.col("common").alias("common_unit"), F.col("home").alias("value_common"),
+        "record_kind", "record_id", "device", "parameter", "number", unit_of(F.col("idx")).alias("unit"), F.get("states", F.lit(0)).alias("common_unit"), F.col("home").alias("value_common"),
         F.lit(False).alias("decoded"), ((F.col("idx") == 0) & (F.col("scale") == 1)).alias("is_common"),
     )
-    hints = F.broadcast(Q.unit_table(records.sparkSession).select(F.col("dimension").alias("_d"), F.col("spelling").alias("_s"), F.col("canonical").alias("hint_unit")))
-    open_ = full.where(F.col("idx").isNull()).join(hints, (F.col("dimension") == F.col("_d")) & (F.col("hint") == F.col("_s")), "left").drop("_d", "_s")
+    open_ = full.where(F.col("idx").isNull())
     on = [open_["device"].eqNullSafe(steps["device"]), open_["parameter"] == steps["parameter"], open_["month"] == steps["month"]]
     joined = open_.join(steps.select("device", "parameter", "month", "state", "level"), on, "left").select(
-        "record_kind", "record_id", open_["device"], open_["parameter"], "number", "x", "states", "factors", "common", "low", "high", "state", "level", (F.array_position("states", F.col("hint_unit")) - 1).alias("hint_idx"),
+        "record_kind", "record_id", open_["device"], open_["parameter"], "number", "x", "states", "factors", "low", "high", "state", "level", "hint_idx",
     )
     # the most probable unit: the record's own emission, its month's state, the unit it once had
     score = lambda f, i: (
@@ -280,10 +232,9 @@ def normalize_units(records: DataFrame, catalog: DataFrame) -> DataFrame:
     )
     scored = F.transform("factors", lambda f, i: F.struct(F.when((i == 0) | F.isnan(f), F.lit(-1e9)).otherwise(score(f, i)).alias("s"), (-i).alias("i")))
     joined = joined.withColumn("_b", F.array_max(scored)).withColumn("_i", (-F.col("_b.i")).cast("int"))
-    unit = F.get("states", F.col("_i"))
-    value = _to_common(F.col("x"), F.get("factors", F.col("_i")), unit, F.col("common"))
+    value = F.when(unit_of(F.col("_i")) == "deg", F.tan(F.radians("x")) * 100).otherwise(F.col("x") * F.get("factors", F.col("_i")))
     decoded = joined.select(
-        "record_kind", "record_id", "device", "parameter", "number", unit.alias("unit"), F.col("common").alias("common_unit"), value.alias("value_common"), F.lit(True).alias("decoded"), F.lit(False).alias("is_common"),
+        "record_kind", "record_id", "device", "parameter", "number", unit_of(F.col("_i")).alias("unit"), F.get("states", F.lit(0)).alias("common_unit"), value.alias("value_common"), F.lit(True).alias("decoded"), F.lit(False).alias("is_common"),
     )
     return sure.unionByName(decoded)
 
