@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table, tune
-from . import incremental, splitting, survivors
+from . import encoding, incremental, mixing, splitting, survivors
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +41,24 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kind(incremental.known(rows), "data_source").unionByName(kind(incremental.known(found, history), "search_result"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p5_found, p5_pieces, p7_found)}
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return encoding.encode(table(spark, sf_dir, "documents"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed documents with their copies, each with its source's target and reached share."""
+    tune(spark)
+    copies, shares = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+    return copies.join(F.broadcast(shares.select("mix_name", "source", "target_share", "reached_share")), ["mix_name", "source"])
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p5_found, p5_pieces, p7_found, p8_ids, p9_mix, p9_shares)}
 ORACLE_SQL: dict[str, str] = {
     "p5_found": """
         SELECT 'page' AS item_kind, CAST(page_id AS VARCHAR) AS item_id FROM scraped_pages WHERE length(text_content) > 4000
