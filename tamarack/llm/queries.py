@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table, tune
-from . import encoding, incremental, mixing, splitting, survivors
+from . import encoding, incremental, mixing, neighbors, spans, splitting, survivors
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,15 @@ def p1_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.survivors(table(spark, sf_dir, "spec_candidates"), table(spark, sf_dir, "parameter_catalog"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbors.pairs(p3_nearest(spark, sf_dir))
+
+
+def p3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return neighbors.nearest(table(spark, sf_dir, "document_chunks"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     items = splitting.items(table(spark, sf_dir, "scraped_pages"), table(spark, sf_dir, "document_chunks"))
@@ -58,7 +67,17 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p5_found, p5_pieces, p7_found, p8_ids, p9_mix, p9_shares)}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return spans.shared_pairs(table(spark, sf_dir, "documents"))
+
+
+def p10_portion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return spans.shared_portion(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p3_found, p3_nearest, p5_found, p5_pieces, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_portion)}
 ORACLE_SQL: dict[str, str] = {
     "p5_found": """
         SELECT 'page' AS item_kind, CAST(page_id AS VARCHAR) AS item_id FROM scraped_pages WHERE length(text_content) > 4000
