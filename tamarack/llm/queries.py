@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table, tune
-from . import encoding, incremental, mixing, neighbors, spans, splitting, survivors
+from . import boilerplate, encoding, incremental, mixing, neighbors, residue, spans, splitting, survivors
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,16 @@ def p1_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.survivors(table(spark, sf_dir, "spec_candidates"), table(spark, sf_dir, "parameter_catalog"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return boilerplate.boilerplate(table(spark, sf_dir, "scraped_pages"))
+
+
+def p2_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return boilerplate.bodies(table(spark, sf_dir, "scraped_pages"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbors.pairs(p3_nearest(spark, sf_dir))
 
@@ -38,6 +48,16 @@ def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_items(splitting.items(table(spark, sf_dir, "scraped_pages"), table(spark, sf_dir, "document_chunks")))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return residue.residue(table(spark, sf_dir, "scraped_pages"))
+
+
+def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return residue.without_residue(table(spark, sf_dir, "scraped_pages"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     sources, results = table(spark, sf_dir, "data_sources"), table(spark, sf_dir, "search_results")
@@ -77,7 +97,7 @@ def p10_portion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_portion(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p3_found, p3_nearest, p5_found, p5_pieces, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_portion)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p2_bodies, p3_found, p3_nearest, p5_found, p5_pieces, p6_found, p6_clean, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_portion)}
 ORACLE_SQL: dict[str, str] = {
     "p5_found": """
         SELECT 'page' AS item_kind, CAST(page_id AS VARCHAR) AS item_id FROM scraped_pages WHERE length(text_content) > 4000
