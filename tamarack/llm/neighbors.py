@@ -171,7 +171,7 @@ def _bisect(c: np.ndarray, sizes: np.ndarray, lists: np.ndarray, most: int, out:
     _bisect(c, sizes, order[half:], most, out)
 
 
-def nearest(chunks: DataFrame, k: int = 5, dims: int = 64, recall: float = 0.985, lists: int | None = None) -> DataFrame:
+def nearest(chunks: DataFrame, k: int = 5, dims: int = 64, recall: float = 0.998, lists: int | None = None) -> DataFrame:
     """(chunk_id, near, sim, rank): the k most similar other chunks of every usable chunk, equal similarities by chunk_id.
 
     ``recall`` is the wanted share of true neighbours, see the module; ids must be unique.
