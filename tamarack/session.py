@@ -78,5 +78,11 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its input has fewer partitions than that (a few small files); large inputs stay as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
