@@ -92,12 +92,12 @@ def from_tables(pages: DataFrame, tables: str = "tables", url: str = "url") -> D
     points = rows.where((F.size("_r") > F.greatest("_g", "_f")) & (label != "") & force.isNotNull()).select(
         *keep, "curve_no", "seq", normalize_gear(label).alias("gear"), _number(F.get("_r", F.col("_s"))).alias("speed_kmh"), F.round(to_kn(force, F.col("_u")), 2).alias("force_kn"), F.col("_u").alias("original_unit")
     )
-    lists = points.groupBy(*keep, "curve_no").agg(F.collect_list(F.struct(*_POINT)).alias("p")).where(F.size("p") >= 2)
+    lists = points.groupBy(*keep, "curve_no").agg(F.collect_list(F.struct(*_POINT)).alias("_points")).where(F.size("_points") >= 2)
     return _exploded(lists, [*keep, "curve_no"], urls.source_confidence(0.9, F.col(url), True))
 
 
 def _exploded(lists: DataFrame, keep: list[str], confidence: Column) -> DataFrame:
-    return lists.select(*keep, F.posexplode(_sorted(F.col("p"))).alias("seq", "x")).select(*keep, "seq", *[F.col(f"x.{c}").alias(c) for c in _POINT[1:]]).withColumn("confidence", confidence)
+    return lists.select(*keep, F.posexplode(_sorted(F.col("_points"))).alias("seq", "_x")).select(*keep, "seq", *[F.col(f"_x.{c}").alias(c) for c in _POINT[1:]]).withColumn("confidence", confidence)
 
 
 def from_text(pages: DataFrame, text: str = "text", url: str = "url") -> DataFrame:
@@ -121,9 +121,9 @@ def from_text(pages: DataFrame, text: str = "text", url: str = "url") -> DataFra
     inline = F.flatten(F.transform(every(SECTION), lambda s: F.regexp_extract_all(s, F.lit(ci + INLINE), 0)))
     first, rest = points(every(FAMILY_1), FAMILY_1, (1, 2), 3), F.concat(points(every(FAMILY_2), FAMILY_2, (1,), 2), points(inline, INLINE, (1,), 2))
     add = lambda acc, p: F.when(F.exists(acc, lambda q: (q["gear"] == p["gear"]) & (F.abs(q["force_kn"] - p["exact"]) < 0.1)), acc).otherwise(F.concat(acc, F.array(p)))
-    df = pages.where(F.col(text).rlike(f"{ci}rimpull")).select(*keep, first.alias("_a"), rest.alias("_b")).select(*keep, F.aggregate("_b", F.col("_a"), add).alias("p"))
-    numbered = F.transform("p", lambda p, i: F.struct(i.alias("seq"), *[p[c].alias(c) for c in _POINT[1:]]))
-    return _exploded(df.where(F.size("p") >= 2).withColumn("p", numbered), keep, urls.source_confidence(0.8, F.col(url)))
+    df = pages.where(F.col(text).rlike(f"{ci}rimpull")).select(*keep, first.alias("_a"), rest.alias("_b")).select(*keep, F.aggregate("_b", F.col("_a"), add).alias("_points"))
+    numbered = F.transform("_points", lambda p, i: F.struct(i.alias("seq"), *[p[c].alias(c) for c in _POINT[1:]]))
+    return _exploded(df.where(F.size("_points") >= 2).withColumn("_points", numbered), keep, urls.source_confidence(0.8, F.col(url)))
 
 
 def check(points: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

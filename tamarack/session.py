@@ -80,6 +80,8 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores where its input has fewer partitions than that (a few small files); large inputs stay as they are, without a shuffle."""
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
