@@ -154,10 +154,17 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pc.list_flatten(docs), pc.list_flatten(places), ids], names=["doc_id", "place", "ids"])
 
 
+def _once(places: list[int], ids: list[bytes]) -> list[bytes]:
+    """The parts of one text, in order; a row that came twice gives each place twice."""
+    if places and places[-1] + 1 == len(places):
+        return ids
+    return list(dict(zip(places, ids)).values())
+
+
 def _assembled(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     width = np.uint16 if tokenizer(path).n_vocab <= 1 << 16 else np.uint32
     for b in batches:
-        parts = [b"".join(x) for x in b.column(1).to_pylist()]
+        parts = [b"".join(_once(p, x)) for p, x in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(width).itemsize
         flat = np.frombuffer(b"".join(parts), width).astype(np.int32)
         offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
@@ -168,7 +175,7 @@ def encode(documents: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, ids) of documents(doc_id bigint, text), without special tokens.
 
     Null and empty texts have an empty list; very long texts are cut like all others.
-    doc_id must be unique: rows that repeat an id would be taken for one document. An
+    doc_id must be unique for different texts; a row that comes twice comes out once. An
     empty table gives an empty result; other columns are ignored.
     """
     path = path or os.path.join(vocabulary_dir(), "byte_bpe_50k.tiktoken")
@@ -176,7 +183,7 @@ def encode(documents: DataFrame, path: str | None = None) -> DataFrame:
     full = docs.where(F.length("text") > 0)
     parts = full.mapInArrow(_chunked, "chunk string, docs array<bigint>, places array<int>")
     placed = parts.repartition(F.xxhash64("chunk")).mapInArrow(lambda it: _encoded(it, path), "doc_id bigint, place int, ids binary")
-    lists = placed.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("parts")).select("doc_id", F.col("parts.ids").alias("parts"))
+    lists = placed.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("parts")).select("doc_id", F.col("parts.place").alias("places"), F.col("parts.ids").alias("parts"))
     ids = lists.mapInArrow(lambda it: _assembled(it, path), "doc_id bigint, ids array<int>")
     empty = docs.where(F.coalesce(F.length("text"), F.lit(0)) == 0).select("doc_id", F.array().cast("array<int>").alias("ids"))
     return ids.unionByName(empty)

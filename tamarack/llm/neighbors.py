@@ -107,7 +107,7 @@ def _scan_list(q, qr, x, xr, bound, self_at):
             ok = dist * (dims / d) <= bound[i] * (1 + EPSILON / np.sqrt(d)) ** 2
             alive, dist = (i[ok], j[ok]), dist[ok]
     sims = np.full((len(q), len(x)), -np.inf)
-    i, j = alive
+    i, j = np.nonzero(np.ones(sims.shape, bool)) if alive is None else alive
     if len(i) * 3 > sims.size:
         sims = q @ x.T
     elif len(i):
@@ -181,9 +181,9 @@ def nearest(chunks: DataFrame, k: int = 5, dims: int = 64, recall: float = 0.998
     """
     spark = chunks.sparkSession
     all_ = materialize(usable(chunks, dims), "vectors")
-    rank = F.row_number().over(Window.partitionBy("e").orderBy("id"))
+    rank = F.dense_rank().over(Window.partitionBy("e").orderBy("id"))  # a row that came twice counts once
     few = all_.withColumn("n", rank).where(F.col("n") <= k + 1)
-    heads = materialize(few.groupBy("e").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.element_at("ids", 1).alias("id"), "e", "ids"), "heads")
+    heads = materialize(few.groupBy("e").agg(F.array_sort(F.collect_set("id")).alias("ids")).select(F.element_at("ids", 1).alias("id"), "e", "ids"), "heads")
     n = heads.count()
     if n == 0:
         return spark.createDataFrame([], "chunk_id string, near string, sim double, rank int")

@@ -33,7 +33,7 @@ SLOTS = (
     r"\{\{[^{}]{1,80}\}\}|\$\{[\w.]{1,80}\}|<%[^%]{1,80}%>|\{%[^%]{1,80}%\}|%%\w{2,60}%%|\(\(\(\w{2,60}\)\)\)|\[\[\w{2,60}\]\]",
     r"\b__[A-Za-z]\w{2,60}|%[A-Z][A-Z_]{2,40}%|@Model\.\w+|\bi18n\.[\w.]+",
     r"\{[a-z]+(?:_[a-z]+)+\}|<[a-z]+(?:_[a-z]+)+>|\[[a-z]+(?:_[a-z]+)+\]",
-    r"\[(?:insert|enter|add|your) [^\]]{1,60}\]|\[[^\]]{1,40} here\]|\[(?:company|model|product|brand|first|last) ?name\]",
+    r"\[(?i:insert|enter|add|your) [^\]]{1,60}\]|\[[^\]]{1,40} here\]|\[(?i:company|model|product|brand|first|last) ?(?i:name)\]",
     r"[:–]\s*(?:<[a-z]+>|\[[a-z]+\]|\{[a-z]+\})\s*$|^(?:<[a-z]+>|\[[a-z]+\]|\{[a-z]+\})$",
     r"\[object Object\]|#(?:REF|VALUE|NAME|DIV/0|N/A|NUM)[!?]?(?!\w)|\bNaN\b|[:–]\s*(?:undefined|null)\b|^undefined\b|\bundefined undefined\b|\bX{4,}\b|\(replace before publishing\)",
 )

@@ -76,9 +76,11 @@ def picked(codes: np.ndarray, unit: int, least: int) -> tuple[np.ndarray, np.nda
     at, h = np.concatenate(found_at), np.concatenate(found_h)
     at, first = np.unique(at, return_index=True)
     h = h[first]
-    # of overlapping runs with one hash (a repeated pattern) the first and the last are enough
-    same = (h[1:] == h[:-1]) & (np.diff(at) < unit)
-    inner = np.concatenate(([False], same)) & np.concatenate((same, [False]))
+    # of overlapping runs with one hash (a repeated pattern) the first, the last and one within each reach are enough
+    same = np.concatenate(([False], (h[1:] == h[:-1]) & (np.diff(at) < unit)))
+    chain = np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
+    step = (at - at[chain]) // max(1, (least - unit) // 2)
+    inner = same & np.concatenate((same[1:], [False])) & np.concatenate(([False], step[1:] == step[:-1]))
     return at[~inner], h[~inner]
 
 
@@ -146,7 +148,7 @@ class Shared:
         keyed = docs.select("doc_id", F.sha2("text", 256).alias("sha"))
         first = keyed.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).where("copies > 1")
         #: (doc_id, first) of the documents that have exact copies
-        self.copies = materialize(keyed.join(first, "sha").select("doc_id", "first"), "copies")
+        self.copies = materialize(keyed.join(first, "sha").select("doc_id", "first").distinct(), "copies")
         texts = docs.join(self.copies.where("doc_id != first"), "doc_id", "left_anti")
         units = texts.mapInArrow(lambda it: _units(it, unit, least), "digest bigint, doc_id bigint, at int").repartition("digest")
         again = units.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
@@ -187,7 +189,7 @@ class Shared:
         hits = self.members.join(far, ["digest", "class"]).select("doc_id", (F.col("at") - F.col("left")).alias("start"), (F.col("at") + F.col("right")).alias("end"), (F.col("lowest") < F.col("doc_id")).alias("earlier"))
         lists = hits.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end", "earlier"))).alias("hits"))
         merged = lists.select("doc_id", F.explode(_merge(F.col("hits"))).alias("s")).select("doc_id", "s.start", (F.col("s.end") - F.col("s.start")).alias("length"), "s.earlier")
-        c = self.copies.join(self.sizes, "doc_id")
+        c = self.copies.join(self.sizes.distinct(), "doc_id")
         whole = c.select("doc_id", F.lit(0).alias("start"), F.col("chars").alias("length"), (F.col("doc_id") != F.col("first")).alias("earlier"))
         return merged.join(self.copies, "doc_id", "left_anti").unionByName(whole)
 
