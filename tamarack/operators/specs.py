@@ -18,6 +18,11 @@ TEXT_CONFIDENCE, TABLE_CONFIDENCE = 0.8, 0.9
 BLANKS = "\u00a0\u2002\u2003\u2007\u2009\u202f\u3000"
 
 
+def sanitize_text(text: Column) -> Column:
+    """Control characters dropped, except tab, line end and carriage return."""
+    return F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")
+
+
 def plain_blanks(text: Column) -> Column:
     return F.translate(text, BLANKS, " " * len(BLANKS))
 
@@ -56,8 +61,9 @@ def from_text(pages: DataFrame, text: str = "text", url: str = "url", patterns:
     none = F.array().cast("array<struct<parameter:string,value:string,unit:string,seq:bigint>>")
     likely = lambda p: reduce(lambda a, b: a | b, [F.col("_l").contains(w) for w in p.needs])
     per = [F.flatten(F.array(*[F.when(likely(p), _matches(F.col("_t"), p)).otherwise(none) for p in patterns if p.parameter == n])).alias(f"_m_{i}") for i, n in enumerate(names)]
-    found = df.select(*keep, F.flatten(F.array(*per)).alias("_m")).where(F.size("_m") > 0)
-    facts = found.select(*keep, F.explode("_m").alias("_f")).select(*keep, "_f.parameter", "_f.value", "_f.unit", "_f.seq")
+    # no filter on the array, and an outer explode: the planner would evaluate every pattern again for a filter below the projection
+    found = df.select(*keep, F.flatten(F.array(*per)).alias("_m"))
+    facts = found.select(*keep, F.explode_outer("_m").alias("_f")).where("_f is not null").select(*keep, "_f.parameter", "_f.value", "_f.unit", "_f.seq")
     return facts.withColumn("confidence", urls.source_confidence(TEXT_CONFIDENCE, F.col(url)))
 
 

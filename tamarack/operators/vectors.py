@@ -20,6 +20,11 @@ def hashing_encoder(dims: int = 256):
     return encode
 
 
+def store(chunks: DataFrame, path: str) -> None:
+    """Append chunks with their vectors and metadata to a collection, partitioned by brand so that a search's filter reads one folder."""
+    chunks.select("chunk_id", "text", "brand", "model", "equipment_type", "source_url", "embedding").write.mode("append").partitionBy("brand").parquet(path)
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

@@ -578,6 +578,14 @@ def knn_filtered(spark, t):
     return vectors.search(e, [float(x) for x in q], 10, "3", "vec_id").select("vec_id", F.round("distance", 6).alias("distance"))
 
 
+@query(
+    """SELECT doc_id, md5(regexp_replace(text, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g')) AS clean_md5, coalesce(length(text), 0) > 100 AS long_enough FROM documents"""
+)
+def text_sanitize(spark, t):
+    """Texts without control characters, and the least length of a page."""
+    return t("documents").select("doc_id", F.md5(specs.sanitize_text(F.col("text"))).alias("clean_md5"), (F.coalesce(F.length("text"), F.lit(0)) > R.MIN_PAGE).alias("long_enough"))
+
+
 # --- HTML
 
 
