@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators import chunks, consensus, curves, qa, search, specs, vectors
+from .session import materialize
 
 
 def scraped(results: DataFrame, fetched: DataFrame, least: int = 100) -> DataFrame:
@@ -18,11 +19,12 @@ def extracted(pages: DataFrame) -> dict[str, DataFrame]:
     """From pages(url, brand, model, text_content, tables): facts per page, the quality report, consensus per machine, and curves."""
     keys = ["brand", "model", "url"]
     base = pages.select(*keys, F.col("text_content").alias("text"), "tables")
-    facts = specs.profile(base, keys)
+    facts = materialize(specs.profile(base, keys), "facts")  # three results are made from them
     report = qa.report(facts, keys)
     passed = qa.check(facts).where("passed").withColumn("source_url", F.col("url"))
     agreed = consensus.consensus(passed.select("brand", "model", "parameter", "value", "unit", "confidence", "source_url", "seq"))
     points = curves.from_tables(base.drop("text")).unionByName(curves.from_text(base.drop("tables")).withColumn("curve_no", F.lit(-1)))
+    points = materialize(points, "points")
     valid, curve_report = curves.check(points, ["brand", "model", "url", "curve_no"])
     curve = curves.consensus(valid.withColumn("source_url", F.col("url")).withColumn("curve", F.concat_ws("#", "url", "curve_no")), ["brand", "model"], "curve")
     return {"facts": facts, "report": report, "consensus": agreed, "curves": curve, "curve_report": curve_report}
@@ -32,3 +34,37 @@ def embedded(pages: DataFrame, encode=None, size: int = 512, overlap: int = 50)
     """Chunks of pages with their vectors."""
     parts = chunks.chunk_words(pages.select("brand", "model", F.col("url").alias("source_url"), F.col("text_content").alias("text")), size, overlap, url="source_url", name=["brand", "model"])
     return (encode or vectors.hashing_encoder())(parts.withColumnRenamed("chunk", "text"))
+
+
+def persist(store, agreed: DataFrame, curve: DataFrame, sources: DataFrame | None = None, parameters_at: str | None = None) -> DataFrame:
+    """Consensus values and curve points into the warehouse, for brands that it knows by name.
+
+    Machines it doesn't have are added; a machine's value of a parameter replaces the stored
+    one, its curve the stored curve; fetched addresses are recorded, so that they count as
+    visited. Returns the counts written: (table_name, rows).
+    """
+    spark = agreed.sparkSession
+    brands = store.read("brands").select(F.col("id").alias("brand_id"), F.col("name").alias("brand"))
+    known = agreed.select("brand", "model").unionByName(curve.select("brand", "model")).distinct().join(brands, "brand")
+    new = known.select("brand_id", "model")
+    store.insert_absent("equipment", new, ["brand_id", "model"])
+    machines = store.read("equipment").select(F.col("id").alias("equipment_id"), "brand_id", "model").join(brands, "brand_id").drop("brand_id")
+    now = F.lit(parameters_at).cast("timestamp") if parameters_at else F.current_timestamp()
+    written = []
+
+    def put(table: str, rows: DataFrame, keys: list[str]) -> None:
+        stored = store.read(table)
+        rest = stored.join(rows.select(*keys).distinct(), keys, "left_anti")
+        top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
+        fresh = rows.crossJoin(top).withColumn("id", F.col("_top") + 1 + F.monotonically_increasing_id()).drop("_top")
+        store.replace(table, rest.select(*stored.columns).unionByName(fresh, allowMissingColumns=True).select(*stored.columns))
+        written.append((table, store.read(table).join(rows.select(*keys).distinct(), keys, "left_semi").count()))
+
+    facts = agreed.join(machines, ["brand", "model"]).select("equipment_id", "parameter", F.col("best_value").alias("value"), F.col("best_unit").alias("unit"), F.col("final_confidence").alias("confidence"), F.get("sources", F.lit(0)).alias("source_url"), now.alias("extracted_at"))
+    put("technical_specs", facts, ["equipment_id", "parameter"])
+    points = curve.join(machines, ["brand", "model"]).select("equipment_id", "gear", "speed_kmh", "force_kn", "original_unit", "confidence", "source_url", now.alias("extracted_at"))
+    put("rimpull_points", points, ["equipment_id"])
+    if sources is not None:
+        rows = sources.join(machines, ["brand", "model"]).select("equipment_id", "url", "title", F.sha2("text_content", 256).alias("content_hash"), now.alias("scraped_at"), F.length("text_content").cast("bigint").alias("content_length"))
+        put("data_sources", rows.dropDuplicates(["equipment_id", "url"]), ["equipment_id", "url"])
+    return spark.createDataFrame(written, "table_name string, rows bigint")
