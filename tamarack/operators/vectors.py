@@ -7,6 +7,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import tune
+
 
 def hashing_encoder(dims: int = 256):
     """The encoder that needs no model: hashed word counts of unit length, as array<float>. Any function of (DataFrame, text, out) can take its place."""
@@ -69,6 +71,8 @@ def knn(queries: DataFrame, base: DataFrame, n: int = 10, key: str = "vec_id", v
     import numpy as np
     import pandas as pd
 
+    tune(base.sparkSession)  # packs travel in batches of bounded bytes
+
     def packs(df: DataFrame, name: str, salt: int) -> DataFrame:
         v = F.col(vector).cast("array<float>")
         good = df.where((F.size(vector) == dims) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0))
