@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, tune
 
 #: Vectors that centroids are fitted on, queries that the number of probes is measured with, vectors in a block, queries in a pack.
 FIT_ROWS, MEASURE_ROWS, BLOCK_ROWS, PACK_ROWS = 16_384, 256, 4096, 2048
@@ -179,7 +179,7 @@ def nearest(chunks: DataFrame, k: int = 5, dims: int = 64, recall: float = 0.998
     Equal vectors are each other's neighbours at similarity 1. Fewer than k + 1 usable
     vectors have all the others; an empty table gives an empty result.
     """
-    spark = chunks.sparkSession
+    spark = tune(chunks.sparkSession)  # packs travel in batches of bounded bytes
     all_ = materialize(usable(chunks, dims), "vectors")
     rank = F.dense_rank().over(Window.partitionBy("e").orderBy("id"))  # a row that came twice counts once
     few = all_.withColumn("n", rank).where(F.col("n") <= k + 1)
