@@ -6,6 +6,7 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,24 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply :data:`RUNTIME` to a session that something else has built."""
     for k, v in RUNTIME.items():
         spark.conf.set(k, v)
+    return ship(spark)
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the package to Python workers that neither PYTHONPATH nor the working directory leads to it; once a session."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if getattr(spark, "_tamarack_shipped", False) or any(p and os.path.realpath(p) == os.path.realpath(root) for p in found):
+        return spark
+    to = os.path.join(tempfile.mkdtemp(prefix="tamarack-"), "tamarack.zip")
+    with zipfile.ZipFile(to, "w") as z:
+        for folder, _, files in os.walk(os.path.join(root, "tamarack")):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, root))
+    spark.sparkContext.addPyFile(to)  # Spark sends it to every executor
+    spark._tamarack_shipped = True
     return spark
 
 
