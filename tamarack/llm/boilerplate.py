@@ -10,19 +10,22 @@ legal notices, prompts, adverts) and the items that follow a teaser's heading, w
 differ from page to page and which no pairing could find; the only page of a host has
 nothing else to go by.
 
-Order comes from a range partitioning, so a host of any size is spread over tasks, and a
-page's neighbour is the one beside it in its task.
+Order comes from a range partitioning, so a host of any size is spread over tasks. Copies
+that follow each other are differenced once; where a task's edge hides a neighbour, it is
+carried over from the tasks beside it.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .patterns import FILLER, NOTICE_LINE, SLOT
 
 # General kinds of boilerplate lines in English, Spanish, German and French (matched from the start of a line, case ignored).
@@ -50,6 +53,8 @@ PROMPTS = (
 TEASERS = r"(?:most read|lo más leído|meistgelesen|les plus lus|recently viewed|vistos recientemente|zuletzt angesehen|vus récemment|related models|modelos relacionados|ähnliche modelle|modèles similaires|you may also like|también le puede interesar|das könnte sie|vous aimerez aussi|top listings|avisos destacados|top-angebote|top-anzeigen|annonces vedettes|popular tags|etiquetas populares|beliebte schlagwörter|mots-clés populaires|latest news|últimas noticias|neueste meldungen|dernières nouvelles)\W*$"
 #: Items that a teaser lists at most.
 TEASER_ITEMS = 5
+#: Copies of a page that a task keeps waiting.
+COPIES = 1000
 #: Headings of sections, which pages of one kind share.
 HEADINGS = r"(?:dimensions|overview|key features|trial summary|performance|operator comfort|maintenance|engine|service notes|hydraulics|haul test|field results|specifications|descripción|dimensiones|ensayo de acarreo|mantenimiento|resultados en faena|especificaciones|motor|technische daten|abmessungen|überblick|einsatzbericht|wartung|aperçu|essai sur site|entretien|caractéristiques|moteur|hydraulik|hidráulica|hydraulique)$"
 
@@ -196,15 +201,30 @@ def boilerplate_lines(lines: list[str], title: str | None, host: str, shared: li
 
 
 class _Page:
-    __slots__ = ("page_id", "host", "title", "text", "lines", "shapes", "filled")
+    __slots__ = ("host", "text", "lines", "shapes", "filled")
 
-    def __init__(self, row):
-        self.page_id, self.host, self.title, self.text = row.page_id, row.host, row.title, row.text
-        self.lines = (row.text or "").split("\n")
+    def __init__(self, host: str, text: str | None):
+        self.host, self.text = host, text
+        self.lines = (text or "").split("\n")
         self.filled = [i for i, x in enumerate(self.lines) if x.strip()]
         self.shapes = [masked(self.lines[i]) for i in self.filled]
 
 
+class _Run:
+    """Copies of a page that follow each other, with the nearest different pages of its host. first, last: whether what is before or after it isn't known to its task; part: whether its copies go on in other runs."""
+
+    __slots__ = ("page", "path", "copies", "before", "after", "first", "last", "part")
+
+    def __init__(self, page: _Page, path: str, before: _Page | None, first: bool):
+        self.page, self.path, self.before, self.first = page, path, before, first
+        self.copies: list[tuple[int | None, str | None]] = []
+        self.after, self.last, self.part = None, False, False
+
+    @property
+    def waits(self) -> bool:
+        return self.first or self.last or self.part
+
+
 def _shared(p: _Page, others: list[_Page]) -> list[bool]:
     out = [False] * len(p.lines)
     for o in others:
@@ -213,45 +233,117 @@ def _shared(p: _Page, others: list[_Page]) -> list[bool]:
     return out
 
 
-def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple[_Page, list[_Page]]]]:
-    """Pages in order, each with the nearest different pages of its host before and after it."""
-    before: _Page | None = None  # nearest earlier page that differs from those waiting
-    waiting: list[_Page] = []  # copies of one page, until a different one comes
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[list[_Run]]:
+    """The runs of pages in order. Of many copies a part at a time, so that no more than COPIES wait."""
+    run: _Run | None = None
     for b in batches:
         done = []
         for row in b.itertuples(index=False):
-            p = _Page(row)
-            if waiting and (p.host != waiting[0].host or p.text != waiting[0].text):
-                after = p if p.host == waiting[0].host else None
-                done += [(w, [o for o in (before, after) if o]) for w in waiting]
-                before = waiting[-1] if after else None
-                waiting = []
-            waiting.append(p)
-            if len(waiting) > 1000:  # many copies: their neighbours won't change what they share with the one before
-                done += [(w, [before] if before else []) for w in waiting[:-1]]
-                waiting = waiting[-1:]
+            if run is None:
+                run = _Run(_Page(row.host, row.text), row.path, None, True)
+            elif row.host != run.page.host or row.text != run.page.text:
+                p = _Page(row.host, row.text)
+                beside = p.host == run.page.host
+                run.after = p if beside else None
+                done.append(run)
+                run = _Run(p, row.path, run.page if beside else None, False)
+            elif len(run.copies) >= COPIES:
+                run.last = True
+                done.append(run)
+                run = _Run(run.page, row.path, run.before, run.first)
+                run.part = True
+            run.copies.append((None if pd.isna(row.page_id) else int(row.page_id), row.title))
         yield done
-    yield [(w, [before] if before else []) for w in waiting]
+    if run is not None:
+        run.last = True
+        yield [run]
+
+
+def _flagged(runs: list[_Run]) -> Iterator[tuple[_Page, int | None, list[bool]]]:
+    """(page, page_id, flags of its lines) of every copy; copies differ in their titles only."""
+    for r in runs:
+        shared = _shared(r.page, [o for o in (r.before, r.after) if o])
+        flags: dict[str | None, list[bool]] = {}
+        for page_id, title in r.copies:
+            if title not in flags:
+                flags[title] = boilerplate_lines(r.page.lines, title, r.page.host, shared)
+            yield r.page, page_id, flags[title]
+
+
+def _found(flagged: Iterable[tuple[_Page, int | None, list[bool]]]) -> pd.DataFrame:
+    ids, numbers = [], []
+    for _, page_id, flags in flagged:
+        at = [i + 1 for i, f in enumerate(flags) if f]
+        ids += [page_id] * len(at)
+        numbers += at
+    return pd.DataFrame({"page_id": pd.array(ids, "Int64"), "line_no": pd.array(numbers, "Int32")})
+
 
+def _bodies(flagged: Iterable[tuple[_Page, int | None, list[bool]]]) -> pd.DataFrame:
+    rows = [(i, None if p.text is None else "\n".join(x for x, f in zip(p.lines, flags) if not f)) for p, i, flags in flagged]
+    return pd.DataFrame(rows, columns=["page_id", "body"]).astype({"page_id": "Int64"})
 
-def _found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for done in _neighbours(batches):
-        ids, numbers = [], []
-        for p, others in done:
-            flags = boilerplate_lines(p.lines, p.title, p.host, _shared(p, others))
-            at = [i + 1 for i, f in enumerate(flags) if f]
-            ids += [p.page_id] * len(at)
-            numbers += at
-        yield pd.DataFrame({"page_id": pd.array(ids, "Int64"), "line_no": pd.array(numbers, "Int32")})
 
+_OPEN = ("_run", "_text", "_before", "_after")
+_RUN = "host string, path string, page_id bigint, number bigint, first boolean, last boolean, copies string"
 
-def _bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for done in _neighbours(batches):
+
+def _settled(batches: Iterator[pd.DataFrame], make: Callable[[Iterable], pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The results of the runs whose neighbours a task knows, and the others as they are."""
+    number = 0
+    for runs in _runs(batches):
+        known = make(_flagged([r for r in runs if not r.waits]))
+        yield known.assign(**{c: pd.Series([None] * len(known), dtype=object) for c in _OPEN})
         rows = []
-        for p, others in done:
-            flags = boilerplate_lines(p.lines, p.title, p.host, _shared(p, others))
-            rows.append((p.page_id, None if p.text is None else "\n".join(x for x, f in zip(p.lines, flags) if not f)))
-        yield pd.DataFrame(rows, columns=["page_id", "body"]).astype({"page_id": "Int64"})
+        for r in runs:
+            if r.waits:
+                number += 1
+                run = {"host": r.page.host, "path": r.path, "page_id": r.copies[0][0], "number": number, "first": r.first, "last": r.last, "copies": json.dumps(r.copies)}
+                rows.append((json.dumps(run), r.page.text, r.before and r.before.text, r.after and r.after.text))
+        if rows:
+            yield known.iloc[:0].reindex(range(len(rows))).assign(**dict(zip(_OPEN, zip(*rows))))
+
+
+def _carried(batches: Iterator[pd.DataFrame], unknown: str, side: str) -> Iterator[pd.DataFrame]:
+    """Open runs in order, with the nearest different text on one side where it was unknown: that of the run beside it, or of a copy what the copy has."""
+    host, text, beside, number = None, None, None, 0
+    for b in batches:
+        found = []
+        for h, t, is_open, known in zip(b["host"], b["text"], b[unknown], b[side]):
+            beside = known if not is_open else None if h != host else beside if t == text else text
+            host, text = h, t
+            found.append(beside)
+        yield b.assign(**{side: pd.Series(found, dtype=object), "at": range(number, number + len(b))})
+        number += len(b)
+
+
+def _rest(batches: Iterator[pd.DataFrame], make: Callable[[Iterable], pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        runs = []
+        for row in b.itertuples(index=False):
+            r = _Run(_Page(row.host, row.text), "", None if row.before is None else _Page(row.host, row.before), False)
+            r.after = None if row.after is None else _Page(row.host, row.after)
+            r.copies = [(i, title) for i, title in json.loads(row.copies)]
+            runs.append(r)
+        yield make(_flagged(runs))
+
+
+def differenced(pages: DataFrame, make: Callable[[Iterable], pd.DataFrame], schema: str) -> DataFrame:
+    """What ``make`` gives for (page, page_id, flags of its lines) of all rows of pages.
+
+    Runs at the edges of a task, and runs of more than COPIES copies, wait for what stands
+    beside them: two rows a task, and one for every COPIES copies, meet by host.
+    """
+    out = _ordered(pages).mapInPandas(lambda it: _settled(it, make), f"{schema}, {', '.join(f'{c} string' for c in _OPEN)}")
+    out = materialize(out, "differenced")
+    names = [c for c in out.columns if c not in _OPEN]
+    kept = "host string, text string, before string, after string, first boolean, last boolean, copies string, at bigint"
+    columns = [x.split()[0] for x in kept.split(", ")]
+    waiting = out.where("_run is not null").select(F.from_json("_run", _RUN).alias("r"), F.col("_text").alias("text"), F.col("_before").alias("before"), F.col("_after").alias("after"))
+    waiting = waiting.select("r.*", "text", "before", "after", F.lit(0).cast("bigint").alias("at")).repartition("host").sortWithinPartitions("host", "path", "page_id", "number").select(columns)
+    waiting = waiting.mapInPandas(lambda it: _carried(it, "first", "before"), kept).sortWithinPartitions(F.desc("host"), F.desc("at"))
+    waiting = waiting.mapInPandas(lambda it: _carried(it, "last", "after"), kept).repartition("host", "at")
+    return out.where("_run is null").select(names).unionByName(waiting.mapInPandas(lambda it: _rest(it, make), schema))
 
 
 def _ordered(pages: DataFrame) -> DataFrame:
@@ -259,7 +351,7 @@ def _ordered(pages: DataFrame) -> DataFrame:
     host = F.regexp_replace(host, r"^www\.", "")
     path = F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), r"^\s*(?i)(?:https?:)?//[^/?#]*", ""), r"\d+", "")
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), host.alias("host"), path.alias("path"), "title", F.col("text_content").alias("text"))
-    return rows.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id").select("page_id", "host", "title", "text")
+    return rows.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
 
 
 def boilerplate(pages: DataFrame) -> DataFrame:
@@ -269,9 +361,9 @@ def boilerplate(pages: DataFrame) -> DataFrame:
     texts have none; pages without address are neighbours of each other; repeated rows give
     their lines again. An empty table gives an empty result; other columns are ignored.
     """
-    return _ordered(pages).mapInPandas(_found, "page_id bigint, line_no int")
+    return differenced(pages, _found, "page_id bigint, line_no int")
 
 
 def bodies(pages: DataFrame) -> DataFrame:
     """(page_id, body): the texts without their boilerplate lines; null stays null."""
-    return _ordered(pages).mapInPandas(_bodies, "page_id bigint, body string")
+    return differenced(pages, _bodies, "page_id bigint, body string")

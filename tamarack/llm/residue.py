@@ -14,12 +14,12 @@ followed by no more text than a notice has.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .boilerplate import _neighbours, _ordered, _shared, boilerplate_lines
+from .boilerplate import differenced
 from .patterns import FILLER, LATIN_FILLER, NOTICE_LINE, SLOT
 
 #: Tokens on the tree's path, leaves kept by a worker, lines a notice may come after, characters of other text that a notice page may have, and the longest template.
@@ -100,15 +100,18 @@ def page_verdict(body: list[str], tree: Tree) -> tuple[str, str]:
     return found
 
 
-def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    tree = Tree()
-    for done in _neighbours(batches):
+class _Judge:
+    """Verdicts on the bodies of pages, with one tree a task."""
+
+    def __init__(self):
+        self.tree = Tree()
+
+    def __call__(self, flagged: Iterable) -> pd.DataFrame:
         rows = []
-        for p, others in done:
-            flags = boilerplate_lines(p.lines, p.title, p.host, _shared(p, others))
+        for p, page_id, flags in flagged:
             body = [x.strip() for x, f in zip(p.lines, flags) if x.strip() and not f]
-            rows.append((p.page_id, *page_verdict(body, tree)))
-        yield pd.DataFrame(rows, columns=["page_id", "kind", "evidence"]).astype({"page_id": "Int64"})
+            rows.append((page_id, *page_verdict(body, self.tree)))
+        return pd.DataFrame(rows, columns=["page_id", "kind", "evidence"]).astype({"page_id": "Int64"})
 
 
 def verdicts(pages: DataFrame) -> DataFrame:
@@ -118,7 +121,7 @@ def verdicts(pages: DataFrame) -> DataFrame:
     Null and empty texts are clean; repeated rows are judged again; an empty table gives an
     empty result; other columns are ignored.
     """
-    return _ordered(pages).mapInPandas(_judged, "page_id bigint, kind string, evidence string")
+    return differenced(pages, _Judge(), "page_id bigint, kind string, evidence string")
 
 
 def residue(pages: DataFrame) -> DataFrame:

@@ -45,6 +45,24 @@ def test_edges(spark):
     assert {r.page_id: r.body for r in B.bodies(spark.createDataFrame(twice[:1] + [page(5, None)], SCHEMA)).collect()} == {1: "T\n" + BODY.format(i=1), 5: None}
 
 
+def test_copies_and_edges_of_tasks_have_neighbours_on_both_sides(spark):
+    lines = lambda i: ["Depot opening hours", "T", BODY.format(i=i), "Spare parts desk"]
+    copies = [page(i, lines(1), "https://site.example/a") for i in range(2500)]
+    rows = [*copies, page(9000, lines(2), "https://site.example/b"), page(9001, None, "https://site.example/c"), page(9002, lines(3), "https://other.example/a")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for frame in (df.coalesce(1), df.repartition(7)):
+        got = {}
+        for r in B.boilerplate(frame).collect():
+            got.setdefault(r.page_id, []).append(r.line_no)
+        assert {k: sorted(v) for k, v in got.items()} == {**{i: [1, 4] for i in range(2500)}, 9000: [1, 4], 9002: [1]}
+    two = [page(i, lines(i), f"https://site.example/{'ab'[i]}") for i in (0, 1)]
+    tasks = [B.pd.DataFrame({"page_id": [x[0]], "host": "h", "path": "", "title": "T", "text": x[3]}) for x in two]
+    runs = [r for b in tasks for done in B._runs(iter([b])) for r in done]
+    assert [(r.first, r.last) for r in runs] == [(True, True)] * 2  # each a task of its own
+    table = B.pd.DataFrame({"host": "h", "text": [x[3] for x in two], "first": True, "before": None})
+    assert next(B._carried(iter([table]), "first", "before"))["before"].tolist() == [None, two[0][3]]
+
+
 def lcs_length(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
