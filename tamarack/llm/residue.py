@@ -3,8 +3,9 @@
 Lines of a page's body (see :mod:`.boilerplate`) go down a prefix tree of fixed depth:
 their number of tokens, then their first tokens with numbers and codes masked, then the
 rest of the template. A template is judged once, when its leaf is made, and every later
-line that reaches the leaf takes the verdict; so it depends on the template alone, not on
-the order of lines or on a task's rows. Lines of ordinary records are searched separately
+line that reaches the leaf takes the verdict; lines with numbers or codes and long lines are
+judged each by itself, by the same lists. So verdicts don't depend on the order of lines or
+on a task's rows. Lines of ordinary records are searched separately
 for unfilled slots and failed values, which no template names.
 
 A page is a notice if a notice stands in place of its content: among its first lines, and
@@ -22,24 +23,21 @@ from pyspark.sql import DataFrame
 from .boilerplate import differenced
 from .patterns import FILLER, LATIN_FILLER, NOTICE_LINE, SLOT
 
-#: Tokens on the tree's path, leaves kept by a worker, lines a notice may come after, characters of other text that a notice page may have, and the longest template.
+#: Tokens on the tree's path, leaves kept by a worker, lines a notice may come after, characters of other text that a notice page may have, and the longest line that is kept as a template or counts whole as a notice.
 DEPTH, LEAVES, FIRST, OTHER, LONG = 4, 200_000, 4, 400, 200
 _MASK = re.compile(r"\d+|[A-Z]{1,3}[-/]?\d\w*")
+_TRACE = re.compile(r"traceback \(most recent call last\)|exception in thread", re.I)
 _WORDS = re.compile(r"[a-záéíóúñüäößàâçèêëîïôûœ]+", re.I)
 _MAYBE = re.compile(r"[{}\[\]<>$@#_]|\(\(\(|%[A-Z%]|NaN|undefined|null|XXXX|i18n|\(replace")
 
 
 def is_latin_filler(line: str) -> bool:
-    if len(LATIN_FILLER.intersection(line.lower().split())) < 4:
-        return False
     words = _WORDS.findall(line.lower())
     return len(words) >= 5 and sum(w in LATIN_FILLER for w in words) >= 0.8 * len(words)
 
 
 def judge(line: str) -> str:
     """The verdict on a template, from one of its lines: notice, filler or ""."""
-    if len(line) > LONG:  # a paragraph: no message's template
-        return "filler" if is_latin_filler(line) or "lorem ipsum" in line.lower() or "dummy text" in line.lower() else ""
     if NOTICE_LINE.match(line):
         return "notice"
     if FILLER.match(line) or is_latin_filler(line):
@@ -55,9 +53,11 @@ class Tree:
         self.leaves = 0
 
     def verdict(self, line: str) -> str:
-        if len(line) > LONG:
+        line = " ".join(line.split())
+        form = _MASK.sub("*", line)
+        if len(line) > LONG or form != line:  # a paragraph, or numbers that may decide ("404"), which the template hides
             return judge(line)
-        tokens = _MASK.sub("*", line).split()
+        tokens = form.split(" ")
         node = self.root.setdefault(len(tokens), {})
         for t in tokens[:DEPTH]:
             node = node.setdefault(t, {})
@@ -89,6 +89,8 @@ def page_verdict(body: list[str], tree: Tree) -> tuple[str, str]:
             evidence = evidence or line
             if re.match(r"(?:warning|notice|fatal error|deprecated|parse error):", line, re.I):
                 found = ("slot", line)  # a program's message in the text is residue anywhere
+            elif not _TRACE.match(line):
+                other += max(0, len(line) - LONG)  # what follows a notice in its own line
             continue
         other += len(line) if i else 0  # the first line is the title
         if v == "filler" and not found[0]:

@@ -120,3 +120,15 @@ def test_a_verdict_does_not_depend_on_order():
     lines = SLOTS + PLAIN + ["Bad gateway", "404 – Page not found", "500 – Page not found"]
     a, b = R.Tree(), R.Tree()
     assert [a.verdict(x) for x in lines] == [b.verdict(x) for x in reversed(lines)][::-1]
+
+
+def test_long_lines_and_lines_with_numbers_are_judged_whole():
+    words = "the shift report of the north pit goes here and is kept until the next crew has read it " * 3
+    for line in ("TODO: " + words, "Texto de relleno " + words, "Hier steht später " + words, "Click to edit " + words, "lorem, ipsum, dolor, sit, amet", "Lorem lorem lorem lorem lorem"):
+        assert R.page_verdict(["Title", BODY.format(i=1) * 5, line], R.Tree())[0] == "filler", line
+    assert R.page_verdict(["404 – Page not found. " + words], R.Tree())[0] == "notice"
+    assert R.page_verdict(["Title", "Traceback (most recent call last): " + words * 4], R.Tree())[0] == "notice"
+    assert R.page_verdict(["Title", BODY.format(i=1) * 9, "Warning: Undefined array key 3 " + words], R.Tree())[0] == "slot"
+    assert R.page_verdict(["This page has been removed from the index, " + words * 9], R.Tree())[0] == ""
+    tree = R.Tree()
+    assert [tree.verdict(x) for x in ("200 – Page not found", "404 – Page not found", "page  not found", "page not found")] == ["", "notice", "notice", "notice"]
