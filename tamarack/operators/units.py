@@ -204,14 +204,16 @@ def normalize_units(records: DataFrame, catalog: DataFrame) -> DataFrame:
     (record_kind, record_id, device, parameter, number, unit, common_unit, value_common,
     decoded, is_common): unit is the stated or decoded unit, decoded tells which; is_common
     is false where number or scale isn't the common unit's. Records of parameters without
-    common unit, and missing values, come out with nulls. Null devices form a chain of their
+    common unit, and missing or unreadable values, come out with null number, unit,
+    value_common, decoded and is_common. Null devices form a chain of their
     own, records without a time a step of their own. An empty table gives an empty result.
     """
     month = F.coalesce(F.year("ts") * 12 + F.month("ts"), F.lit(0)).cast("int").alias("month")
     read = read_records(records.select("record_kind", "record_id", "device", "parameter", "value", "unit", "hint", month), catalog)
-    narrow = read.where((F.col("number") > 0))
-    narrow = materialize(narrow.drop("value", "unit", "missing", "alone"), "units")
-    full = narrow.join(F.broadcast(common_units(catalog).drop("dim", "common")), "parameter").withColumn("x", F.col("number") * F.col("scale"))
+    narrow = materialize(read.drop("value", "unit", "missing", "alone"), "units")
+    known = narrow.join(F.broadcast(common_units(catalog).drop("dim", "common")), "parameter", "left")
+    readable = F.coalesce((F.col("number") > 0) & F.col("states").isNotNull(), F.lit(False))
+    full = known.where(readable).withColumn("x", F.col("number") * F.col("scale"))
     steps = unit_steps(full.select("device", "parameter", "month", "idx", "x", "home", "low", "high", "factors"))
     unit_of = lambda i: F.get("states", i.cast("int"))
     sure = full.where(F.col("idx").isNotNull()).select(
@@ -236,7 +238,11 @@ def normalize_units(records: DataFrame, catalog: DataFrame) -> DataFrame:
     decoded = joined.select(
         "record_kind", "record_id", "device", "parameter", "number", unit_of(F.col("_i")).alias("unit"), F.get("states", F.lit(0)).alias("common_unit"), value.alias("value_common"), F.lit(True).alias("decoded"), F.lit(False).alias("is_common"),
     )
-    return sure.unionByName(decoded)
+    none = lambda kind: F.lit(None).cast(kind)
+    unread = known.where(~readable).select(
+        "record_kind", "record_id", "device", "parameter", none("double").alias("number"), none("string").alias("unit"), F.get("states", F.lit(0)).alias("common_unit"), none("double").alias("value_common"), none("boolean").alias("decoded"), none("boolean").alias("is_common"),
+    )
+    return sure.unionByName(decoded).unionByName(unread)
 
 
 def not_common(records: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -62,6 +62,19 @@ def test_not_common(spark, catalog):
     assert by_id[10].unit == "mm" and by_id[4].value_common == pytest.approx(9.1) and not by_id[4].decoded
 
 
+def test_every_record_comes_out(spark, catalog):
+    t = datetime(2024, 1, 5)
+    rows = [(1, 1, "ancho_total", "9.1", "m", t), (2, 1, "ancho_total", "n/a", "m", t), (3, None, "ancho_total", None, None, None), (4, 1, "norma_emisiones", "Tier 4", "", t), (5, 1, None, "5", "ft", t), (6, 1, "unknown", "5", "ft", t), (7, 1, "ancho_total", "910", "", t), (7, 1, "ancho_total", "0", "m", t)]
+    specs = spark.createDataFrame(rows, "id bigint, equipment_id bigint, parameter string, value string, unit string, extracted_at timestamp")
+    points = spark.createDataFrame([(8, 1, None, "lbf", t), (9, 1, 900.0, "kN", t)], "id bigint, equipment_id bigint, force_kn double, original_unit string, extracted_at timestamp")
+    got = units.normalize_units(units.spec_records(specs).unionByName(units.point_records(points)), catalog).collect()
+    assert sorted(r.record_id for r in got) == [1, 2, 3, 4, 5, 6, 7, 7, 8, 9]
+    none = [r for r in got if r.number is None]
+    assert sorted(r.record_id for r in none) == [2, 3, 4, 5, 6, 7, 8]
+    assert all(x is None for r in none for x in (r.unit, r.value_common, r.decoded, r.is_common))
+    assert {r.record_id: r.common_unit for r in none} == {2: "m", 3: "m", 4: None, 5: None, 6: None, 7: "m", 8: "kN"}
+
+
 def test_points(spark, catalog):
     rows = [(1, 1, 900.0, "kN"), (2, 1, 5200.0, " KN "), (3, 1, 200000.0, "lbf"), (4, 1, 890.0, "lbf"), (5, 1, 0.5, "MN"), (6, 1, 0.0, "N"), (7, 1, None, "lbf"), (8, None, 95000.0, None), (9, 1, 900000.0, "newtons")]
     df = spark.createDataFrame([(*r, datetime(2024, 1, 1)) for r in rows], "id bigint, equipment_id bigint, force_kn double, original_unit string, extracted_at timestamp")
