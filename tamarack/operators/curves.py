@@ -107,7 +107,7 @@ def from_text(pages: DataFrame, text: str = "text", url: str = "url") -> DataFra
     falls out if its gear already has a force within 0.1 kN. A curve has two points or more.
     """
     keep = [c for c in pages.columns if c != text]
-    t = F.substring(F.col(text), 1, R.MAX_TEXT)
+    t = F.col(text)
     ci = "(?iu)"
 
     def points(found: Column, rx: str, gears: tuple[int, ...], value: int) -> Column:

@@ -49,12 +49,11 @@ def from_text(pages: DataFrame, text: str = "text", url: str = "url", patterns:
 
     Every non-overlapping match of every pattern counts, in order of patterns; duplicates
     between patterns stay. Case is ignored in patterns but not in the spelling of units.
-    At most 200,000 characters of a text are read, which is a limit of the rule set. Null
-    and empty texts have no facts.
+    Texts are read whole; null and empty ones have no facts.
     """
     patterns = patterns or R.patterns()
     keep = [c for c in pages.columns if c != text]
-    t = plain_blanks(F.substring(F.col(text), 1, R.MAX_TEXT))
+    t = plain_blanks(F.col(text))
     df = spread(pages.where(F.length(text) > 0)).withColumn("_t", t).withColumn("_l", F.lower("_t"))
     # one array per parameter: a single expression with all patterns would be too large a method
     names = list(dict.fromkeys(p.parameter for p in patterns))

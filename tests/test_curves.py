@@ -40,6 +40,11 @@ def test_text(spark):
     assert run("1st gear rimpull: 950 kN") == [] and run("") == [] and run("rimpull of note") == []
 
 
+def test_text_is_read_to_its_end(spark):
+    df = spark.createDataFrame([(1, "u", "word " * 60_000 + "Rimpull: 1st: 950 kN, 2nd: 750 kN")], "p int, url string, text string")
+    assert [(r.gear, r.force_kn) for r in curves.from_text(df).orderBy("seq").collect()] == [("1st", 950.0), ("2nd", 750.0)]
+
+
 def test_check(spark):
     rows = [("a", "1st", 5.0, 900.0, 1), ("a", "2nd", 9.0, 950.0, 2), ("a", "3rd", 90.0, 500.0, 3), ("a", "4th", None, 0.0, 4), ("a", "5th", None, 20.0, 5), ("a", "Reverse", None, 999.0, 6), ("b", "1st", 5.0, 900.0, 7)]
     ok, report = curves.check(spark.createDataFrame(rows, "c string, gear string, speed_kmh double, force_kn double, seq int"), ["c"])

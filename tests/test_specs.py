@@ -40,6 +40,12 @@ def test_text_edges(spark):
     assert ("profundidad_excavacion", "9100", "m") in facts(spark, "max digging depth 9,100 mm")
 
 
+def test_text_is_read_to_its_end(spark):
+    df = spark.createDataFrame([(1, "u", "word " * 60_000 + "Operating weight: 22 ton")], "page_id int, url string, text string")
+    weight = tuple(p for p in R.patterns() if p.parameter == "peso_operativo")
+    assert "22" in [r.value for r in specs.from_text(df, patterns=weight).collect()]
+
+
 def test_tables(spark):
     tables = [
         [["Parameter", "Value", "Unit"], ["Operating weight", "250", "ton"], ["Dump height", "7.1 m", ""], ["", "1", "m"], ["Nonsense", "1", "m"]],
