@@ -1,76 +1,85 @@
 """The main body of pages, by differencing pages with their nearest neighbours by address.
 
-Pages are put in order of host and path. Each is aligned with the nearest page of its host
-before and after it (other than copies of itself) by the longest common subsequence of
-their lines, numbers masked. What two pages of one template share is navigation, notices
-and footers, except what pages share because they are of one kind: headings, labels and
-values, and sentences. So a shared line is deleted unless it reads as content. What comes
-before the page's title is deleted too, as are lines of a few general kinds (consent and
-legal notices, prompts, adverts) and the items that follow a teaser's heading, which
-differ from page to page and which no pairing could find; the only page of a host has
-nothing else to go by.
-
-Order comes from a range partitioning, so a host of any size is spread over tasks. Copies
-that follow each other are differenced once; where a task's edge hides a neighbour, it is
-carried over from the tasks beside it.
+1. Pages are read once where they lie; a line becomes a digest of its form (numbers and the
+   site's name masked) and a few bits that say what kind of line it is. Only these travel.
+2. Different pages of a host are put in order of path and numbered. Each is aligned with its
+   ``NEAR`` nearest pages before and after it by the longest common subsequence of their
+   lines; blocks of consecutive numbers overlap by ``NEAR`` pages, so that a host of any
+   size is spread over tasks and no page lacks a neighbour for standing at a task's edge.
+3. Over all hosts it is counted how many of the pages that have a form share it with a
+   neighbour. Menus, notices and footers are shared by nearly all that have them; headings,
+   labels and values, which pages of one kind have in common now and then, by few. Lines
+   whose form is mostly shared are deleted, also on pages that have no neighbour.
+
+Word lists decide only what differencing leaves open: lines put in here and there, whose
+form is shared no more often than a heading, and the items that follow a teaser's heading,
+which differ from page to page. What comes before a page's title is deleted.
 """
 
 from __future__ import annotations
 
-import json
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .patterns import FILLER, NOTICE_LINE, SLOT
-
-# General kinds of boilerplate lines in English, Spanish, German and French (matched from the start of a line, case ignored).
-NOTICES = (
-    r".*\bcookies?\b.*(?:\||accept|agree|got it|preferences|all\b|acept|akzept|zustimm|datenschutz|politique|refuser|sitio|site)",
-    r".*\b\d+ (?:partners store|socios guardan|partner speichern|partenaires stockons)",
-    r"your privacy choices",
-    r"(?:please )?enable javascript for the best|active javascript para una mejor|für volle funktion bitte javascript|activez javascript pour profiter",
-    r"(?:terms of use|términos|impressum|mentions légales|legal notice|aviso legal|accessibility statement|accesibilidad|barrierefreiheit|accessibilité|prices and specifications are subject|datos sujetos a cambio|technische änderungen vorbehalten|sous réserve de modification|trademarks belong|las marcas pertenecen|marken gehören|les marques appartiennent|powered by )",
-    r"(?:©|\(c\)|copyright\b)",
-    r"(?:subscribe to our newsletter|suscríbase|newsletter abonnieren|abonnez-vous|follow us|síganos|folgen sie|suivez-nous|back to top|volver arriba|nach oben|haut de page|was this page helpful|¿le fue útil|war diese seite hilfreich|cette page vous a-t-elle)",
-    r"browse new and used .* sellers at|free delivery on|envío gratis|kostenlose lieferung|livraison gratuite|find a dealer near you|encuentre un distribuidor|händler in ihrer nähe|trouvez un distributeur",
-    r"(?:skip to content|ir al contenido|zum inhalt springen|aller au contenu|toggle navigation|select your region|elija su país|wählen sie ihr land|choisissez votre pays|sign in / register|call our sales desk|llámenos|hotline:|appelez-nous)",
-    r"(?:cart|carro|carrito|warenkorb|panier) \(\d+(?: \w+)?\)$",
-)
-PROMPTS = (
-    r"(?:add to compare|agregar a comparar|zum vergleich|ajouter au comparateur|click to enlarge|clic para ampliar|zum vergrößern|cliquez pour agrandir|read more|leer más|weiterlesen|lire la suite|advertisement|publicidad|anzeige|werbung|publicité)\W*$",
-    r"(?:sponsored|patrocinado|gesponsert|sponsorisé)\b",
-    r"(?:get a quote|pida su cotización|angebot in \d|demandez un devis|sign up to see|regístrese para|anmelden, um|inscrivez-vous pour)",
-    r"(?:share this page|compartir|teilen|partager)\s?:",
+from .patterns import FILLER, FILLER_ANYWHERE, MAYBE_SLOT, NOTICE_LINE, SLOT
+
+#: Pages on either side that a page is aligned with, and pages in a block.
+NEAR, BLOCK = 2, 512
+#: Share of its pages that a boilerplate form is shared in, and hosts on which it must be before it counts on others.
+MOSTLY, HOSTS = 0.5, 2
+#: Bits above which an alignment is halved before it is traced back.
+TRACE = 1 << 26
+
+# What lines are that a page may have anywhere, in English, Spanish, German and French (from the start of a line, case ignored).
+OPEN_KINDS = (
+    r"advertisement|publicidad|anzeige|werbung|publicité|sponsored|patrocinado|gesponsert|sponsorisé",
+    r"(?:share|compartir|teilen|partager)\b.{0,20}:",
+    r"add to compare|agregar a comparar|zum vergleich|ajouter au comparateur",
+    r"(?:click|clic|cliquez)?\s?(?:to enlarge|para ampliar|zum vergrößern|pour agrandir)",
     r"(?:photo|foto|bild|image|imagen) \d+ (?:of|de|von|sur) \d+$",
-    r"\d+ (?:people viewed|personas vieron|personen sahen|personnes ont vu)",
+    r"\d+ (?:people|personas|personen|personnes)\b",
+    r"(?:get a quote|pida su cotización|angebot in \d|demandez un devis|sign up to|regístrese para|anmelden, um|inscrivez-vous pour)",
+    r".{0,30}(?:helpful|útil|hilfreich|utile)\b.{0,3}\?",
+    r"(?:read more|leer más|weiterlesen|lire la suite)\W*$",
     r"(?:read also|see also|lea también|lesen sie auch|à lire aussi|lire aussi)\s?:",
+    r"your privacy choices|©|\(c\) |copyright\b",
 )
+# What such a line may speak of, anywhere.
+OPEN_WORDS = ("cookie", "partner", "socios", "partenaires")
+OPEN_TOPICS = r"\bcookies?\b|\b\d+ (?:partners|socios|partner|partenaires)\b"
 TEASERS = r"(?:most read|lo más leído|meistgelesen|les plus lus|recently viewed|vistos recientemente|zuletzt angesehen|vus récemment|related models|modelos relacionados|ähnliche modelle|modèles similaires|you may also like|también le puede interesar|das könnte sie|vous aimerez aussi|top listings|avisos destacados|top-angebote|top-anzeigen|annonces vedettes|popular tags|etiquetas populares|beliebte schlagwörter|mots-clés populaires|latest news|últimas noticias|neueste meldungen|dernières nouvelles)\W*$"
-#: Items that a teaser lists at most.
-TEASER_ITEMS = 5
-#: Copies of a page that a task keeps waiting.
-COPIES = 1000
-#: Headings of sections, which pages of one kind share.
+
+#: Headings of sections, which the pages of a single host may all share.
 HEADINGS = r"(?:dimensions|overview|key features|trial summary|performance|operator comfort|maintenance|engine|service notes|hydraulics|haul test|field results|specifications|descripción|dimensiones|ensayo de acarreo|mantenimiento|resultados en faena|especificaciones|motor|technische daten|abmessungen|überblick|einsatzbericht|wartung|aperçu|essai sur site|entretien|caractéristiques|moteur|hydraulik|hidráulica|hydraulique)$"
 
-_NOTICE = re.compile("|".join(f"(?:{p})" for p in NOTICES), re.I)
-_PROMPT = re.compile("|".join(f"(?:{p})" for p in PROMPTS), re.I)
+_OPEN = re.compile("|".join(f"(?:{p})" for p in OPEN_KINDS), re.I)
+_OPEN_ANYWHERE = re.compile(OPEN_TOPICS, re.I)
 _TEASER = re.compile(TEASERS, re.I)
 _HEADING = re.compile(HEADINGS, re.I)
 _NUMBER = re.compile(r"\d[\d.,]*")
-_VALUE = re.compile(r"^(?:.{0,60}?[\s:–-])?\d[\d.,]*\s*(?:%|°|[a-zA-Z]{1,3}(?:/[a-z]{1,3})?[23³]?|ton|rpm|bar)$")
-_BARE = re.compile(r"^\d[\d.,]*\s*(?:%|°|[a-zA-Z]{1,3}(?:/[a-z]{1,3})?[23³]?|ton|rpm|bar)$")
+_UNITS = r"(?:%|°|[a-zA-Z]{1,3}(?:/[a-z]{1,3})?[23³]?|ton|rpm|bar)"
+_VALUE = re.compile(rf"^(?:.{{0,60}}?[\s:–-])?\d[\d.,]*\s*{_UNITS}$")
+_BARE = re.compile(rf"^\d[\d.,]*\s*{_UNITS}$")
 _TAG = re.compile(r"^.{2,50} \(\d+\)$")
 _SENTENCE_END = re.compile(r"[.!?](?:\s|$)")
+_ABBREVIATION = re.compile(r"\b(?:\w|No|Nr|St)\. ")
 _CODE = re.compile(r"[A-Z]{2,3}[ -]?[A-Z]?\d{2,}|\d{3,}")
 _CRUMBS = re.compile(r"^[^.!?]{2,40}(?: [/>»›] [^.!?/>»›]{2,40}){1,}$")
 _MENU = re.compile(r"^[^\d.!?:]{2,40}(?: [|·•] [^\d.!?:|·•]{2,40}){1,}$|^[›≡☰»] ")
 _BULLET = re.compile(r"^[-*•·–] ")
+_LATER_DIGIT = re.compile(r"\d")
+
+#: Bits of a line's kind.
+TITLE, TEASER, TAG, TEXT, MACHINE, OPEN, CONTENT, BARE, CRUMBS, NOTICE, SHORT, MENU, ADDRESS, HEADING, SENTENCE = (1 << i for i in range(15))
+_ITEM = TAG | TEXT | MACHINE
 
 
 def masked(line: str) -> str:
@@ -78,8 +87,127 @@ def masked(line: str) -> str:
     return _NUMBER.sub("9", line.strip())
 
 
-def common_lines(a: list[str], b: list[str]) -> list[bool]:
-    """Which lines of ``a`` are on a longest common subsequence with ``b`` (bit-parallel: a word operation per line and machine word)."""
+def site_names(host: str) -> list[str]:
+    """Names by which a page would call its site: the labels of the host but for www and the last."""
+    labels = [x for x in host.lower().split(":")[0].split(".")[:-1] if x not in ("www", "co", "com")]
+    return [x.replace("-", " ") for x in labels if len(x) > 2]
+
+
+def form(line: str, names: list[str]) -> int:
+    """The digest of a stripped line: case, numbers and the site's names make no difference."""
+    x = line.casefold()
+    for s in names:
+        x = x.replace(s, "@")
+    return xxhash.xxh64_intdigest(_NUMBER.sub("9", x).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def kinds(x: str) -> int:
+    """The bits of a stripped line that don't depend on its page."""
+    out, n, end, low = 0, len(x), x[-1], x.casefold()
+    short = n <= 200
+    stands_in = bool(NOTICE_LINE.match(x))
+    if stands_in:
+        out |= NOTICE
+    stands_in = stands_in or bool((MAYBE_SLOT.search(x) and SLOT.search(x)) or FILLER.match(x) or (("lorem" in low or "dummy" in low) and FILLER_ANYWHERE.search(x)))
+    if short and _TEASER.match(x):
+        out |= TEASER
+    if _OPEN.match(x) or (any(w in low for w in OPEN_WORDS) and _OPEN_ANYWHERE.search(x)):
+        out |= OPEN
+    value, bullet = n <= 100 and bool(_VALUE.match(x)), bool(_BULLET.match(x))
+    if value or bullet or stands_in:
+        out |= CONTENT
+    elif x.count(" ") >= 7 and _SENTENCE_END.search(x[-3:]):
+        out |= CONTENT | SENTENCE
+    if value and _BARE.match(x):
+        out |= BARE
+    if end == ")" and n <= 60 and _TAG.match(x):
+        out |= TAG
+    elif end == "…" or x.endswith("..."):
+        out |= TEXT
+    elif not (bullet or value or stands_in):
+        if end in ".!?":
+            if n > 40 and _sentences(x) == 1:
+                out |= TEXT
+        elif n <= 60 and ":" not in x and _CODE.search(x) and not _sentences(x):
+            out |= MACHINE
+    if short:
+        if _CRUMBS.match(x):
+            out |= CRUMBS
+        if _MENU.match(x):
+            out |= MENU
+    if n <= 40 and _HEADING.match(x):
+        out |= HEADING
+    elif n <= 25 and x.count(" ") <= 1 and not any(c.isdigit() for c in x):
+        out |= SHORT
+    return out
+
+
+def _sentences(x: str) -> int:
+    if ". " in x:
+        x = _ABBREVIATION.sub("", x)
+    return len(_SENTENCE_END.findall(x))
+
+
+class Reader:
+    """Lines of texts to bits and forms. What doesn't depend on the page is kept for lines that come again; the memory is bounded and forgets nothing but work."""
+
+    def __init__(self, most: int = 50_000):
+        self.most, self.bits, self.forms, self.host = most, {}, {}, None
+
+    def __call__(self, text: str, title: str | None, host: str) -> tuple[list[str], list[int], list[int], list[int]]:
+        """(stripped non-blank lines, their numbers, bits and forms)."""
+        if host != self.host:
+            self.host, self.names, self.forms = host, site_names(host), {}
+        if len(self.bits) > self.most:
+            self.bits = {}
+        if len(self.forms) > self.most:
+            self.forms = {}
+        key, names = (title or "").strip().casefold(), self.names
+        numbers, lines, codes, forms = [], [], [], []
+        for i, x in enumerate(text.split("\n"), 1):
+            x = x.strip()
+            if not x:
+                continue
+            c, f = self.bits.get(x), self.forms.get(x)
+            if c is None:
+                c = self.bits[x] = kinds(x)
+            if f is None:
+                f = self.forms[x] = form(x, names)
+            if len(x) <= 80 and "," in x and any(x.casefold().startswith(s) for s in names) and _LATER_DIGIT.search(x, 3):
+                c |= ADDRESS
+            if key and len(x) <= 2 * len(key) and x.casefold() == key:
+                c |= TITLE
+            numbers.append(i)
+            lines.append(x)
+            codes.append(c)
+            forms.append(f)
+        return lines, numbers, codes, forms
+
+
+def _grown(a: list[int], places: dict[int, int], m: int) -> int:
+    """The last row of the bit-parallel alignment: a zero at place j where the common subsequence grows."""
+    full = (1 << m) - 1
+    v = full
+    for x in a:
+        u = v & places.get(x, 0)
+        v = ((v + u) | (v - u)) & full
+    return v
+
+
+def _places(b: list[int]) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for j, x in enumerate(b):
+        out[x] = out.get(x, 0) | 1 << j
+    return out
+
+
+def common_lines(a: list, b: list) -> list[bool]:
+    """Which lines of ``a`` are on a longest common subsequence with ``b``.
+
+    Bit-parallel: a word operation per line and machine word. Rows are kept only for small
+    pairs; larger ones are halved where the two halves' subsequences fit best, so memory
+    grows with the number of lines and not with its square.
+    """
     n, m = len(a), len(b)
     hit = [False] * n
     lo = 0
@@ -91,23 +219,36 @@ def common_lines(a: list[str], b: list[str]) -> list[bool]:
         hit[n - 1 - hi] = True
         hi += 1
     a, b = a[lo : n - hi], b[lo : m - hi]
-    if not a or not b:
+    have = set(b)
+    kept = [i for i, x in enumerate(a) if x in have]  # others are on no common subsequence
+    if not kept:
         return hit
-    places: dict[str, int] = {}
-    for j, x in enumerate(b):
-        places[x] = places.get(x, 0) | 1 << j
-    full = (1 << len(b)) - 1
+    inner = _traced([a[i] for i in kept], b)
+    for i, h in zip(kept, inner):
+        hit[lo + i] = h
+    return hit
+
+
+def _traced(a: list, b: list) -> list[bool]:
+    if len(a) * len(b) > TRACE and len(a) > 1:
+        half, m = len(a) // 2, len(b)
+        bits = lambda v: np.unpackbits(np.frombuffer(v.to_bytes((m + 7) // 8, "little"), np.uint8), bitorder="little")[:m] ^ 1
+        ahead = np.concatenate(([0], np.cumsum(bits(_grown(a[:half], _places(b), m)), dtype=np.int64)))
+        back = np.concatenate(([0], np.cumsum(bits(_grown(a[half:][::-1], _places(b[::-1]), m)), dtype=np.int64)))[::-1]
+        cut = int(np.argmax(ahead + back))
+        return common_lines(a[:half], b[:cut]) + common_lines(a[half:], b[cut:])
+    places, full = _places(b), (1 << len(b)) - 1
     rows, v = [], full
     for x in a:
         u = v & places.get(x, 0)
         v = ((v + u) | (v - u)) & full
         rows.append(v)
-    # zeros of a row mark where the length of the common subsequence grows
+    hit = [False] * len(a)
     i, j = len(a) - 1, len(b) - 1
     while i >= 0 and j >= 0:
         if not rows[i] >> j & 1 and (i == 0 or rows[i - 1] >> j & 1):
-            hit[lo + i] = a[i] == b[j]
-            if hit[lo + i]:
+            hit[i] = a[i] == b[j]
+            if hit[i]:
                 i -= 1
             j -= 1
         elif rows[i] >> j & 1:
@@ -117,253 +258,210 @@ def common_lines(a: list[str], b: list[str]) -> list[bool]:
     return hit
 
 
-def site_names(host: str) -> list[str]:
-    """Names by which a page would call its site: the labels of the host but for www and the last."""
-    labels = [x for x in host.lower().split(":")[0].split(".")[:-1] if x not in ("www", "co", "com")]
-    return [x.replace("-", " ") for x in labels if len(x) > 2]
+def content_start(codes: list[int]) -> int:
+    """The line that the content begins with: the title, else what stands in its place; -1 where neither is found."""
+    return next((i for i, c in enumerate(codes) if c & TITLE), next((i for i, c in enumerate(codes) if c & NOTICE), -1))
 
 
-def _stands_in(line: str) -> bool:
-    """Stands in place of content: a notice, filler or an unfilled slot."""
-    return bool(NOTICE_LINE.match(line) or FILLER.match(line) or SLOT.search(line))
+def boilerplate_lines(codes: list[int], numbers: list[int], shared: list[bool], spread: list[int]) -> list[bool]:
+    """For each non-blank line whether it is boilerplate.
 
-
-def _content(line: str) -> bool:
-    """Reads as content whatever pages share it: a heading, a value, a listed or a plain sentence."""
-    return bool(_stands_in(line) or _HEADING.match(line) or _VALUE.match(line) or _BULLET.match(line) or (line.count(" ") >= 7 and _SENTENCE_END.search(line[-3:])))
-
-
-def boilerplate_lines(lines: list[str], title: str | None, host: str, shared: list[bool]) -> list[bool]:
-    """For each line whether it is boilerplate; blank lines aren't. shared: whether a neighbour has it too."""
-    text = [x.strip() for x in lines]
-    n = len(text)
+    codes: bits of kind; numbers: line numbers, of which gaps are blank lines; shared: whether
+    a neighbour has the line; spread: 2 if the line's form is mostly shared on several hosts,
+    1 if on one, else 0.
+    """
+    n = len(codes)
     out = [False] * n
-    key = (title or "").strip().casefold()
-    start = next((i for i, x in enumerate(text) if key and x.casefold() == key), None)
-    if start is None:  # something else may stand in place of the title; else the content begins below the crumbs
-        start = next((i for i, x in enumerate(text) if NOTICE_LINE.match(x)), None)
-    crumbs = next((i for i, x in enumerate(text[:40]) if _CRUMBS.match(x)), None) if start is None else None
-    if crumbs is not None:
-        start = next((i for i in range(crumbs + 1, n) if text[i] and not (_NOTICE.match(text[i]) or _PROMPT.match(text[i]))), None)
-    names = site_names(host)
-
-    def general(x: str) -> bool:
-        low = x.casefold()
-        address = len(x) <= 80 and any(low.startswith(s) for s in names) and bool(re.search(r"\d", x[3:])) and "," in x
-        return bool(_NOTICE.match(x) or _PROMPT.match(x) or address or _MENU.match(x))
-
-    def kind(x: str) -> str:
-        """Of a teaser's items: a tag with its count, a machine, or a text that is cut off or one sentence long; "" for others."""
-        if _TAG.match(x):
-            return "tag"
-        if x.endswith(("…", "...")):
-            return "text"
-        if _BULLET.match(x) or _HEADING.match(x) or _VALUE.match(x) or _stands_in(x):
-            return ""
-        ends = len(_SENTENCE_END.findall(re.sub(r"\b(?:\w|No|Nr|St)\. ", "", x)))
-        if len(x) <= 60 and ends == 0 and _CODE.search(x) and ":" not in x:
-            return "machine"
-        return "text" if ends == 1 and x[-1:] in ".!?" and len(x) > 40 else ""
-
-    def labels_value(i: int) -> bool:
-        """A label on its own line: the next line but for prompts is a bare value."""
-        after = (y for y in text[i + 1 : i + 6] if y and not _PROMPT.match(y))
-        return bool(_BARE.match(next(after, "")))
-
-    teaser, items = None, 0  # the kind of a teaser's items ("" before the first one), and how many there were
-    for i in range(n):
-        x = text[i]
-        if not x:
+    start = content_start(codes)
+    untitled = start < 0
+    if untitled and (crumbs := next((i for i, c in enumerate(codes) if c & CRUMBS), None)) is not None:
+        start = next((i for i in range(crumbs + 1, n) if not (codes[i] & OPEN or spread[i] == 2)), -1)
+    teaser = None  # the kind of a teaser's items, 0 before the first one
+    for i, c in enumerate(codes):
+        if i and numbers[i] > numbers[i - 1] + 1:
             teaser = None
-            continue
-        if start is not None and i <= start:
+        if i <= start:
             out[i] = i < start
             continue
-        if _TEASER.match(x):
-            out[i], teaser, items = True, "", 0
+        if c & TEASER:
+            out[i], teaser = True, 0
+            continue
+        differs = c & NOTICE or (c & BARE) or (i + 1 < n and codes[i + 1] & BARE)  # notices in place of content; values and their labels
+        if not differs and (spread[i] == 2 or (shared[i] and not c & (CONTENT | HEADING) and (spread[i] == 1 or start < 0))):
+            out[i] = True
             continue
-        if teaser is not None and not _PROMPT.match(x):
-            k = kind(x)
-            if k and teaser in ("", k) and items < TEASER_ITEMS:
-                out[i], teaser, items = True, k, items + 1
+        if c & (OPEN | ADDRESS | MENU) and not c & NOTICE:
+            out[i] = True
+            continue
+        if teaser is not None:
+            kind = c & _ITEM
+            if kind and teaser in (0, kind):
+                out[i], teaser = True, kind
                 continue
             teaser = None
-        out[i] = general(x) or (shared[i] and not _content(x) and not labels_value(i))
-    if start is None:  # no title to be found: the top is what a menu, crumbs or notices make up
-        for i in range(n):
-            x = text[i]
-            if x and not out[i]:
-                if len(x) <= 25 and x.count(" ") <= 1 and not _HEADING.match(x) and not re.search(r"\d", x) and (any(out[:i]) or any(out[i + 1 : i + 4])):
+    if start < 0:  # no title to be found: the top is what a menu, crumbs or notices make up
+        for i, c in enumerate(codes):
+            if not out[i]:
+                if c & SHORT and (any(out[:i]) or any(out[i + 1 : i + 4])):
                     out[i] = True
                 else:
                     break
     return out
 
 
-class _Page:
-    __slots__ = ("host", "text", "lines", "shapes", "filled")
+# --- 1: pages to lines
 
-    def __init__(self, host: str, text: str | None):
-        self.host, self.text = host, text
-        self.lines = (text or "").split("\n")
-        self.filled = [i for i, x in enumerate(self.lines) if x.strip()]
-        self.shapes = [masked(self.lines[i]) for i in self.filled]
+PAGE = "row bigint, page_id bigint, host string, path string, body bigint, start int, codes array<smallint>, numbers array<int>, forms array<bigint>"
 
 
-class _Run:
-    """Copies of a page that follow each other, with the nearest different pages of its host. first, last: whether what is before or after it isn't known to its task; part: whether its copies go on in other runs."""
+def _row_numbers():
+    """Numbers of a task's rows that no other task has; they are written before they are used."""
+    from pyspark import TaskContext
 
-    __slots__ = ("page", "path", "copies", "before", "after", "first", "last", "part")
+    task = TaskContext.get()
+    return (task.partitionId() if task else 0) << 36
 
-    def __init__(self, page: _Page, path: str, before: _Page | None, first: bool):
-        self.page, self.path, self.before, self.first = page, path, before, first
-        self.copies: list[tuple[int | None, str | None]] = []
-        self.after, self.last, self.part = None, False, False
 
-    @property
-    def waits(self) -> bool:
-        return self.first or self.last or self.part
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _scan_numbered(_numbered(batches))
 
 
-def _shared(p: _Page, others: list[_Page]) -> list[bool]:
-    out = [False] * len(p.lines)
-    for o in others:
-        for i, hit in zip(p.filled, common_lines(p.shapes, o.shapes)):
-            out[i] |= hit
-    return out
+def _scan_numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    read = Reader()
+    for b in batches:
+        host, title, text = (b.column(i).to_pylist() for i in (2, 4, 5))
+        body, start, codes, numbers, forms = [], [], [], [], []
+        for h, t, x in zip(host, title, text):
+            _, n, c, f = read(x or "", t, h)
+            body.append(xxhash.xxh64_intdigest((x or "").encode("utf-8", "surrogatepass")) - (1 << 63))
+            start.append(content_start(c))
+            codes.append(c)
+            numbers.append(n)
+            forms.append(f)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), pa.array(body, pa.int64()), pa.array(start, pa.int32()), pa.array(codes, pa.list_(pa.int16())), pa.array(numbers, pa.list_(pa.int32())), pa.array(forms, pa.list_(pa.int64()))], names=["row", "page_id", "host", "path", "body", "start", "codes", "numbers", "forms"])
 
 
-def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[list[_Run]]:
-    """The runs of pages in order. Of many copies a part at a time, so that no more than COPIES wait."""
-    run: _Run | None = None
-    for b in batches:
-        done = []
-        for row in b.itertuples(index=False):
-            if run is None:
-                run = _Run(_Page(row.host, row.text), row.path, None, True)
-            elif row.host != run.page.host or row.text != run.page.text:
-                p = _Page(row.host, row.text)
-                beside = p.host == run.page.host
-                run.after = p if beside else None
-                done.append(run)
-                run = _Run(p, row.path, run.page if beside else None, False)
-            elif len(run.copies) >= COPIES:
-                run.last = True
-                done.append(run)
-                run = _Run(run.page, row.path, run.before, run.first)
-                run.part = True
-            run.copies.append((None if pd.isna(row.page_id) else int(row.page_id), row.title))
-        yield done
-    if run is not None:
-        run.last = True
-        yield [run]
-
-
-def _flagged(runs: list[_Run]) -> Iterator[tuple[_Page, int | None, list[bool]]]:
-    """(page, page_id, flags of its lines) of every copy; copies differ in their titles only."""
-    for r in runs:
-        shared = _shared(r.page, [o for o in (r.before, r.after) if o])
-        flags: dict[str | None, list[bool]] = {}
-        for page_id, title in r.copies:
-            if title not in flags:
-                flags[title] = boilerplate_lines(r.page.lines, title, r.page.host, shared)
-            yield r.page, page_id, flags[title]
-
-
-def _found(flagged: Iterable[tuple[_Page, int | None, list[bool]]]) -> pd.DataFrame:
-    ids, numbers = [], []
-    for _, page_id, flags in flagged:
-        at = [i + 1 for i, f in enumerate(flags) if f]
-        ids += [page_id] * len(at)
-        numbers += at
-    return pd.DataFrame({"page_id": pd.array(ids, "Int64"), "line_no": pd.array(numbers, "Int32")})
-
-
-def _bodies(flagged: Iterable[tuple[_Page, int | None, list[bool]]]) -> pd.DataFrame:
-    rows = [(i, None if p.text is None else "\n".join(x for x, f in zip(p.lines, flags) if not f)) for p, i, flags in flagged]
-    return pd.DataFrame(rows, columns=["page_id", "body"]).astype({"page_id": "Int64"})
-
-
-_OPEN = ("_run", "_text", "_before", "_after")
-_RUN = "host string, path string, page_id bigint, number bigint, first boolean, last boolean, copies string"
-
-
-def _settled(batches: Iterator[pd.DataFrame], make: Callable[[Iterable], pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The results of the runs whose neighbours a task knows, and the others as they are."""
-    number = 0
-    for runs in _runs(batches):
-        known = make(_flagged([r for r in runs if not r.waits]))
-        yield known.assign(**{c: pd.Series([None] * len(known), dtype=object) for c in _OPEN})
-        rows = []
-        for r in runs:
-            if r.waits:
-                number += 1
-                run = {"host": r.page.host, "path": r.path, "page_id": r.copies[0][0], "number": number, "first": r.first, "last": r.last, "copies": json.dumps(r.copies)}
-                rows.append((json.dumps(run), r.page.text, r.before and r.before.text, r.after and r.after.text))
-        if rows:
-            yield known.iloc[:0].reindex(range(len(rows))).assign(**dict(zip(_OPEN, zip(*rows))))
-
-
-def _carried(batches: Iterator[pd.DataFrame], unknown: str, side: str) -> Iterator[pd.DataFrame]:
-    """Open runs in order, with the nearest different text on one side where it was unknown: that of the run beside it, or of a copy what the copy has."""
-    host, text, beside, number = None, None, None, 0
-    for b in batches:
-        found = []
-        for h, t, is_open, known in zip(b["host"], b["text"], b[unknown], b[side]):
-            beside = known if not is_open else None if h != host else beside if t == text else text
-            host, text = h, t
-            found.append(beside)
-        yield b.assign(**{side: pd.Series(found, dtype=object), "at": range(number, number + len(b))})
-        number += len(b)
+def addressed(pages: DataFrame) -> DataFrame:
+    """(page_id, host, path, title, text): www and case of hosts, and numbers in paths make no difference."""
+    url = F.coalesce("url", F.lit(""))
+    host = F.regexp_replace(F.lower(F.regexp_extract(url, r"^\s*(?i)(?:https?:)?//([^/?#\s]*)", 1)), r"^www\.", "")
+    path = F.regexp_replace(F.regexp_replace(url, r"^\s*(?i)(?:https?:)?//[^/?#]*", ""), r"\d+", "")
+    return pages.select(F.col("page_id").cast("bigint").alias("page_id"), host.alias("host"), path.alias("path"), "title", F.col("text_content").alias("text"))
+
+
+# --- 2: neighbours
+
+_ALIGNED = "host string, body bigint, beside boolean, start int, forms array<bigint>, shared array<boolean>"
 
 
-def _rest(batches: Iterator[pd.DataFrame], make: Callable[[Iterable], pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _aligned(batches: Iterator[pd.DataFrame], near: int) -> Iterator[pd.DataFrame]:
+    """Blocks of pages in order to the pages of each with the lines that neighbours share; pages of another block are neighbours only."""
+
+    def done(block: list) -> pd.DataFrame:
+        rows = []
+        for i, p in enumerate(block):
+            if not p.own:
+                continue
+            lines, hit = list(p.forms), np.zeros(len(p.forms), bool)
+            beside = [q for q in block[max(0, i - near) : i] + block[i + 1 : i + 1 + near] if q.host == p.host]
+            for q in beside:
+                hit |= np.array(common_lines(lines, list(q.forms)), bool)
+            rows.append((p.host, p.body, bool(beside), p.start, p.forms, hit))
+        return pd.DataFrame(rows, columns=["host", "body", "beside", "start", "forms", "shared"])
+
+    block: list = []
     for b in batches:
-        runs = []
         for row in b.itertuples(index=False):
-            r = _Run(_Page(row.host, row.text), "", None if row.before is None else _Page(row.host, row.before), False)
-            r.after = None if row.after is None else _Page(row.host, row.after)
-            r.copies = [(i, title) for i, title in json.loads(row.copies)]
-            runs.append(r)
-        yield make(_flagged(runs))
+            if block and row.block != block[0].block:
+                yield done(block)
+                block = []
+            block.append(row)
+    yield done(block)
+
+
+def aligned(lines: DataFrame, near: int = NEAR) -> DataFrame:
+    """Per different page of a host: whether it has neighbours, and which of its lines one of them has too."""
+    spark = lines.sparkSession
+    order = ["host", "path", "page_id", "row"]
+    one = lines.groupBy("host", "body").agg(F.min_by(F.struct("path", "page_id", "row", "start", "forms"), F.struct("path", F.coalesce("page_id", F.lit(0)), "row")).alias("p"))
+    one = one.select("host", "body", "p.*").repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialize(one.withColumn("at", F.monotonically_increasing_id()), "order")
+    before, offsets = 0, []
+    for r in placed.groupBy(F.shiftright("at", 33).alias("task")).count().orderBy("task").collect():  # one row per task
+        offsets.append((r["task"], before))
+        before += r["count"]
+    offset = F.broadcast(spark.createDataFrame(offsets, "task bigint, offset bigint"))
+    numbered = placed.withColumn("task", F.shiftright("at", 33)).join(offset, "task").withColumn("at", F.col("offset") + F.col("at").bitwiseAND((1 << 33) - 1))
+    own, inner = F.floor(F.col("at") / BLOCK), F.col("at") % BLOCK
+    blocks = F.array_compact(F.array(own, F.when(inner < near, own - 1), F.when(inner >= BLOCK - near, own + 1)))
+    copies = numbered.withColumn("own_block", own).withColumn("block", F.explode(blocks)).select("block", "at", (F.col("block") == F.col("own_block")).alias("own"), "host", "body", "start", "forms")
+    copies = copies.repartition("block").sortWithinPartitions("block", "at")
+    return copies.mapInPandas(lambda it: _aligned(it, near), _ALIGNED)
+
+
+# --- 3: forms over all hosts
+
+
+def spread_forms(pages: DataFrame) -> DataFrame:
+    """(form, spread): forms of lines after the content's start that are mostly shared, 2 on several hosts, 1 on one."""
+    lines = pages.where("beside and start >= 0").select("host", F.explode(F.array_distinct(F.slice(F.arrays_zip("forms", "shared"), F.col("start") + 2, F.greatest(F.size("forms"), F.lit(1))))).alias("x"))
+    per_host = lines.groupBy(F.col("x.forms").alias("form"), "host").agg(F.count("*").alias("pages"), F.count_if("x.shared").alias("shared"))
+    per_form = per_host.groupBy("form").agg(F.sum("pages").alias("pages"), F.sum("shared").alias("shared"), F.count_if(F.col("shared") > 0).alias("hosts"))
+    return per_form.where(F.col("shared") >= MOSTLY * F.col("pages")).select("form", F.when(F.col("hosts") >= HOSTS, 2).otherwise(1).cast("tinyint").alias("spread"))
+
+
+def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        flags = []
+        for codes, numbers, forms, shared, found in zip(b["codes"], b["numbers"], b["forms"], b["shared"], b["spread"]):
+            spread = {} if found is None else {x["form"]: x["spread"] for x in found}
+            n = len(codes)
+            flags.append(boilerplate_lines(codes.tolist(), numbers.tolist(), [False] * n if shared is None else list(shared), [spread.get(f, 0) for f in forms.tolist()]))
+        yield pd.DataFrame({"row": b["row"], "page_id": b["page_id"], "numbers": b["numbers"], "flags": flags})
 
 
-def differenced(pages: DataFrame, make: Callable[[Iterable], pd.DataFrame], schema: str) -> DataFrame:
-    """What ``make`` gives for (page, page_id, flags of its lines) of all rows of pages.
+def flagged(lines: DataFrame, near: int = NEAR) -> DataFrame:
+    """(row, page_id, numbers, flags) of scanned pages: which of the non-blank lines are boilerplate. near=0 leaves differencing out."""
+    sides = materialize(aligned(lines, near), "aligned")
+    every = sides.select("host", "body", F.explode(F.array_distinct("forms")).alias("form"))
+    found = every.join(spread_forms(sides), "form").groupBy("host", "body").agg(F.collect_list(F.struct("form", "spread")).alias("spread"))  # at most a page's lines
+    known = sides.select("host", "body", "shared").join(found, ["host", "body"], "left")
+    both = lines.select("row", "page_id", "host", "body", "codes", "numbers", "forms").join(known, ["host", "body"], "left")
+    return both.select("row", "page_id", "codes", "numbers", "forms", "shared", "spread").mapInPandas(_judged, "row bigint, page_id bigint, numbers array<int>, flags array<boolean>")
 
-    Runs at the edges of a task, and runs of more than COPIES copies, wait for what stands
-    beside them: two rows a task, and one for every COPIES copies, meet by host.
-    """
-    out = _ordered(pages).mapInPandas(lambda it: _settled(it, make), f"{schema}, {', '.join(f'{c} string' for c in _OPEN)}")
-    out = materialize(out, "differenced")
-    names = [c for c in out.columns if c not in _OPEN]
-    kept = "host string, text string, before string, after string, first boolean, last boolean, copies string, at bigint"
-    columns = [x.split()[0] for x in kept.split(", ")]
-    waiting = out.where("_run is not null").select(F.from_json("_run", _RUN).alias("r"), F.col("_text").alias("text"), F.col("_before").alias("before"), F.col("_after").alias("after"))
-    waiting = waiting.select("r.*", "text", "before", "after", F.lit(0).cast("bigint").alias("at")).repartition("host").sortWithinPartitions("host", "path", "page_id", "number").select(columns)
-    waiting = waiting.mapInPandas(lambda it: _carried(it, "first", "before"), kept).sortWithinPartitions(F.desc("host"), F.desc("at"))
-    waiting = waiting.mapInPandas(lambda it: _carried(it, "last", "after"), kept).repartition("host", "at")
-    return out.where("_run is null").select(names).unionByName(waiting.mapInPandas(lambda it: _rest(it, make), schema))
-
-
-def _ordered(pages: DataFrame) -> DataFrame:
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?i)(?:https?:)?//([^/?#\s]*)", 1))
-    host = F.regexp_replace(host, r"^www\.", "")
-    path = F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), r"^\s*(?i)(?:https?:)?//[^/?#]*", ""), r"\d+", "")
-    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), host.alias("host"), path.alias("path"), "title", F.col("text_content").alias("text"))
-    return rows.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
-
-
-def boilerplate(pages: DataFrame) -> DataFrame:
+
+def boilerplate(pages: DataFrame, near: int = NEAR) -> DataFrame:
     """(page_id, line_no) of each non-blank boilerplate line of pages(page_id, url, title, text_content).
 
     Lines count from 1 over all lines that end-of-line characters separate. Null and empty
     texts have none; pages without address are neighbours of each other; repeated rows give
     their lines again. An empty table gives an empty result; other columns are ignored.
     """
-    return differenced(pages, _found, "page_id bigint, line_no int")
+    lines = materialize(addressed(pages).mapInArrow(_scan, PAGE), "lines")
+    found = flagged(lines, near).select("page_id", F.filter(F.transform(F.arrays_zip("numbers", "flags"), lambda x: F.when(x["flags"], x["numbers"])), lambda n: n.isNotNull()).alias("at"))
+    return found.select("page_id", F.explode("at").alias("line_no"))
+
+
+def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        out = []
+        for text, gone in zip(b["text"], b["gone"]):
+            drop = set() if gone is None else set(gone.tolist())
+            out.append(None if text is None else "\n".join(x for i, x in enumerate(text.split("\n"), 1) if i not in drop))
+        yield pd.DataFrame({"page_id": b["page_id"], "body": out})
 
 
-def bodies(pages: DataFrame) -> DataFrame:
+def bodies(pages: DataFrame, near: int = NEAR) -> DataFrame:
     """(page_id, body): the texts without their boilerplate lines; null stays null."""
-    return differenced(pages, _bodies, "page_id bigint, body string")
+    texts = materialize(addressed(pages).mapInArrow(_numbered, "row bigint, page_id bigint, host string, path string, title string, text string"), "texts")
+    lines = materialize(texts.mapInArrow(_scan_numbered, PAGE), "lines")
+    gone = flagged(lines, near).select("row", F.filter(F.transform(F.arrays_zip("numbers", "flags"), lambda x: F.when(x["flags"], x["numbers"])), lambda n: n.isNotNull()).alias("gone"))
+    return texts.join(gone, "row", "left").select("page_id", "text", "gone").mapInPandas(_cut, "page_id bigint, body string")
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    row = _row_numbers()
+    for b in batches:
+        n = b.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), *b.columns], names=["row", "page_id", "host", "path", "title", "text"])
+        row += n

@@ -38,12 +38,31 @@ SLOTS = (
     r"\[object Object\]|#(?:REF|VALUE|NAME|DIV/0|N/A|NUM)[!?]?(?!\w)|\bNaN\b|[:–]\s*(?:undefined|null)\b|^undefined\b|\bundefined undefined\b|\bX{4,}\b|\(replace before publishing\)",
 )
 SLOT = re.compile("|".join(f"(?:{p})" for p in SLOTS))
+#: Signs without which a line has no slot.
+MAYBE_SLOT = re.compile(r"[{}\[\]<>$@#_]|\(\(\(|%[A-Z%]|NaN|undefined|null|XXXX|i18n|\(replace")
+# A program's message in a text (from the start of a line, case ignored).
+MESSAGE = re.compile(r"(?:fatal error|parse error|uncaught (?:type|reference|syntax)?error|warning|notice|deprecated): .*(?:undefined|uncaught|unexpected|null|array|function|offset| on line )|traceback \(most recent call last\)|exception in thread", re.I)
+# What notices in place of a page's content speak of, anywhere in a line.
+TOPICS = (
+    r"not found|can.t be found|does ?n.t exist|does not exist|no longer (?:available|exists?)|moved or deleted|went wrong|no results|home page",
+    r"no encontrad[ao]|ya no existe|sin resultados|nicht gefunden|nicht mehr vorhanden|keine (?:ergebnisse|treffer)|introuvable|non trouvée|n.existe (?:plus|pas)|aucun résultat",
+    r"\b(?:error|fehler|erreur)\b|bad gateway|gateway time|unavailable|no disponible|nicht verfügbar|indisponible|cannot handle|did not answer|request id|incident|incidente|vorgangsnummer|référence|reference",
+    r"denied|forbidden|unauthorized|permission|denegado|verweigert|refusé|too many requests|requests in|demasiadas solicitudes|zu viele anfragen|trop de requêtes",
+    r"session|sesión|sitzung|log ?in\b|sign in|inicie sesión|anmelden|connecter",
+    r"robot|tick the box|checking your|a few seconds|verify|vérification|comprobando|überprüf|geprüft",
+    r"java ?script|\bscripts?\b|browser|navegador|navigateur",
+    r"\bloading\b|please wait|cargando|wird geladen|bitte warten|chargement|veuillez patienter|espere",
+    r"under maintenance|mantenimiento|wartungsarbeiten|en maintenance|back soon|volveremos|bald zurück|revenons",
+)
+TOPIC = re.compile("|".join(TOPICS), re.I)
+WORDS = re.compile(r"[a-záéíóúñüäößàâçèêëîïôûœ]+", re.I)
 # Filler text and a template's own instructions, as whole lines.
 FILLERS = (
-    r"(?:.*\b)?lorem ipsum\b",
-    r"(?:asdf|qwer|test|foo|bla|xxx)(?:[\s\d]+(?:asdf|qwer|test|foo|bla|xxx)){2,}|(?:test\s+){2,}.*dummy text|.*\bdummy text\b",
+    r"(?:asdf|qwer|test|foo|bla|xxx)(?:[\s\d]+(?:asdf|qwer|test|foo|bla|xxx)){2,}",
     r"sample (?:heading|text|title)\W*$|insert (?:image|text|caption|title)\b.* here|(?:your|add your) text (?:goes )?here|add a short description|this is a (?:demo|sample|placeholder) (?:paragraph|text)|untitled block|click to edit|replace (?:it|this) with your own|todo: ",
     r"hier steht später|platzhaltertext|blindtext|aquí va el texto|texto de (?:relleno|ejemplo)|texte à remplacer|texte d['’]exemple",
 )
 FILLER = re.compile("|".join(f"(?:{p})" for p in FILLERS), re.I)
+# Filler wherever it stands in a line.
+FILLER_ANYWHERE = re.compile(r"\blorem ipsum\b|\bdummy text\b", re.I)
 LATIN_FILLER = frozenset("lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa officia deserunt mollit anim laborum".split())

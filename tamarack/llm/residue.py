@@ -1,129 +1,242 @@
-"""Template residue and error pages: detection and exclusion.
-
-Lines of a page's body (see :mod:`.boilerplate`) go down a prefix tree of fixed depth:
-their number of tokens, then their first tokens with numbers and codes masked, then the
-rest of the template. A template is judged once, when its leaf is made, and every later
-line that reaches the leaf takes the verdict; lines with numbers or codes and long lines are
-judged each by itself, by the same lists. So verdicts don't depend on the order of lines or
-on a task's rows. Lines of ordinary records are searched separately
-for unfilled slots and failed values, which no template names.
-
-A page is a notice if a notice stands in place of its content: among its first lines, and
-followed by no more text than a notice has.
+"""Template residue and error-page text: detection and exclusion.
+
+1. Pages are read once where they lie (see :mod:`.boilerplate`). Every line becomes a shape:
+   its tokens, those that hold digits masked. Shapes that stand in bodies are counted over
+   all pages, and so is how often such a line is nearly all that a page has.
+2. Message templates are mined from the shapes of all pages by a prefix tree of fixed depth:
+   number of tokens, then the first tokens, then the most similar template of the leaf,
+   whose differing tokens become wildcards. Shapes come sorted, so the templates don't
+   depend on how pages lie in tasks; leaves are spread over tasks.
+3. Each template is classified once. One that speaks of errors, scripts, checks, logins and
+   the like is a notice if it mostly stands alone on its pages: a sentence of a manual that
+   uses such words stands among others. A template that recurs and nearly always stands
+   alone is a notice whatever its words. Verdicts go back to the lines by a join.
+4. Separately, unfilled slots and failed values are searched inside all body lines.
+
+A page is left out if a notice stands in place of its content, or if its body holds a slot, a
+failed value, a program's message or filler text.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .boilerplate import differenced
-from .patterns import FILLER, LATIN_FILLER, NOTICE_LINE, SLOT
+from ..session import materialize
+from . import boilerplate as B
+from .patterns import FILLER, FILLER_ANYWHERE, LATIN_FILLER, MAYBE_SLOT, MESSAGE, SLOT, TOPIC, WORDS
 
-#: Tokens on the tree's path, leaves kept by a worker, lines a notice may come after, characters of other text that a notice page may have, and the longest line that is kept as a template or counts whole as a notice.
-DEPTH, LEAVES, FIRST, OTHER, LONG = 4, 200_000, 4, 400, 200
-_MASK = re.compile(r"\d+|[A-Z]{1,3}[-/]?\d\w*")
-_TRACE = re.compile(r"traceback \(most recent call last\)|exception in thread", re.I)
-_WORDS = re.compile(r"[a-záéíóúñüäößàâçèêëîïôûœ]+", re.I)
-_MAYBE = re.compile(r"[{}\[\]<>$@#_]|\(\(\(|%[A-Z%]|NaN|undefined|null|XXXX|i18n|\(replace")
+#: Tokens on the tree's path, and the share of tokens in which a line must be like a template.
+DEPTH, ALIKE = 3, 0.6
+#: Characters of text but the title on a page whose lines stand alone, and of other text on a page that a notice stands for.
+ALONE = 400
+#: Share of its lines that must stand alone for a template on a notice's topic, and for one on any topic, which must also recur so often.
+TOPICAL, ANY, RECURS = 0.5, 0.9, 5
 
 
-def is_latin_filler(line: str) -> bool:
-    words = _WORDS.findall(line.lower())
-    return len(words) >= 5 and sum(w in LATIN_FILLER for w in words) >= 0.8 * len(words)
 
 
-def judge(line: str) -> str:
-    """The verdict on a template, from one of its lines: notice, filler or ""."""
-    if NOTICE_LINE.match(line):
-        return "notice"
-    if FILLER.match(line) or is_latin_filler(line):
-        return "filler"
-    return ""
+_DIGITS = frozenset("0123456789")
+#: Rows of judged shapes that may be sent to every task.
+BROADCAST = 50_000
 
 
-class Tree:
-    """Templates by number of tokens, first tokens, and the rest."""
-
-    def __init__(self):
-        self.root: dict = {}
-        self.leaves = 0
-
-    def verdict(self, line: str) -> str:
-        line = " ".join(line.split())
-        form = _MASK.sub("*", line)
-        if len(line) > LONG or form != line:  # a paragraph, or numbers that may decide ("404"), which the template hides
-            return judge(line)
-        tokens = form.split(" ")
-        node = self.root.setdefault(len(tokens), {})
-        for t in tokens[:DEPTH]:
-            node = node.setdefault(t, {})
-        rest = " ".join(tokens[DEPTH:])
-        leaf = node.get(("", rest))
-        if leaf is None:
-            if self.leaves >= LEAVES:  # start again: leaves are only a memory of verdicts
-                self.__init__()
-                return self.verdict(line)
-            leaf = node[("", rest)] = judge(line)
-            self.leaves += 1
-        return leaf
+def shape(line: str) -> str:
+    """A line's tokens, those with digits masked."""
+    return " ".join([t if _DIGITS.isdisjoint(t) else "*" for t in line.split()])
 
 
 def slots(line: str) -> list[str]:
     """The unfilled slots and failed values in a line."""
-    return [m.group() for m in SLOT.finditer(line)] if _MAYBE.search(line) else []
-
-
-def page_verdict(body: list[str], tree: Tree) -> tuple[str, str]:
-    """(kind, evidence) of a body's non-blank lines: notice, slot, filler, or "" for a clean page."""
-    notices, other, early, evidence = 0, 0, False, ""
-    found = ("", "")
-    for i, line in enumerate(body):
-        v = tree.verdict(line)
-        if v == "notice":
-            notices += 1
-            early |= i < FIRST
-            evidence = evidence or line
-            if re.match(r"(?:warning|notice|fatal error|deprecated|parse error):", line, re.I):
-                found = ("slot", line)  # a program's message in the text is residue anywhere
-            elif not _TRACE.match(line):
-                other += max(0, len(line) - LONG)  # what follows a notice in its own line
-            continue
-        other += len(line) if i else 0  # the first line is the title
-        if v == "filler" and not found[0]:
-            found = ("filler", line)
-        elif not found[0] and (s := slots(line)):
-            found = ("slot", s[0])
-    if notices and early and other <= OTHER:
-        return "notice", evidence
-    return found
-
-
-class _Judge:
-    """Verdicts on the bodies of pages, with one tree a task."""
+    return [m.group() for m in SLOT.finditer(line)] if MAYBE_SLOT.search(line) else []
 
-    def __init__(self):
-        self.tree = Tree()
 
-    def __call__(self, flagged: Iterable) -> pd.DataFrame:
-        rows = []
-        for p, page_id, flags in flagged:
-            body = [x.strip() for x, f in zip(p.lines, flags) if x.strip() and not f]
-            rows.append((page_id, *page_verdict(body, self.tree)))
-        return pd.DataFrame(rows, columns=["page_id", "kind", "evidence"]).astype({"page_id": "Int64"})
+def is_latin_filler(line: str) -> bool:
+    low = line.lower()
+    if LATIN_FILLER.isdisjoint(t.strip(".,;:!?()") for t in low.split()):
+        return False
+    words = WORDS.findall(low)
+    return len(words) >= 5 and sum(w in LATIN_FILLER for w in words) >= 0.8 * len(words)
+
+
+def classify(template: str, lines: int, alone: int, content: int) -> str:
+    """The verdict on a template: message, filler, notice or "". content: its lines that read as values, list items, headings or titles."""
+    if MESSAGE.match(template):
+        return "message"
+    if FILLER.match(template) or FILLER_ANYWHERE.search(template) or is_latin_filler(template):
+        return "filler"
+    if alone >= TOPICAL * lines and TOPIC.search(template):
+        return "notice"
+    return "notice" if lines >= RECURS and alone >= ANY * lines and not content else ""
+
 
+class Leaf:
+    """The templates under one path of the tree."""
 
-def verdicts(pages: DataFrame) -> DataFrame:
+    def __init__(self):
+        self.templates: list[list[str]] = []
+
+    def add(self, tokens: list[str]) -> int:
+        """The number of the template that tokens belong to: the most similar one, which they make more general, or a new one."""
+        best, most = -1, ALIKE * len(tokens)
+        for i, t in enumerate(self.templates):
+            same = sum(map(str.__eq__, t, tokens))
+            if same > most or (same == most and best < 0):
+                best, most = i, same
+        if best < 0:
+            self.templates.append(tokens)
+            return len(self.templates) - 1
+        self.templates[best] = ["*" if a != b else a for a, b in zip(self.templates[best], tokens)]
+        return best
+
+
+def path_of(masked: str) -> int:
+    """The path of a shape in the tree as a digest."""
+    tokens = masked.split(" ")
+    return xxhash.xxh64_intdigest(" ".join([str(len(tokens)), *tokens[:DEPTH]]).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+_EXTRA = "lengths array<int>, shapes array<bigint>, slots array<struct<at:int,slot:string>>, shape bigint, leaf bigint, masked string"
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per page, and one per shape that is new to the task."""
+    names = [*(x.split()[0] for x in B.PAGE.split(", ")), "lengths", "shapes", "slots", "shape", "leaf", "masked"]
+    slot_type = pa.list_(pa.struct([("at", pa.int32()), ("slot", pa.string())]))
+    read = B.Reader()
+    shapes_of: dict[str, int] = {}
+    seen: set[int] = set()
+    for b in B._numbered(batches):
+        host, title, text = (b.column(i).to_pylist() for i in (2, 4, 5))
+        cols: list[list] = [[] for _ in range(8)]
+        fresh: list[tuple[int, int, str]] = []
+        if len(shapes_of) > 50_000:
+            shapes_of.clear()
+        if len(seen) > 1_000_000:
+            seen.clear()  # both only save work
+        for h, t, x in zip(host, title, text):
+            lines, n, c, f = read(x or "", t, h)
+            found, digests = [], []
+            for i, line in enumerate(lines):
+                if s := slots(line):
+                    found.append({"at": i, "slot": s[0]})
+                d = shapes_of.get(line)
+                if d is None:
+                    masked = shape(line)
+                    d = shapes_of[line] = xxhash.xxh64_intdigest(masked.encode("utf-8", "surrogatepass")) - (1 << 63)
+                    if d not in seen:
+                        seen.add(d)
+                        fresh.append((d, path_of(masked), masked))
+                digests.append(d)
+            body = xxhash.xxh64_intdigest((x or "").encode("utf-8", "surrogatepass")) - (1 << 63)
+            for col, v in zip(cols, (body, B.content_start(c), c, n, f, [len(y) for y in lines], digests, found)):
+                col.append(v)
+        types = (pa.int64(), pa.int32(), pa.list_(pa.int16()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), slot_type)
+        pages, more = b.num_rows, len(fresh)
+        arrays = [pa.concat_arrays([b.column(i), pa.nulls(more, b.column(i).type)]) for i in range(4)]
+        arrays += [pa.concat_arrays([pa.array(v, t), pa.nulls(more, t)]) for v, t in zip(cols, types)]
+        for k, t in enumerate((pa.int64(), pa.int64(), pa.string())):
+            arrays.append(pa.concat_arrays([pa.nulls(pages, t), pa.array([r[k] for r in fresh], t)]))
+        yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+_MINED = "shape bigint, leaf bigint, number int, template string, lines bigint, alone bigint, content bigint"
+
+
+def _mined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted shapes into the tree: a row per shape with its template's number, and one per template when its leaf is complete."""
+    at, leaf, sums = None, Leaf(), []
+
+    def complete() -> list[tuple]:
+        return [(None, at, i, " ".join(t), *s) for i, (t, s) in enumerate(zip(leaf.templates, sums))]
+
+    for b in batches:
+        rows = []
+        for d, path, masked, lines, alone, content in b.itertuples(index=False):
+            if path != at:
+                rows += complete()
+                at, leaf, sums = path, Leaf(), []
+            i = leaf.add(masked.split(" "))
+            if i == len(sums):
+                sums.append([0, 0, 0])
+            for k, v in enumerate((lines, alone, content)):
+                sums[i][k] += v
+            rows.append((d, path, i, None, None, None, None))
+        yield _mined_frame(rows)
+    yield _mined_frame(complete())
+
+
+def _mined_frame(rows: list[tuple]) -> pd.DataFrame:
+    names = ("shape", "leaf", "number", "template", "lines", "alone", "content")
+    return pd.DataFrame({c: pd.array([r[i] for r in rows], "Int64" if c != "template" else object) for i, c in enumerate(names)})
+
+
+def _classified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        v = [classify(*x) for x in zip(b["template"], b["lines"], b["alone"], b["content"])]
+        yield b.assign(verdict=v)
+
+
+class Mined:
+    """What is learned from pages: ``lines``, the body lines of all pages, and ``templates``, with the verdict on each."""
+
+    def __init__(self, pages: DataFrame, near: int = B.NEAR, tree: bool = True):
+        schema = f"{B.PAGE}, {_EXTRA}"
+        scanned = materialize(B.addressed(pages).mapInArrow(_scan, schema), "scanned")
+        self.pages = scanned.where("row is not null")
+        flags = B.flagged(self.pages, near).select("row", "flags")
+        every = self.pages.join(flags, "row").select("row", "page_id", "codes", "lengths", "shapes", "slots", F.transform("flags", lambda f: ~f).alias("in_body"))
+        title = lambda i: F.get("codes", i).bitwiseAND(B.TITLE) != 0
+        text = F.aggregate(F.sequence(F.lit(0), F.size("codes") - 1), F.lit(0), lambda a, i: a + F.when(F.get("in_body", i) & ~title(i), F.get("lengths", i)).otherwise(0))
+        every = every.withColumn("text", F.when(F.size("codes") > 0, text).otherwise(0))
+        self.every = materialize(every, "bodies")
+        at = self.every.select("row", "text", F.posexplode(F.arrays_zip("codes", "lengths", "shapes", "in_body")).alias("at", "x")).where("x.in_body")
+        code = F.col("x.codes")
+        title = code.bitwiseAND(B.TITLE) != 0
+        #: (row, at, shape, length, text, alone, content) of each body line; a title has no length, since it counts for nothing
+        self.lines = at.select("row", "at", F.col("x.shapes").alias("shape"), F.when(title, 0).otherwise(F.col("x.lengths")).alias("length"), "text", (F.col("text") <= ALONE).alias("alone"), ((code.bitwiseAND(B.TITLE | B.HEADING) != 0) | (code.bitwiseAND(B.CONTENT | B.SENTENCE | B.NOTICE) == B.CONTENT)).alias("content"))
+        # mining is work for processors, not for the network: as many tasks as that needs, however few bytes there are
+        parts = max(2 * scanned.sparkSession.sparkContext.defaultParallelism, scanned.count() // 50_000)
+        counted = self.lines.groupBy("shape").agg(F.count("*").alias("lines"), F.count_if("alone").alias("alone"), F.count_if("content").alias("content"))
+        shapes = scanned.where("shape is not null").select("shape", "leaf", "masked").dropDuplicates(["shape"]).join(counted, "shape")
+        if not tree:  # every shape a template of its own that nothing is known of
+            shapes = shapes.withColumn("leaf", F.col("shape")).withColumn("alone", F.lit(0).cast("bigint"))
+        shapes = shapes.select("shape", "leaf", "masked", "lines", "alone", "content").repartition(parts, "leaf").sortWithinPartitions("leaf", "masked")
+        mined = materialize(shapes.mapInPandas(_mined, _MINED), "mined")
+        self.templates = mined.where("template is not null").drop("shape").mapInPandas(_classified, f"{_MINED.replace('shape bigint, ', '')}, verdict string")
+        judged = self.templates.where("verdict != ''").select("leaf", "number", "template", "verdict")
+        #: (shape, template, verdict) of the shapes that a verdict was passed on
+        shapes = mined.where("shape is not null").select("shape", "leaf", "number").join(judged, ["leaf", "number"]).select("shape", "template", "verdict")
+        self.shapes = materialize(shapes, "judged")
+
+    def verdicts(self) -> DataFrame:
+        few = self.shapes.count() <= BROADCAST  # what residue looks like; beyond that both sides are sorted
+        found = self.lines.hint("merge").join(self.shapes, "shape") if not few else self.lines.join(F.broadcast(self.shapes), "shape")
+        of = lambda v: F.col("verdict") == v
+        first = lambda v: F.min(F.when(of(v), F.struct("at", "template"))).alias(v)
+        g = found.groupBy("row").agg(F.first("text").alias("text"), F.sum(F.when(of("notice"), F.col("length"))).alias("said"), *[first(v) for v in ("notice", "message", "filler")])
+        slot = F.get(F.filter("slots", lambda s: F.get("in_body", s["at"])), F.lit(0))["slot"]
+        e = self.every.select("row", "page_id", slot.alias("slot")).join(g, "row", "left")
+        notice = F.col("notice").isNotNull() & (F.col("text") - F.col("said") <= ALONE)
+        kind = F.when(notice, "notice").when(F.col("message").isNotNull() | F.col("slot").isNotNull(), "slot").when(F.col("filler").isNotNull(), "filler").otherwise("")
+        evidence = F.when(notice, F.col("notice.template")).when(F.col("message").isNotNull(), F.col("message.template")).otherwise(F.coalesce("slot", "filler.template", F.lit("")))
+        return e.select("page_id", kind.alias("kind"), evidence.alias("evidence"))
+
+
+def verdicts(pages: DataFrame, near: int = B.NEAR, tree: bool = True) -> DataFrame:
     """(page_id, kind, evidence) of every row of pages(page_id, url, title, text_content).
 
-    kind is notice, slot, filler or "" (clean); evidence is the line or slot that decided.
+    kind is notice, slot, filler or "" (clean); evidence is the template or slot that decided.
     Null and empty texts are clean; repeated rows are judged again; an empty table gives an
-    empty result; other columns are ignored.
+    empty result; other columns are ignored. near=0 and tree=False leave differencing and
+    mining out, to measure what they decide.
     """
-    return differenced(pages, _Judge(), "page_id bigint, kind string, evidence string")
+    return Mined(pages, near, tree).verdicts()
 
 
 def residue(pages: DataFrame) -> DataFrame:
@@ -132,5 +245,5 @@ def residue(pages: DataFrame) -> DataFrame:
 
 
 def without_residue(pages: DataFrame) -> DataFrame:
-    """The rows of ``pages`` that are neither residue nor notices, with all their columns."""
+    """The rows of ``pages`` that are neither residue nor notices, with all their columns; pages without id stay."""
     return pages.join(residue(pages).distinct(), "page_id", "left_anti")
