@@ -157,7 +157,7 @@ class Reader:
     def __call__(self, text: str, title: str | None, host: str) -> tuple[list[str], list[int], list[int], list[int]]:
         """(stripped non-blank lines, their numbers, bits and forms)."""
         if host != self.host:
-            self.host, self.names, self.forms = host, site_names(host), {}
+            self.host, self.names = host, site_names(host)
         if len(self.bits) > self.most:
             self.bits = {}
         if len(self.forms) > self.most:
@@ -172,10 +172,15 @@ class Reader:
             if c is None:
                 c = self.bits[x] = kinds(x)
             if f is None:
-                f = self.forms[x] = form(x, names)
-            if len(x) <= 80 and "," in x and any(x.casefold().startswith(s) for s in names) and _LATER_DIGIT.search(x, 3):
-                c |= ADDRESS
-            if key and len(x) <= 2 * len(key) and x.casefold() == key:
+                f = self.forms[x] = (x.casefold(), form(x, []))
+            low, f = f
+            for s in names:
+                if s in low:
+                    f = form(x, names)
+                    if len(x) <= 80 and "," in x and any(low.startswith(s) for s in names) and _LATER_DIGIT.search(x, 3):
+                        c |= ADDRESS
+                    break
+            if low == key:
                 c |= TITLE
             numbers.append(i)
             lines.append(x)

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -64,35 +65,60 @@ def is_latin_filler(line: str) -> bool:
     return len(words) >= 5 and sum(w in LATIN_FILLER for w in words) >= 0.8 * len(words)
 
 
-def classify(template: str, lines: int, alone: int, content: int) -> str:
-    """The verdict on a template: message, filler, notice or "". content: its lines that read as values, list items, headings or titles."""
+def listed(template: str) -> str:
+    """The verdict on a template from what it says alone: message, filler or ""."""
     if MESSAGE.match(template):
         return "message"
-    if FILLER.match(template) or FILLER_ANYWHERE.search(template) or is_latin_filler(template):
+    low = template.lower()
+    if FILLER.match(template) or (("lorem" in low or "dummy" in low) and FILLER_ANYWHERE.search(template)) or is_latin_filler(low):
         return "filler"
+    return ""
+
+
+def classify(template: str, lines: int, alone: int, content: int) -> str:
+    """The verdict on a template: message, filler, notice or "". content: its lines that read as values, list items, headings or titles."""
+    if found := listed(template):
+        return found
     if alone >= TOPICAL * lines and TOPIC.search(template):
         return "notice"
     return "notice" if lines >= RECURS and alone >= ANY * lines and not content else ""
 
 
 class Leaf:
-    """The templates under one path of the tree."""
+    """The templates under one path of the tree, as rows of token numbers; 0 is a wildcard."""
 
     def __init__(self):
-        self.templates: list[list[str]] = []
+        self.words: dict[str, int] = {"*": 0}
+        self.names = ["*"]
+        self.rows = np.zeros((4, 0), np.int32)
+        self.used = 0
 
     def add(self, tokens: list[str]) -> int:
         """The number of the template that tokens belong to: the most similar one, which they make more general, or a new one."""
-        best, most = -1, ALIKE * len(tokens)
-        for i, t in enumerate(self.templates):
-            same = sum(map(str.__eq__, t, tokens))
-            if same > most or (same == most and best < 0):
-                best, most = i, same
-        if best < 0:
-            self.templates.append(tokens)
-            return len(self.templates) - 1
-        self.templates[best] = ["*" if a != b else a for a, b in zip(self.templates[best], tokens)]
-        return best
+        row = np.empty(len(tokens), np.int32)
+        for i, t in enumerate(tokens):
+            n = self.words.get(t)
+            if n is None:
+                n = self.words[t] = len(self.names)
+                self.names.append(t)
+            row[i] = n
+        if self.used:
+            same = (self.rows[: self.used] == row).sum(1)
+            best = int(same.argmax())
+            if same[best] >= ALIKE * len(tokens):
+                self.rows[best][self.rows[best] != row] = 0
+                return best
+        if self.used == 0:
+            self.rows = np.zeros((4, len(tokens)), np.int32)
+        elif self.used == len(self.rows):
+            self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
+        self.rows[self.used] = row
+        self.used += 1
+        return self.used - 1
+
+    @property
+    def templates(self) -> list[list[str]]:
+        return [[self.names[i] for i in r] for r in self.rows[: self.used].tolist()]
 
 
 def path_of(masked: str) -> int:
@@ -101,12 +127,12 @@ def path_of(masked: str) -> int:
     return xxhash.xxh64_intdigest(" ".join([str(len(tokens)), *tokens[:DEPTH]]).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-_EXTRA = "lengths array<int>, shapes array<bigint>, slots array<struct<at:int,slot:string>>, shape bigint, leaf bigint, masked string"
+_EXTRA = "lengths array<int>, shapes array<bigint>, slots array<struct<at:int,slot:string>>, shape bigint, leaf bigint, masked string, listed string"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per page, and one per shape that is new to the task."""
-    names = [*(x.split()[0] for x in B.PAGE.split(", ")), "lengths", "shapes", "slots", "shape", "leaf", "masked"]
+    names = [*(x.split()[0] for x in B.PAGE.split(", ")), "lengths", "shapes", "slots", "shape", "leaf", "masked", "listed"]
     slot_type = pa.list_(pa.struct([("at", pa.int32()), ("slot", pa.string())]))
     read = B.Reader()
     shapes_of: dict[str, int] = {}
@@ -114,7 +140,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in B._numbered(batches):
         host, title, text = (b.column(i).to_pylist() for i in (2, 4, 5))
         cols: list[list] = [[] for _ in range(8)]
-        fresh: list[tuple[int, int, str]] = []
+        fresh: list[tuple[int, int, str, str]] = []
         if len(shapes_of) > 50_000:
             shapes_of.clear()
         if len(seen) > 1_000_000:
@@ -131,7 +157,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     d = shapes_of[line] = xxhash.xxh64_intdigest(masked.encode("utf-8", "surrogatepass")) - (1 << 63)
                     if d not in seen:
                         seen.add(d)
-                        fresh.append((d, path_of(masked), masked))
+                        fresh.append((d, path_of(masked), masked, listed(masked)))
                 digests.append(d)
             body = xxhash.xxh64_intdigest((x or "").encode("utf-8", "surrogatepass")) - (1 << 63)
             for col, v in zip(cols, (body, B.content_start(c), c, n, f, [len(y) for y in lines], digests, found)):
@@ -140,7 +166,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pages, more = b.num_rows, len(fresh)
         arrays = [pa.concat_arrays([b.column(i), pa.nulls(more, b.column(i).type)]) for i in range(4)]
         arrays += [pa.concat_arrays([pa.array(v, t), pa.nulls(more, t)]) for v, t in zip(cols, types)]
-        for k, t in enumerate((pa.int64(), pa.int64(), pa.string())):
+        for k, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string())):
             arrays.append(pa.concat_arrays([pa.nulls(pages, t), pa.array([r[k] for r in fresh], t)]))
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -203,16 +229,22 @@ class Mined:
         # mining is work for processors, not for the network: as many tasks as that needs, however few bytes there are
         parts = max(2 * scanned.sparkSession.sparkContext.defaultParallelism, scanned.count() // 50_000)
         counted = self.lines.groupBy("shape").agg(F.count("*").alias("lines"), F.count_if("alone").alias("alone"), F.count_if("content").alias("content"))
-        shapes = scanned.where("shape is not null").select("shape", "leaf", "masked").dropDuplicates(["shape"]).join(counted, "shape")
+        known = scanned.where("shape is not null")
+        placed = known.select("shape", "leaf").distinct().join(counted, "shape")
         if not tree:  # every shape a template of its own that nothing is known of
-            shapes = shapes.withColumn("leaf", F.col("shape")).withColumn("alone", F.lit(0).cast("bigint"))
-        shapes = shapes.select("shape", "leaf", "masked", "lines", "alone", "content").repartition(parts, "leaf").sortWithinPartitions("leaf", "masked")
+            placed = placed.withColumn("leaf", F.col("shape")).withColumn("alone", F.lit(0).cast("bigint"))
+        # a path on which no line ever stands alone holds no notice; its shapes are judged by what they say
+        open_ = placed.groupBy("leaf").agg(F.max("alone").alias("some")).where("some > 0").select("leaf")
+        sizes = placed.join(open_, "leaf", "left_semi").select("shape", "lines", "alone", "content")
+        texts = known.select("shape", "leaf", "masked").join(open_, "leaf", "left_semi").dropDuplicates(["shape"])
+        shapes = texts.join(sizes, "shape").select("shape", "leaf", "masked", "lines", "alone", "content").repartition(parts, "leaf").sortWithinPartitions("leaf", "masked")
         mined = materialize(shapes.mapInPandas(_mined, _MINED), "mined")
         self.templates = mined.where("template is not null").drop("shape").mapInPandas(_classified, f"{_MINED.replace('shape bigint, ', '')}, verdict string")
         judged = self.templates.where("verdict != ''").select("leaf", "number", "template", "verdict")
+        found = mined.where("shape is not null").select("shape", "leaf", "number").join(judged, ["leaf", "number"]).select("shape", "template", "verdict")
+        said = known.where("listed != ''").select("shape", F.col("masked").alias("template"), F.col("listed").alias("verdict"))
         #: (shape, template, verdict) of the shapes that a verdict was passed on
-        shapes = mined.where("shape is not null").select("shape", "leaf", "number").join(judged, ["leaf", "number"]).select("shape", "template", "verdict")
-        self.shapes = materialize(shapes, "judged")
+        self.shapes = materialize(found.unionByName(said).groupBy("shape").agg(F.max(F.struct("verdict", "template")).alias("v")).select("shape", "v.template", "v.verdict"), "judged")
 
     def verdicts(self) -> DataFrame:
         few = self.shapes.count() <= BROADCAST  # what residue looks like; beyond that both sides are sorted
