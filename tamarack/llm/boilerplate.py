@@ -75,6 +75,7 @@ _CODE = re.compile(r"[A-Z]{2,3}[ -]?[A-Z]?\d{2,}|\d{3,}")
 _CRUMBS = re.compile(r"^[^.!?]{2,40}(?: [/>»›] [^.!?/>»›]{2,40}){1,}$")
 _MENU = re.compile(r"^[^\d.!?:]{2,40}(?: [|·•] [^\d.!?:|·•]{2,40}){1,}$|^[›≡☰»] ")
 _BULLET = re.compile(r"^[-*•·–] ")
+_DIGITS = frozenset("0123456789")
 _LATER_DIGIT = re.compile(r"\d")
 
 #: Bits of a line's kind.
@@ -98,6 +99,8 @@ def form(line: str, names: list[str]) -> int:
     x = line.casefold()
     for s in names:
         x = x.replace(s, "@")
+    if _DIGITS.isdisjoint(x):
+        return xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63)
     return xxhash.xxh64_intdigest(_NUMBER.sub("9", x).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 

@@ -97,7 +97,13 @@ def p10_portion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_portion(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p2_bodies, p3_found, p3_nearest, p5_found, p5_pieces, p6_found, p6_clean, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_portion)}
+def p10_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without what stands in an earlier document, and the removed spans' original offsets."""
+    tune(spark)
+    return spans.without_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p2_bodies, p3_found, p3_nearest, p5_found, p5_pieces, p6_found, p6_clean, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_portion, p10_kept)}
 ORACLE_SQL: dict[str, str] = {
     "p5_found": """
         SELECT 'page' AS item_kind, CAST(page_id AS VARCHAR) AS item_id FROM scraped_pages WHERE length(text_content) > 4000

@@ -135,7 +135,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [*(x.split()[0] for x in B.PAGE.split(", ")), "lengths", "shapes", "slots", "shape", "leaf", "masked", "listed"]
     slot_type = pa.list_(pa.struct([("at", pa.int32()), ("slot", pa.string())]))
     read = B.Reader()
-    shapes_of: dict[str, int] = {}
+    shapes_of: dict[str, tuple[int, str | None]] = {}
     seen: set[int] = set()
     for b in B._numbered(batches):
         host, title, text = (b.column(i).to_pylist() for i in (2, 4, 5))
@@ -149,16 +149,17 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines, n, c, f = read(x or "", t, h)
             found, digests = [], []
             for i, line in enumerate(lines):
-                if s := slots(line):
-                    found.append({"at": i, "slot": s[0]})
-                d = shapes_of.get(line)
-                if d is None:
-                    masked = shape(line)
-                    d = shapes_of[line] = xxhash.xxh64_intdigest(masked.encode("utf-8", "surrogatepass")) - (1 << 63)
+                kept = shapes_of.get(line)
+                if kept is None:
+                    masked, s = shape(line), slots(line)
+                    d = xxhash.xxh64_intdigest(masked.encode("utf-8", "surrogatepass")) - (1 << 63)
+                    kept = shapes_of[line] = (d, s[0] if s else None)
                     if d not in seen:
                         seen.add(d)
                         fresh.append((d, path_of(masked), masked, listed(masked)))
-                digests.append(d)
+                digests.append(kept[0])
+                if kept[1] is not None:
+                    found.append({"at": i, "slot": kept[1]})
             body = xxhash.xxh64_intdigest((x or "").encode("utf-8", "surrogatepass")) - (1 << 63)
             for col, v in zip(cols, (body, B.content_start(c), c, n, f, [len(y) for y in lines], digests, found)):
                 col.append(v)

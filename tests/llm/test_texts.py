@@ -136,8 +136,10 @@ def brute(texts, least):
     return pairs, {k: len(v) for k, v in cover.items()}
 
 
-@pytest.mark.parametrize(("seed", "least", "alphabet"), [(1, 40, "abcdefgh "), (2, 40, "ab"), (3, 41, "a"), (4, 200, "abcdefghij é汉")])
-def test_spans_against_all_substrings(spark, seed, least, alphabet):
+@pytest.mark.parametrize("classes", [64, 1])
+@pytest.mark.parametrize(("seed", "least", "alphabet"), [(1, 40, "abcdefgh "), (2, 40, "ab"), (3, 41, "a"), (4, 200, "abcdefghij é汉"), (5, 40, "abcdef. \n"), (6, 60, ["The loader moved ore. ", "Pump\n", "flow ", "卡车爬坡。", "at nine; "])])
+def test_spans_against_all_substrings(spark, seed, least, alphabet, classes, monkeypatch):
+    monkeypatch.setattr(P, "CLASSES", classes)  # 1: every repeated unit is a crowd
     rng = random.Random(seed)
     text = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
     passages = [text(rng.randint(least - 5, 2 * least)) for _ in range(5)]
@@ -164,3 +166,33 @@ def test_spans_of_repeated_rows_and_nothing(spark):
     assert P.shared_pairs(df.where("false")).count() == 0 and P.shared_portion(df.where("false")).count() == 0
     spans = {(r.doc_id, r.start, r.length, r.earlier) for r in P.shared_spans(df).collect()}
     assert spans == {(1, 0, 500, False), (2, 1, 500, True), (3, 0, 500, True)}
+
+
+def test_lines_find_spans_and_runs_what_lines_cannot(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9)))
+    sentences = lambda n: " ".join(" ".join(word() for _ in range(8)).capitalize() + "." for _ in range(n))
+    shared, bare = sentences(8), "".join(word() for _ in range(60))
+    df = spark.createDataFrame([(1, sentences(3) + " " + shared + " " + sentences(2)), (2, sentences(4) + "\n" + shared + "\n" + sentences(2)), (3, word() + bare + word()), (4, sentences(2) + bare)], "doc_id bigint, text string")
+    pairs = lambda **k: {tuple(r) for r in P.Shared(df, 200, **k).pairs().collect()}
+    assert pairs() == {(1, 2), (3, 4)} and pairs(runs=False) == {(1, 2)} and pairs(lines=False) == {(1, 2), (3, 4)}
+
+
+def test_the_first_occurrence_stays(spark):
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefgh .") for _ in range(n))
+    p, q = text(300), text(250)
+    texts = {1: text(50) + p + text(40), 2: "A" + p + "B" + q + "C", 3: q + "D" + p, 4: None, 5: "", 6: text(400)}
+    texts[7] = texts[6]
+    got = {r.doc_id: r for r in P.without_repeats(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
+    assert {k: r.text for k, r in got.items()} == {1: texts[1], 2: "AB" + q + "C", 3: "D", 4: None, 5: "", 6: texts[6], 7: ""}
+    assert [tuple(x) for x in got[2].removed] == [(1, 300)] and [tuple(x) for x in got[3].removed] == [(0, 250), (251, 300)]
+
+
+def test_a_passage_in_thousands_of_documents(spark):
+    rng = random.Random(5)
+    passage = "This licence covers the use of the manual in mines and depots of all kinds. Copies may be made for crews that work on site and for no other purpose at all. The makers give no warranty of any kind here."
+    df = spark.createDataFrame([(i, f"{rng.random()} {i} " * 9 + passage + f" {i} {rng.random()}" * 9) for i in range(3000)], "doc_id bigint, text string")
+    got = P.shared_portion(df).select("shared_chars").distinct().collect()
+    assert len(got) <= 12 and min(r.shared_chars for r in got) >= len(passage)  # no pair of surroundings is compared
+    assert P.without_repeats(df).where("size(removed) > 0").count() == 2999
