@@ -10,7 +10,7 @@ def facts(spark, text, url="https://h.example/x"):
 
 
 def test_catalogue():
-    assert len(R.patterns()) == 82 and len(R.TEXT_RULES) == 36 and len(R.labels()) == 103
+    assert len(R.patterns()) == 82 and len(R.TEXT_PATTERNS) == 36 and len(R.labels()) == 103
     assert all(len(a) >= len(b) for (a, _), (b, _) in zip(R.labels(), R.labels()[1:]))
 
 
