@@ -1,12 +1,17 @@
 """Consensus across sources: clustering of values by a running mean, and one result per group.
 
-A group is what different sources say about one parameter of one machine. Groups are as
-small as the number of sources; values are sorted inside an array and folded, so all
-groups are worked on in one shuffle.
+A group is what different sources say about one parameter of one machine. Its rows are
+counted per value before anything is shuffled; the values, sorted, are walked through once
+with a running sum, so a group of any size needs the memory of one cluster. Everything
+else is ordinary aggregation of values and clusters.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,30 +30,71 @@ def tolerance(parameter: Column) -> Column:
     return F.coalesce(*[F.when(parameter == k, F.lit(v)) for k, v in R.TOLERANCES.items()], F.lit(R.TOLERANCE))
 
 
-def clusters(items: Column, percent: Column | float, value: str = "v") -> Column:
-    """Clusters of an array of structs that is sorted by ``value``: an item joins the last cluster if it is within ``percent`` of its mean (a mean of zero or less joins nothing but percent >= 100)."""
-    percent = F.lit(float(percent)) if isinstance(percent, (int, float)) else percent
-    empty = F.filter(F.transform(items, lambda x: F.struct(F.lit(0.0).alias("sum"), F.array(x).alias("items"))), lambda _: F.lit(False))
+class Walk:
+    """The running cluster of a group: a value joins it if it is within ``percent`` of its mean (a mean of zero or less joins nothing but percent >= 100)."""
+
+    def __init__(self):
+        self.group, self.cluster, self.sum, self.count = None, -1, 0.0, 0
+
+    def __call__(self, group: str, value: float, n: int, percent: float) -> int:
+        """The number of the cluster of a value that stands n times."""
+        if group != self.group:
+            self.group, self.cluster, self.count = group, -1, 0
+        if self.count:
+            mean = self.sum / self.count
+            apart = abs(value - mean) / mean * 100 if mean > 0 else 100.0
+        if not self.count or not apart <= percent:
+            self.cluster, self.sum, self.count = self.cluster + 1, 0.0, 0
+        if value <= 0 and percent < 100:  # equal values that don't join each other
+            self.cluster, self.sum, self.count = self.cluster + n - 1, value, 1
+        else:
+            self.sum, self.count = self.sum + value * n, self.count + n
+        return self.cluster
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    walk = Walk()
+    for b in batches:
+        columns = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("_g", "v", "n", "percent")]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([walk(*row) for row in zip(*columns)], pa.int64())], names=[*b.schema.names, "cluster"])
+
+
+def clustered(values: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """values(keys..., v, n, percent, ...), a row per value, with the number of each one's cluster; of n equal values that are clusters of their own the last one's."""
+    df = values.withColumn("_g", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
+    df = df.repartition(*keys).sortWithinPartitions("_g", "v", *(order or []))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "cluster bigint"])
+    return df.mapInArrow(_walked, schema).drop("_g")
 
-    def step(acc, x):
-        last = F.try_element_at(acc, F.lit(-1))
-        mean = last["sum"] / F.size(last["items"])
-        apart = F.when(mean > 0, F.abs(x[value] - mean) / mean * 100).otherwise(100.0)
-        fits = (F.size(acc) > 0) & (apart <= percent)
-        grown = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct((last["sum"] + x[value]).alias("sum"), F.concat(last["items"], F.array(x)).alias("items"))))
-        return F.when(fits, grown).otherwise(F.concat(acc, F.array(F.struct((F.lit(0.0) + x[value]).alias("sum"), F.array(x).alias("items")))))
 
-    return F.aggregate(items, empty, step)
+def main_cluster(labelled: DataFrame, keys: list[str], **sums: Column) -> DataFrame:
+    """Per group: agree, lo, hi, best and the named sums of its largest cluster (of equal ones the first), numbers (its values in all) and clusters."""
+    apart = (F.col("v") <= 0) & (F.col("percent") < 100)
+    size = F.when(apart, 1).otherwise(F.col("n"))
+    first = F.when(apart, F.col("cluster") - F.col("n") + 1).otherwise(F.col("cluster"))
+    per = labelled.withColumn("cluster", first).groupBy(*keys, "cluster").agg(F.sum(size).alias("agree"), F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.min("best").alias("best"), F.sum(F.when(apart, F.col("n")).otherwise(0)).alias("apart"), *[F.sum(c).alias(k) for k, c in sums.items()])
+    chosen = F.max_by(F.struct("agree", "lo", "hi", "best", *sums), F.struct("agree", (-F.col("cluster")).alias("c"))).alias("_main")
+    g = per.groupBy(*keys).agg(chosen, F.sum("n").alias("numbers"), F.sum(F.when(F.col("apart") > 0, F.col("apart")).otherwise(1)).alias("clusters"))
+    return g.select(*keys, "_main.*", "numbers", "clusters")
 
 
-def _largest(groups: Column) -> Column:
-    """The largest cluster, of equal ones the first."""
-    sized = F.transform(groups, lambda g, i: F.struct(F.size(g["items"]).alias("n"), (-i).alias("i")))
-    best = F.array_max(sized)
-    return F.get(groups, -best["i"])
+def rated(best: Column, agree: Column, n: Column, conflict: Column) -> Column:
+    """The best one's confidence raised by a tenth of the agreeing share, at most 0.85 in a conflict; three decimals."""
+    raised = F.least(best + 0.1 * agree / n, F.lit(1.0))
+    return F.round(F.round(F.when(conflict, F.least(raised, F.lit(0.85))).otherwise(raised), 9), 3)
 
 
-def consensus(candidates: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def _decimals(values: Column) -> Column:
+    """Numbers with one decimal, rounded as their exact binary values; the JVM's formats round the shortest decimal form."""
+
+    @F.pandas_udf("string")
+    def run(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda xs: None if xs is None else ", ".join(f"{x:.1f}" for x in xs if x is not None and x == x))
+
+    return run(values)
+
+
+def consensus(candidates: DataFrame, keys: list[str] | None = None, lists: bool = True) -> DataFrame:
     """One row per group of candidates(keys..., parameter, value, unit, confidence, source_url, seq).
 
     Values that are numbers are clustered within the parameter's tolerance; the largest
@@ -56,38 +102,49 @@ def consensus(candidates: DataFrame, keys: list[str] | None = None) -> DataFrame
     value (then the lower value, source and seq) the result; confidence rises by a tenth
     of the agreeing share, and is at most 0.85 where some disagree. Groups of texts alone
     take the most confident. A group of one is taken as it is. Units aren't compared. Null
-    confidences count as 0; an empty table gives an empty result.
+    confidences count as 0, null keys are a group; an empty table gives an empty result.
+    ``lists`` adds sources (of the values that agree, in order of value) and conflict_detail,
+    which are as long as their groups are large; without them no group is gathered.
     """
-    keys = keys or ["brand", "model"]
+    keys = [*(keys or ["brand", "model"]), "parameter"]
     seq = F.col("seq") if "seq" in candidates.columns else F.lit(0)
-    num = numeric_value(F.col("value"))
     conf = F.coalesce(F.col("confidence").cast("double"), F.lit(0.0))
-    item = F.struct(num.alias("v"), F.col("source_url"), seq.alias("seq"), F.col("value"), F.col("unit"), conf.alias("confidence"))
-    g = candidates.groupBy(*keys, "parameter").agg(F.array_sort(F.collect_list(F.when(num.isNotNull(), item))).alias("nums"), F.array_sort(F.collect_list(F.when(num.isNull(), item))).alias("texts"))
-    g = g.withColumn("groups", clusters(F.col("nums"), tolerance(F.col("parameter")))).withColumn("main", _largest(F.col("groups"))["items"])
-    best = lambda items: F.array_max(F.transform(items, lambda x, i: F.struct(x["confidence"].alias("c"), (-i).alias("i"), x.alias("x"))))["x"]
-    single = (F.size("nums") + F.size("texts")) == 1
-    all_text = F.size("nums") == 0
-    g = g.withColumn("best", F.when(all_text, best("texts")).otherwise(best("main"))).withColumn("n", F.size("nums") + F.size("texts"))
-    agree = F.when(all_text, F.size("texts")).otherwise(F.size("main"))
-    outliers = F.filter(F.flatten(F.transform("groups", lambda c: F.when(c["items"] != F.col("main"), c["items"]).otherwise(F.filter(c["items"], lambda _: F.lit(False))))), lambda x: x.isNotNull())
-    g = g.withColumn("outliers", outliers)
-    conflict = F.size("outliers") > 0
-    raised = F.least(F.col("best.confidence") + 0.1 * agree / F.col("n"), F.lit(1.0))
-    final = F.when(single | all_text, F.col("best.confidence")).otherwise(F.round(F.round(F.when(conflict, F.least(raised, F.lit(0.85))).otherwise(raised), 9), 3))
-    one = lambda x: F.format_string("%.1f", x)
+    rows = candidates.select(*keys, numeric_value(F.col("value")).alias("v"), "value", "unit", "source_url", conf.alias("confidence"), seq.alias("seq"))
+    word = F.when(F.col("v").isNull(), F.lower("value")).alias("word")
+    best = F.min(F.struct((-F.col("confidence")).alias("c"), F.when(F.col("v").isNotNull(), F.col("v")).alias("v"), "source_url", "seq", "value", "unit")).alias("best")
+    values = rows.groupBy(*keys, "v", word).agg(F.count("*").alias("n"), best)
+    number = values.where("v is not null").withColumn("percent", tolerance(F.col("parameter")))
+    main = main_cluster(clustered(number, keys), keys)
+    texts = values.where("v is null").groupBy(*keys).agg(F.sum("n").alias("texts"), F.count("*").alias("words"), F.min("best").alias("said"))
+    m, t = main.alias("m"), texts.alias("t")
+    on = lambda a, b: _same([(F.col(f"{a}.{k}"), F.col(f"{b}.{k}")) for k in keys])
+    g = m.join(t, on("m", "t"), "full").select(*[F.coalesce(f"m.{k}", f"t.{k}").alias(k) for k in keys], *[F.col(f"m.{c}") for c in ("agree", "lo", "hi", "best", "numbers", "clusters")], "texts", "words", "said")
+    all_text = F.col("numbers").isNull()
+    n = F.coalesce("numbers", F.lit(0)) + F.coalesce("texts", F.lit(0))
+    pick = F.when(all_text, F.col("said")).otherwise(F.col("best"))
+    conflict = F.coalesce(F.col("clusters") > 1, F.lit(False))
+    g = g.select(*keys, "lo", "hi", "agree", "numbers", conflict.alias("conflict"), all_text.alias("all_text"), "words", n.alias("n"), pick.alias("pick"))
+    single = F.col("n") == 1
+    final = F.when(single | F.col("all_text"), -F.col("pick.c")).otherwise(rated(-F.col("pick.c"), F.col("agree"), F.col("n"), F.col("conflict")))
+    agreed = F.when(single, True).when(F.col("all_text"), F.col("words") == 1).otherwise(~F.col("conflict"))
+    out = g.select(*keys, F.col("pick.value").alias("best_value"), F.col("pick.unit").alias("best_unit"), final.alias("final_confidence"), F.col("n").cast("int").alias("source_count"), agreed.alias("consensus"), "lo", "hi", "all_text", "agree", "conflict", "pick")
+    if not lists:
+        return out.select(*keys, "best_value", "best_unit", "final_confidence", "source_count", "consensus")
+    o, r = out.alias("o"), rows.alias("r")
+    inside = F.col("o.all_text") | F.col("r.v").between(F.col("o.lo"), F.col("o.hi"))
+    item = F.struct(F.col("r.v").alias("v"), F.col("r.source_url").alias("source_url"), F.col("r.seq").alias("seq"))
+    each = o.join(r, on("o", "r")).select("o.*", F.when(F.coalesce(inside, F.lit(False)), item).alias("in"), F.when(~inside, item).alias("out"))
+    made = each.groupBy(*[c for c in out.columns]).agg(F.array_sort(F.collect_list("in")).alias("ins"), F.array_sort(F.collect_list("out")).alias("outs"))
+    outliers = F.transform("outs", lambda x: x["v"])
     detail = F.when(
-        conflict & ~all_text & ~single,
-        F.concat(F.lit("Conflict: "), agree.cast("string"), F.lit("/"), F.col("n").cast("string"), F.lit(" sources agree on ~"), one(F.col("best.v")), F.lit(". Outliers: "), F.array_join(F.transform("outliers", lambda x: one(x["v"])), ", ")),
+        F.col("conflict") & ~F.col("all_text"),
+        F.concat(F.lit("Conflict: "), F.col("agree").cast("string"), F.lit("/"), F.col("source_count").cast("string"), F.lit(" sources agree on ~"), _decimals(F.array(F.col("pick.v"))), F.lit(". Outliers: "), _decimals(outliers)),
     ).otherwise("")
-    return g.select(
-        *keys,
-        "parameter",
-        F.col("best.value").alias("best_value"),
-        F.col("best.unit").alias("best_unit"),
-        final.alias("final_confidence"),
-        F.col("n").alias("source_count"),
-        F.when(single, True).when(all_text, F.size(F.array_distinct(F.transform("texts", lambda x: F.lower(x["value"])))) == 1).otherwise(~conflict).alias("consensus"),
-        F.transform(F.when(all_text, F.col("texts")).otherwise(F.col("main")), lambda x: x["source_url"]).alias("sources"),
-        detail.alias("conflict_detail"),
-    )
+    return made.select(*keys, "best_value", "best_unit", "final_confidence", "source_count", "consensus", F.transform("ins", lambda x: x["source_url"]).alias("sources"), detail.alias("conflict_detail"))
+
+
+def _same(pairs: list[tuple[Column, Column]]) -> Column:
+    out = F.lit(True)
+    for a, b in pairs:
+        out = out & a.eqNullSafe(b)
+    return out

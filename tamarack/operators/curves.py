@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import urls
-from .consensus import NUMERIC, _largest, clusters
+from .consensus import NUMERIC, _same, clustered, main_cluster, rated
 
 _FORCE = "kN|lbf|kgf|lb"
-#: Families of patterns in texts: a gear before or after the word, a gear in brackets, and lists of ordinals in a section.
+# Families of patterns in texts: a gear before or after the word, a gear in brackets, and lists of ordinals in a section.
 FAMILY_1 = rf"(?:(\w+)\s*(?:gear|marcha)\s*rimpull|rimpull\s*\(?(\w+)\s*(?:gear|marcha)\)?)[:\s]*([0-9,.]+)\s*({_FORCE})"
 FAMILY_2 = rf"rimpull\s*\(\s*(\w+)(?:\s*gear)?\s*\)[:\s]*([0-9,.]+)\s*({_FORCE})"
 SECTION = rf"rimpull[^.]{{0,500}}?(?:(?:\d+(?:st|nd|rd|th))[:\s]+[0-9,.]+\s*(?:{_FORCE})[\s,;]*)+"
@@ -155,23 +155,26 @@ def consensus(points: DataFrame, machine: list[str], curve: str) -> DataFrame:
     The points of a gear are clustered within 10 %; the largest cluster's most confident
     point counts (then lower force, source), its confidence raised by a tenth of the share
     that agrees and at most 0.85 where some don't; the speed is the cluster's mean. A machine
-    of one curve keeps it; fewer than two gears give none.
+    of one curve keeps it; fewer than two points give none. Points without a force don't
+    count, those without address are one source, null confidences are 0. Points are counted
+    per force before the shuffle, so no gear's points are gathered.
     """
-    item = F.struct(F.col("force_kn").cast("double").alias("v"), F.coalesce("source_url", F.lit("")).alias("source_url"), F.col("original_unit"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), "speed_kmh", F.col(curve).alias("curve"))
-    g = points.withColumn("gear", normalize_gear(F.col("gear"))).groupBy(*machine, "gear").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    g = g.withColumn("groups", clusters(F.col("items"), R.CURVE_TOLERANCE)).withColumn("main", _largest(F.col("groups"))["items"])
-    best = F.array_max(F.transform("main", lambda x, i: F.struct(x["confidence"].alias("c"), (-i).alias("i"), x.alias("x"))))["x"]
-    g = g.withColumn("best", best)
-    single = F.size("items") == 1
-    raised = F.least(F.col("best.confidence") + 0.1 * F.size("main") / F.size("items"), F.lit(1.0))
-    conf = F.when(single, F.col("best.confidence")).otherwise(F.round(F.round(F.when(F.size("groups") > 1, F.least(raised, F.lit(0.85))).otherwise(raised), 9), 3))
-    speeds = F.filter(F.transform("main", lambda x: x["speed_kmh"]), lambda s: s.isNotNull() & ~F.isnan(s))
-    mean = F.aggregate(speeds, F.lit(0.0), lambda a, s: a + s) / F.size(speeds)
-    speed = F.when(single, F.col("best.speed_kmh")).otherwise(F.when(F.size(speeds) > 0, F.round(F.round(mean, 9), 1)))
-    out = g.select(*machine, "gear", speed.alias("speed_kmh"), F.round("best.v", 2).alias("force_kn"), F.col("best.original_unit").alias("original_unit"), conf.alias("confidence"), F.col("best.source_url").alias("source_url"))
+    p = points.select(*machine, normalize_gear(F.col("gear")).alias("gear"), "speed_kmh", "force_kn", "original_unit", F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.coalesce("source_url", F.lit("")).alias("source_url"), F.coalesce(F.col(curve).cast("string"), F.lit("")).alias("_curve"))
+    by = [*machine, "gear"]
+    best = F.min(F.struct((-F.col("confidence")).alias("c"), "v", "source_url", "original_unit", "speed_kmh")).alias("best")
+    speed = F.when(~F.isnan("speed_kmh"), F.col("speed_kmh"))
+    values = p.withColumn("v", F.col("force_kn").cast("double")).where("v is not null").groupBy(*by, "v").agg(F.count("*").alias("n"), best, F.sum(speed).alias("s"), F.count(speed).alias("sn"))
+    g = main_cluster(clustered(values.withColumn("percent", F.lit(R.CURVE_TOLERANCE)), by), by, s=F.col("s"), sn=F.col("sn"))
+    single = F.col("numbers") == 1
+    conf = F.when(single, -F.col("best.c")).otherwise(rated(-F.col("best.c"), F.col("agree"), F.col("numbers"), F.col("clusters") > 1))
+    mean = F.when(single, F.col("best.speed_kmh")).otherwise(F.when(F.col("sn") > 0, F.round(F.round(F.col("s") / F.col("sn"), 9), 1)))
+    out = g.select(*by, mean.alias("speed_kmh"), F.round("best.v", 2).alias("force_kn"), F.col("best.original_unit").alias("original_unit"), conf.alias("confidence"), F.col("best.source_url").alias("source_url"))
     # a machine of one curve keeps its points
-    ones = points.groupBy(*machine).agg(F.count_distinct(curve).alias("c")).where("c = 1").select(*machine)
-    kept = points.withColumn("gear", normalize_gear(F.col("gear"))).join(ones, machine, "left_semi").select(*out.columns)
-    out = out.join(ones, machine, "left_anti").unionByName(kept)
-    gears = out.groupBy(*machine).agg(F.count("*").alias("n")).where("n >= 2").select(*machine)
-    return out.join(gears, machine, "left_semi")
+    curves = p.groupBy(*machine).agg(F.count_distinct("_curve").alias("_curves"))
+    on = lambda a, b: _same([(a[m], b[m]) for m in machine])
+    ones = curves.where("_curves = 1").drop("_curves")
+    made = out.join(ones, on(out, ones), "left_anti")
+    kept = p.join(ones, on(p, ones), "left_semi").select(*out.columns)
+    every = made.unionByName(kept)
+    enough = every.groupBy(*machine).agg(F.count("*").alias("_n")).where("_n >= 2").drop("_n")
+    return every.join(enough, on(every, enough), "left_semi")

@@ -6,7 +6,7 @@ import html as _html
 import json
 import os
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -64,13 +64,13 @@ def sorted_by(specs: DataFrame, column: str, descending: bool = False) -> DataFr
 
 
 def series(points: DataFrame, by_speed: bool = False) -> DataFrame:
-    """(brand, model, points): a curve per machine in the order of gears, or of speeds without the points that have none."""
+    """(brand, model, place, gear, speed_kmh, force_kn): the curve of each machine in the order of gears, or of speeds without the points that have none; rows, so that no curve is gathered."""
     from .curves import gear_rank
 
     p = points.where(F.col("speed_kmh").isNotNull()) if by_speed else points
-    first = F.col("speed_kmh") if by_speed else gear_rank(F.col("gear")).cast("double")
-    item = F.struct(first.alias("at"), F.col("gear"), F.col("speed_kmh"), F.col("force_kn"))
-    return p.groupBy("brand", "model").agg(F.array_sort(F.collect_list(item)).alias("points"))
+    at = F.col("speed_kmh") if by_speed else gear_rank(F.col("gear"))
+    along = Window.partitionBy("brand", "model").orderBy(at, "gear", "speed_kmh", "force_kn")
+    return p.select("brand", "model", F.row_number().over(along).alias("place"), "gear", "speed_kmh", "force_kn")
 
 
 def file_name(brand: Column) -> Column:

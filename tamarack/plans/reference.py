@@ -152,7 +152,7 @@ def inventory_groups(spark, t):
 
 # --- facts from text and tables
 
-_BLANKS = f"translate(substr(text_content, 1, {R.MAX_TEXT}), {_lit(specs.BLANKS)}, '{' ' * len(specs.BLANKS)}')"
+_BLANKS = f"translate(text_content, {_lit(specs.BLANKS)}, '{' ' * len(specs.BLANKS)}')"
 
 
 def _unit_sql(parameter: str) -> str:
@@ -308,17 +308,24 @@ _TOL = "CASE parameter " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in R.TOLERAN
       inside AS (SELECT n.*, m.agree, m.numeric_n FROM nums n JOIN walk w USING (run_id, equipment_id, parameter, rn) JOIN main m ON m.run_id = n.run_id AND m.equipment_id = n.equipment_id AND m.parameter = n.parameter AND m.cl = w.cl),
       best AS (SELECT *, row_number() OVER (PARTITION BY run_id, equipment_id, parameter ORDER BY conf DESC, rn) AS b FROM inside),
       texts AS (SELECT *, row_number() OVER (PARTITION BY run_id, equipment_id, parameter ORDER BY conf DESC, source_url NULLS FIRST, seq) AS b FROM base WHERE v IS NULL),
+      labelled AS (SELECT n.run_id, n.equipment_id, n.parameter, n.rn, n.v, n.source_url, w.cl = m.cl AS main FROM nums n JOIN walk w USING (run_id, equipment_id, parameter, rn) JOIN main m ON m.run_id = n.run_id AND m.equipment_id = n.equipment_id AND m.parameter = n.parameter),
+      lists AS (SELECT run_id, equipment_id, parameter, list(source_url ORDER BY rn) FILTER (WHERE main) AS srcs, string_agg(printf('%.1f', v), ', ' ORDER BY rn) FILTER (WHERE NOT main) AS outs FROM labelled GROUP BY ALL),
+      said AS (SELECT run_id, equipment_id, parameter, list(source_url ORDER BY source_url NULLS FIRST, seq) AS srcs FROM base WHERE v IS NULL GROUP BY ALL),
       g AS (SELECT run_id, equipment_id, parameter, count(*) AS n, count(v) AS nn, count(DISTINCT lower(value)) AS words, count(*) FILTER (WHERE value IS NULL) AS nulls FROM base GROUP BY ALL)
     SELECT g.run_id, g.equipment_id, g.parameter, CASE WHEN nn > 0 THEN x.value ELSE y.value END AS best_value, CASE WHEN nn > 0 THEN x.unit ELSE y.unit END AS best_unit,
       CASE WHEN g.n = 1 OR nn = 0 THEN coalesce(x.conf, y.conf) ELSE CAST(round(CAST(least(x.conf + 0.1 * x.agree / g.n, CASE WHEN x.agree < x.numeric_n THEN 0.85 ELSE 1.0 END) AS DECIMAL(18, 9)), 3) AS DOUBLE) END AS final_confidence,
-      CAST(g.n AS INTEGER) AS source_count, CASE WHEN g.n = 1 THEN true WHEN nn = 0 THEN words + least(nulls, 1) = 1 ELSE x.agree = x.numeric_n END AS consensus
-    FROM g LEFT JOIN best x ON x.run_id = g.run_id AND x.equipment_id = g.equipment_id AND x.parameter = g.parameter AND x.b = 1
+      CAST(g.n AS INTEGER) AS source_count, CASE WHEN g.n = 1 THEN true WHEN nn = 0 THEN words + least(nulls, 1) = 1 ELSE x.agree = x.numeric_n END AS consensus,
+      array_to_string(list_transform(CASE WHEN nn > 0 THEN l.srcs ELSE z.srcs END, lambda u: coalesce(u, '-')), ' ') AS sources,
+      CASE WHEN nn > 0 AND x.agree < x.numeric_n THEN 'Conflict: ' || x.agree || '/' || g.n || ' sources agree on ~' || printf('%.1f', x.v) || '. Outliers: ' || l.outs ELSE '' END AS conflict_detail
+    FROM g LEFT JOIN lists l ON l.run_id = g.run_id AND l.equipment_id = g.equipment_id AND l.parameter = g.parameter LEFT JOIN said z ON z.run_id = g.run_id AND z.equipment_id = g.equipment_id AND z.parameter = g.parameter
+      LEFT JOIN best x ON x.run_id = g.run_id AND x.equipment_id = g.equipment_id AND x.parameter = g.parameter AND x.b = 1
       LEFT JOIN texts y ON y.run_id = g.run_id AND y.equipment_id = g.equipment_id AND y.parameter = g.parameter AND y.b = 1"""
 )
 def consensus_specs(spark, t):
     """Consensus over all candidates of all runs."""
     c = consensus.consensus(t("spec_candidates").withColumn("seq", F.col("candidate_id")), ["run_id", "equipment_id"])
-    return c.select("run_id", "equipment_id", "parameter", "best_value", "best_unit", "final_confidence", "source_count", "consensus")
+    sources = F.array_join(F.transform("sources", lambda u: F.coalesce(u, F.lit("-"))), " ").alias("sources")
+    return c.select("run_id", "equipment_id", "parameter", "best_value", "best_unit", "final_confidence", "source_count", "consensus", sources, "conflict_detail")
 
 
 # --- curves
@@ -354,7 +361,7 @@ def curve_qa(spark, t):
 
 
 @query(
-    f"""WITH RECURSIVE s AS (SELECT equipment_id, {_GEAR} AS std, force_kn AS v, coalesce(source_url, '') AS url, original_unit, coalesce(confidence, 0.0) AS conf, speed_kmh FROM rimpull_points WHERE source_url IS NOT NULL),
+    f"""WITH RECURSIVE s AS (SELECT equipment_id, {_GEAR} AS std, force_kn AS v, coalesce(source_url, '') AS url, original_unit, coalesce(confidence, 0.0) AS conf, speed_kmh FROM rimpull_points),
       many AS (SELECT equipment_id FROM s GROUP BY 1 HAVING count(DISTINCT url) > 1), a AS (SELECT * FROM s WHERE equipment_id IN (SELECT equipment_id FROM many)),
       nums AS (SELECT *, row_number() OVER (PARTITION BY equipment_id, std ORDER BY v, url, original_unit NULLS FIRST, conf, speed_kmh NULLS FIRST) AS rn FROM a),
       walk AS (SELECT equipment_id, std, rn, v AS total, 1 AS cnt, 1 AS cl FROM nums WHERE rn = 1
@@ -374,11 +381,11 @@ def curve_qa(spark, t):
 )
 def curve_consensus(spark, t):
     """One curve per machine from all its sources."""
-    p = t("rimpull_points").where("source_url is not null").select("equipment_id", "gear", "speed_kmh", "force_kn", "original_unit", F.coalesce("confidence", F.lit(0.0)).alias("confidence"), "source_url", F.col("source_url").alias("curve"))
+    p = t("rimpull_points").withColumn("curve", F.col("source_url"))
     return curves.consensus(p, ["equipment_id"], "curve").select("equipment_id", "gear", "speed_kmh", "force_kn", "confidence", "source_url")
 
 
-_CURVES = f"""WITH s AS (SELECT *, {_GEAR} AS std, count(*) OVER (PARTITION BY equipment_id, source_url) AS n FROM rimpull_points WHERE source_url IS NOT NULL)
+_CURVES = f"""WITH s AS (SELECT *, {_GEAR} AS std, count(*) OVER (PARTITION BY equipment_id, source_url) AS n FROM rimpull_points)
   SELECT equipment_id, source_url, CAST(row_number() OVER (PARTITION BY equipment_id, source_url ORDER BY {_RANK}, id) - 1 AS INTEGER) AS seq, std AS gear, {{speed}} AS speed_kmh, round(force_kn, 2) AS force_kn FROM s WHERE n >= 2"""
 
 
@@ -387,7 +394,7 @@ def curve_tables(spark, t):
     """Every curve written as a page's table and read back."""
     cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     row = F.struct("id", F.array(curves.normalize_gear(F.col("gear")), cell("speed_kmh"), cell("force_kn")).alias("r"))
-    g = t("rimpull_points").where("source_url is not null").groupBy("equipment_id", "source_url").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    g = t("rimpull_points").groupBy("equipment_id", "source_url").agg(F.array_sort(F.collect_list(row)).alias("rows"))
     head = F.array(F.lit("Gear"), F.lit("Speed (km/h)"), F.lit("Rimpull (kN)"))
     pages = g.select("equipment_id", "source_url", F.array(F.concat(F.array(head), F.transform("rows", lambda x: x["r"]))).alias("tables"))
     return curves.from_tables(pages, url="source_url").select("equipment_id", "source_url", "seq", "gear", "speed_kmh", "force_kn")
@@ -397,7 +404,7 @@ def curve_tables(spark, t):
 def curve_texts(spark, t):
     """Every curve written as a sentence and read back."""
     say = F.concat(F.lit("Rimpull ("), curves.normalize_gear(F.col("gear")), F.lit(" gear): "), F.col("force_kn").cast("string"), F.lit(" kN; "))
-    g = t("rimpull_points").where("source_url is not null").groupBy("equipment_id", "source_url").agg(F.array_sort(F.collect_list(F.struct("id", say.alias("s")))).alias("x"))
+    g = t("rimpull_points").groupBy("equipment_id", "source_url").agg(F.array_sort(F.collect_list(F.struct("id", say.alias("s")))).alias("x"))
     pages = g.select("equipment_id", "source_url", F.array_join(F.transform("x", lambda x: x["s"]), "").alias("text"))
     return curves.from_text(pages, url="source_url").select("equipment_id", "source_url", "seq", "gear", "speed_kmh", "force_kn")
 
@@ -535,8 +542,7 @@ def distinct_lists(spark, t):
 def curve_series(spark, t):
     e = t("equipment")
     s = report.series(warehouse.curves_frame(warehouse.brand_table(e), e, t("rimpull_points")), by_speed=True)
-    weighted = F.aggregate(F.transform("points", lambda p, i: p["force_kn"] * (i + 1)), F.lit(0.0), lambda a, x: a + x)
-    return s.select("brand", "model", F.size("points").cast("bigint").alias("points"), F.round(weighted, 3).alias("weighted"))
+    return s.groupBy("brand", "model").agg(F.count("*").alias("points"), F.round(F.sum(F.col("force_kn") * F.col("place")), 3).alias("weighted"))
 
 
 @query("SELECT DISTINCT brand, substr(regexp_replace(replace(brand, ' ', '_'), '[^A-Za-z0-9_-]', '', 'g'), 1, 30) AS file_name FROM equipment")
