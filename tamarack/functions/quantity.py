@@ -205,7 +205,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return base, state
 
 
-def read(value: pa.Array, unit: pa.Array, hint: pa.Array, dim: np.ndarray, common: np.ndarray, low: np.ndarray, high: np.ndarray, bare_is_common: bool) -> dict[str, pa.Array]:
+def read(value: pa.Array, unit: pa.Array, hint: pa.Array, dim: np.ndarray, common: np.ndarray, low: np.ndarray, high: np.ndarray, bare_is_common: bool, mixed: bool = True) -> dict[str, pa.Array]:
     """Read the first quantity of each value.
 
     dim and common number a parameter's dimension and its common unit's place in it, -1 for
@@ -214,7 +214,9 @@ def read(value: pa.Array, unit: pa.Array, hint: pa.Array, dim: np.ndarray, commo
     common unit, null where it needs decoding), hint_idx, and home (in the common unit where
     idx is known). A bare number is in the common unit if it lies in the band, or always
     with bare_is_common. Where a comma may be a decimal or a thousands mark, the usual
-    reading counts unless only the other one falls in the band.
+    reading counts unless only the other one falls in the band; without ``mixed`` always
+    (sources that write numbers in one style only, where the other reading would bring
+    gross errors back into the band).
     """
     c = clean(value)
     missing = _np(is_missing(c))
@@ -245,7 +247,7 @@ def read(value: pa.Array, unit: pa.Array, hint: pa.Array, dim: np.ndarray, commo
     conv = lambda x: _to_common(x * scale, factor, slope)
     inside = lambda v: (v >= low) & (v <= high)
     with np.errstate(invalid="ignore"):
-        number = np.where(~np.isnan(other) & ~inside(conv(usual)) & inside(conv(other)), other, usual)
+        number = np.where(mixed & ~np.isnan(other) & ~inside(conv(usual)) & inside(conv(other)), other, usual)
         number = np.where(missing, np.nan, number)
         at_home = np.ones(len(c), bool) if bare_is_common else inside(number * scale)
         idx = np.where(stated >= 0, state[d, k, at], np.where(at_home, 0, -1))

@@ -57,25 +57,25 @@ def common_units(catalog: DataFrame) -> DataFrame:
     )
 
 
-def _read_batches(batches: Iterator[pa.RecordBatch], keep: list[str], bare_is_common: bool) -> Iterator[pa.RecordBatch]:
+def _read_batches(batches: Iterator[pa.RecordBatch], keep: list[str], bare_is_common: bool, mixed: bool) -> Iterator[pa.RecordBatch]:
     for b in batches:
         number = lambda c, null: pc.fill_null(b.column(c), null).to_numpy(zero_copy_only=False)
-        cols = Q.read(b.column("value"), b.column("unit"), b.column("hint"), number("dim", -1), number("common", -1), number("low", np.nan), number("high", np.nan), bare_is_common)
+        cols = Q.read(b.column("value"), b.column("unit"), b.column("hint"), number("dim", -1), number("common", -1), number("low", np.nan), number("high", np.nan), bare_is_common, mixed)
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *cols.values()], names=[*keep, *cols])
 
 
-def read_records(records: DataFrame, catalog: DataFrame, bare_is_common: bool = False) -> DataFrame:
+def read_records(records: DataFrame, catalog: DataFrame, bare_is_common: bool = False, mixed: bool = True) -> DataFrame:
     """Read the quantities of records(parameter, value string, unit string, hint string, ...).
 
     ``unit`` is the unit a record claims for its value; ``hint`` a unit it once had, which
-    says nothing certain. All columns stay but the hint; added are those of
+    says nothing certain. mixed: numbers come in several styles. All columns stay but the hint; added are those of
     :func:`tamarack.functions.quantity.read`. Parameters without common unit have null idx.
     """
     keep = [c for c in records.columns if c != "hint"]
     dims = common_units(catalog).select("parameter", "dim", "common", "low", "high")
     df = records.join(F.broadcast(dims), "parameter", "left").select(*records.columns, "dim", "common", "low", "high")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in records.select(*keep).schema), Q.READ_FIELDS])
-    return df.mapInArrow(lambda it: _read_batches(it, keep, bare_is_common), schema)
+    return df.mapInArrow(lambda it: _read_batches(it, keep, bare_is_common, mixed), schema)
 
 
 def spec_records(specs: DataFrame) -> DataFrame:
