@@ -1,34 +1,40 @@
 """One surviving record per group of duplicates, by skyline selection.
 
 Records of a group first agree or disagree on their value; the largest set of agreeing
-records stands for the group. Within it the records that no other one dominates in
-completeness, trust and recency form the first layer of the skyline, those only dominated
-by them the second, and so on. A lexicographic policy picks the survivor from the first
-layer, and the survivor's empty fields are filled from the successive layers.
-
-Nothing gathers a whole group: values are counted before the shuffle, sets of agreeing
-values are found in cells as wide as the tolerance, and a large group's layers are peeled
-in salted parts first (a record deeper than ``LAYERS`` in its part can't be higher up in
-the whole).
+records stands for the group. A lexicographic policy picks its survivor. The records of the
+set are peeled into layers of the skyline over completeness (fields that have a value),
+trust and recency: the first layer is dominated by no other record, the second only by the
+first, and so on. The survivor's empty fields are filled from the successive layers, within
+a layer by the policy.
+
+Nothing gathers a group. Values are counted before the shuffle, sets of agreeing values are
+found in cells as wide as the tolerance. Records are reduced to their different points in
+completeness, trust and recency; the points, sorted, pass by once, and a point's layer
+follows from the highest recency so far in each layer. A point below a complete record can
+fill nothing and is dropped, first within salted parts of a large group.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.units import read_records
 from ..session import materialize
 
-LAYERS, PART = 6, 48
+#: Records of a group from which its points are thinned out in parts of about that size first.
+PART = 50_000
 FIELDS = ("unit", "confidence", "source_url", "extracted_at")
 GROUP = ["run_id", "equipment_id", "parameter"]
 _SCALE = 1_000_000_000
 
 
-def keyed(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
+def keyed(candidates: DataFrame, catalog: DataFrame, mixed: bool = False) -> DataFrame:
     """Candidates with text (a text value's key) or num (a value in the common unit); both are null where the value is missing."""
     plain = candidates.select(
         *[F.col(c) for c in (*GROUP, "candidate_id", "unit", "value", "source_url")],
@@ -36,7 +42,7 @@ def keyed(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
         F.col("extracted_at"),
         F.lit(None).cast("string").alias("hint"),
     )
-    read = read_records(plain, catalog, bare_is_common=True)
+    read = read_records(plain, catalog, bare_is_common=True, mixed=mixed)
     num = F.when(~F.col("missing"), F.coalesce("home", F.when(F.col("alone") & F.col("idx").isNull(), F.col("number"))))
     return (
         read.withColumn("num", F.when(num > 0, num))
@@ -71,56 +77,103 @@ def agreed(rows: DataFrame, tolerance: float) -> DataFrame:
     return chosen.join(sized.where("rows > 1"), on, "left_semi").select(*GROUP, F.col("set.lo").alias("lo"), (F.col("set.lo") + span + 2).alias("hi"), F.col("set.text").alias("of"), F.col("set.n").alias("support"))
 
 
-def _layered(rows: Column) -> Column:
-    """Array of records with their layer (1 is undominated); rows: array of struct(p, ...) with the policy struct p."""
-    beats = lambda a, x: (
-        (a["row"]["p"]["has"] >= x["p"]["has"]) & (a["row"]["p"]["trust"] >= x["p"]["trust"]) & (a["row"]["p"]["recent"] >= x["p"]["recent"])
-        & ((a["row"]["p"]["has"] > x["p"]["has"]) | (a["row"]["p"]["trust"] > x["p"]["trust"]) | (a["row"]["p"]["recent"] > x["p"]["recent"]))
-    )
-    layer = lambda acc, x: F.coalesce(F.array_max(F.transform(F.filter(acc, lambda a: beats(a, x)), lambda a: a["layer"])), F.lit(0)) + 1
-    best_first = F.reverse(F.array_sort(rows))
-    empty = F.filter(F.transform(best_first, lambda x: F.struct(x.alias("row"), F.lit(0).alias("layer"))), lambda _: F.lit(False))
-    return F.aggregate(best_first, empty, lambda acc, x: F.concat(acc, F.array(F.struct(x.alias("row"), layer(acc, x).alias("layer")))))
+class Skyline:
+    """Layers of points that come by trust, then recency, then completeness, the greater first: only earlier points can dominate later ones.
 
+    Per completeness the negated highest recency of every layer among the points at least as
+    complete; it only rises from layer to layer, so a point's layer is found by bisection.
+    """
 
-def survivors(candidates: DataFrame, catalog: DataFrame, tolerance: float = 0.02) -> DataFrame:
+    def __init__(self, levels: int = len(FIELDS) + 1):
+        self.levels = levels
+        self.start()
+
+    def start(self) -> None:
+        self.layers: list[list[int]] = [[] for _ in range(self.levels)]
+
+    def __call__(self, recent: int, complete: int) -> int:
+        layer = bisect.bisect_right(self.layers[complete], -recent)
+        for c in range(complete + 1):
+            have = self.layers[c]
+            if layer < len(have):
+                have[layer] = min(have[layer], -recent)
+            else:
+                have.append(-recent)
+        return layer + 1
+
+
+def _peeled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted points to their layers; points that a complete one dominates fall out."""
+    sky, group, below = Skyline(), None, None
+    for b in batches:
+        at = {n: i for i, n in enumerate(b.schema.names)}
+        keep, layers = [], []
+        for i, (g, recent, complete) in enumerate(zip(*(b.column(at[c]).to_pylist() for c in ("_g", "recent", "complete")))):
+            if g != group:
+                sky.start()
+                group, below = g, None
+            if below is not None and recent <= below:
+                continue
+            if complete == len(FIELDS):
+                below = recent
+            keep.append(i)
+            layers.append(sky(recent, complete))
+        out = b.take(pa.array(keep, pa.int32()))
+        yield pa.RecordBatch.from_arrays([*out.columns, pa.array(layers, pa.int32())], names=[*b.schema.names, "layer"])
+
+
+def peeled(points: DataFrame, keys: list[str]) -> DataFrame:
+    """points(keys..., trust, recent, complete, ...), different in these three, with their layer (1 is undominated), without those that a complete one dominates."""
+    df = points.withColumn("_g", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
+    df = df.repartition(*keys).sortWithinPartitions("_g", F.desc("trust"), F.desc("recent"), F.desc("complete"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "layer int"])
+    return df.mapInArrow(_peeled, schema).drop("_g")
+
+
+def survivors(candidates: DataFrame, catalog: DataFrame, tolerance: float = 0.02, mixed: bool = False) -> DataFrame:
     """One record per (run_id, equipment_id, parameter) of two or more records.
 
     Numbers agree within ``tolerance`` in one unit (no unit means the common one), texts if
-    equal but for case and outer blanks. Returns the group with candidate_id and best_value of
-    the survivor, its unit, confidence, source_url and extracted_at (each filled from the
-    next layers where empty), filled (names of the filled fields), support (records that
-    agree) and layers. Null keys are a group of their own. Groups whose values are all
-    missing, and an empty table, give no rows. Equal records: the smallest candidate_id.
-    Other columns, whatever their names, are ignored.
+    equal but for case and outer blanks; mixed: numbers come in several styles, so that a
+    comma before three digits may be a decimal one. Returns the group with candidate_id and
+    best_value of the survivor, its unit, confidence, source_url and extracted_at (each filled
+    from the layers where empty), filled (names of the filled fields), support (records that
+    agree) and layers (of the records that no complete one dominates). Null keys are a group
+    of their own. Groups whose values are all missing, and an empty table, give no rows.
+    Equal records: the smallest candidate_id. Other columns, whatever their names, are ignored.
     """
-    rows = materialize(keyed(candidates, catalog), "candidates")  # read once, used three times
+    rows = materialize(keyed(candidates, catalog, mixed), "candidates")  # read once, used three times
     chosen = agreed(rows, tolerance)
     r, c = rows.alias("r"), chosen.alias("c")
     log = F.round(F.log("r.num") * _SCALE).cast("bigint")
     on = [F.col(f"r.{g}").eqNullSafe(F.col(f"c.{g}")) for g in GROUP]
     in_set = F.when(F.col("c.of").isNotNull(), F.col("r.text") == F.col("c.of")).otherwise(log.between(F.col("c.lo"), F.col("c.hi")))
     members = r.join(c, on).where(in_set).select("r.*", "c.support")
-    part = F.pmod(F.xxhash64("candidate_id"), F.ceil(F.col("support") / PART)).alias("part")
     blank = lambda x: F.when(F.trim(x) != "", x)
     record = F.struct(_policy().alias("p"), "candidate_id", "value", blank(F.col("unit")).alias("unit"), F.when(~F.isnan("confidence"), F.col("confidence")).alias("confidence"), blank(F.col("source_url")).alias("source_url"), "extracted_at")
-    parts = members.select(*GROUP, "support", part, record.alias("rec")).groupBy(*GROUP, "part").agg(F.first("support").alias("support"), F.collect_list("rec").alias("recs"), *[F.max(F.when(F.col("rec")[f].isNotNull(), F.struct(F.col("rec.p").alias("p"), F.col("rec")[f].alias("v")))).alias(f"any_{f}") for f in FIELDS])
-    kept = parts.withColumn("recs", F.when(F.col("support") <= PART, F.col("recs")).otherwise(F.transform(F.filter(_layered(F.col("recs")), lambda a: a["layer"] <= LAYERS), lambda a: a["row"])))
-    whole = kept.groupBy(*GROUP).agg(F.first("support").alias("support"), F.flatten(F.collect_list("recs")).alias("recs"), *[F.max(f"any_{f}").alias(f"any_{f}") for f in FIELDS]).withColumn("sky", _layered(F.col("recs")))
-    inverse = lambda a: F.struct((-a["layer"]).alias("l"), a["row"]["p"].alias("p"), a["row"].alias("row"))
-    top = F.array_max(F.transform("sky", inverse))["row"]
-    out = whole.withColumn("top", top)
-
-    def filled(field: str) -> Column:
-        have = F.filter("sky", lambda a: a["row"][field].isNotNull())
-        return F.coalesce(F.col("top")[field], F.array_max(F.transform(have, inverse))["row"][field], F.col(f"any_{field}.v"))  # the last for records below LAYERS
-
+    rec = members.select(*GROUP, "support", record.alias("rec"))
+    complete = sum((F.col(f"rec.{f}").isNotNull().cast("int") for f in FIELDS), F.lit(0))
+    have = [F.max(F.when(F.col("rec")[f].isNotNull(), F.struct(F.col("rec.p").alias("p"), F.col("rec")[f].alias("v")))).alias(f"of_{f}") for f in FIELDS]
+    # of the records at one point the policy's best, and the best one that has each field
+    points = rec.groupBy(*GROUP, F.col("rec.p.trust").alias("trust"), F.col("rec.p.recent").alias("recent"), complete.alias("complete")).agg(F.first("support").alias("support"), F.max("rec").alias("best"), *have)
+    top = F.max(F.when(F.col("best.candidate_id").isNotNull(), F.col("best"))).alias("top")
+    points = materialize(points, "points")
+    tops = points.groupBy(*GROUP).agg(top, F.first("support").alias("support"))
+    large = points.where(F.col("support") > PART)
+    part = F.pmod(F.xxhash64("trust", "recent", "complete"), F.ceil(F.col("support") / PART)).alias("part")
+    thinned = peeled(large.withColumn("part", part), [*GROUP, "part"]).drop("part", "layer")
+    layered = peeled(points.where(F.col("support") <= PART).unionByName(thinned).drop("best", "support"), GROUP)
+    fills = [F.max(F.when(F.col(f"of_{f}").isNotNull(), F.struct((-F.col("layer")).alias("l"), F.col(f"of_{f}.p").alias("p"), F.col(f"of_{f}.v").alias("v")))).alias(f"of_{f}") for f in FIELDS]
+    filling = layered.groupBy(*GROUP).agg(F.max("layer").alias("layers"), *fills)
+    t, g = tops.alias("t"), filling.alias("g")
+    out = t.join(g, [F.col(f"t.{k}").eqNullSafe(F.col(f"g.{k}")) for k in GROUP])
+    filled = lambda f: F.coalesce(F.col(f"t.top.{f}"), F.col(f"g.of_{f}.v"))
     return out.select(
-        *GROUP,
-        F.col("top.candidate_id").alias("candidate_id"),
-        F.col("top.value").alias("best_value"),
+        *[F.col(f"t.{k}").alias(k) for k in GROUP],
+        F.col("t.top.candidate_id").alias("candidate_id"),
+        F.col("t.top.value").alias("best_value"),
         *[filled(f).alias(f) for f in FIELDS],
-        F.array_compact(F.array(*[F.when(F.col("top")[f].isNull() & filled(f).isNotNull(), F.lit(f)) for f in FIELDS])).alias("filled"),
-        "support",
-        F.array_max(F.transform("sky", lambda a: a["layer"])).alias("layers"),
+        F.array_compact(F.array(*[F.when(F.col(f"t.top.{f}").isNull() & filled(f).isNotNull(), F.lit(f)) for f in FIELDS])).alias("filled"),
+        F.col("t.support").alias("support"),
+        F.col("g.layers").alias("layers"),
     )

@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tamarack.llm import survivors as S
 
@@ -81,11 +82,46 @@ def layers_by_hand(rows):
 def test_layers_against_peeling(spark):
     import random
 
-    from pyspark.sql import functions as F
-
     rng = random.Random(5)
-    rows = [(rng.randint(0, 1), rng.randint(0, 6) / 10, rng.randint(0, 6)) for _ in range(60)]
-    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i bigint, has int, trust double, recent bigint")
-    rec = F.struct(F.struct("has", "trust", "recent", (-F.col("i")).alias("order")).alias("p"), "i")
-    got = df.agg(F.collect_list(rec).alias("r")).select(F.explode(S._layered(F.col("r"))).alias("x")).select("x.row.i", "x.layer").collect()
-    assert {r.i: r.layer for r in got} == layers_by_hand(rows)
+    rows = sorted({(rng.randint(0, 6) / 10, rng.randint(0, 6), rng.randint(0, 3)) for _ in range(90)})
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i bigint, trust double, recent bigint, complete int").withColumn("k", F.lit(None).cast("int"))
+    got = {r.i: r.layer for r in S.peeled(df, ["k"]).collect()}
+    assert got == layers_by_hand(rows)
+    complete = [*rows, (0.3, 3, 4), (0.5, 1, 4)]  # what these dominate falls out, and the layers of the rest stay
+    got = {r.i: r.layer for r in S.peeled(spark.createDataFrame([(i, *r) for i, r in enumerate(complete)], "i bigint, trust double, recent bigint, complete int").withColumn("k", F.lit(1)), ["k"]).collect()}
+    kept = [i for i, r in enumerate(complete) if not any(c != r and all(x >= y for x, y in zip(c, r)) for c in complete[-2:])]
+    hand = layers_by_hand(complete)
+    assert got == {i: hand[i] for i in kept}
+
+
+def test_a_hot_group_is_thinned_out_in_parts_and_comes_out_alike(spark, run, monkeypatch):
+    import random
+
+    rng = random.Random(6)
+    g = (1, 1, "norma_emisiones")
+    rows = [one(i, "Stage V", rng.choice([None, "x", "y"]), rng.choice([None, *range(1, 9)]) and rng.randint(1, 99) / 100, rng.choice([None, f"u{i}"]), t(rng.randint(1, 28)) if rng.random() < 0.8 else None, g) for i in range(1, 800)]
+    rows = [(*r[:8], None if r[8] == t(1) and rng.random() < 0.5 else r[8]) for r in rows] + [one(0, "Stage V", None, 0.999, "u", t(28), g)]
+    whole = run(rows)[g]
+    monkeypatch.setattr(S, "PART", 50)
+    assert run(rows)[g] == whole and whole.candidate_id == 0 and "unit" in whole.filled and whole.support == 800
+
+
+def test_a_hundred_thousand_records_of_one_group(spark):
+    catalog = spark.createDataFrame(CATALOG, "parameter string, common_unit string, low double, high double")
+    df = spark.range(100_000).select(F.col("id").alias("candidate_id"), F.lit(1).cast("bigint").alias("run_id"), F.lit(1).cast("bigint").alias("equipment_id"), F.lit("largo_total").alias("parameter"), (F.lit(10.0) + F.col("id") % 17 / 100).cast("string").alias("value"), F.lit("m").alias("unit"), (F.xxhash64("id") % 1000 / 2000 + 0.5).alias("confidence"), F.when(F.col("id") % 3 > 0, F.lit("u")).alias("source_url"), F.timestamp_seconds(1_700_000_000 + F.xxhash64("id") % 100_000).alias("extracted_at"))
+    r = S.survivors(df, catalog).collect()
+    assert len(r) == 1 and r[0].support == 100_000
+
+
+def test_filling_goes_by_layers_and_not_by_policy_alone(run):
+    g = (1, 1, "norma_emisiones")
+    rows = [one(1, "Stage V", None, 0.9, "u", t(9), g), one(2, "Stage V", "second", 0.5, "u", t(2), g), one(3, "Stage V", "first", 0.6, None, t(3), g)]
+    assert run(rows)[g].unit == "second"  # a source goes before confidence where neither dominates
+    rows[1] = (2, *rows[1][1:6], 0.5, None, t(2))
+    rows[2] = (3, *rows[2][1:6], 0.6, "u", t(3))
+    assert run(rows)[g].unit == "first"
+
+
+def test_a_thousandfold_value_does_not_come_back(run):
+    rows = [one(1, "10.0"), one(2, "10.1"), one(3, "10,050", conf=0.99)]
+    assert run(rows)[1, 1, "largo_total"].support == 2
