@@ -95,7 +95,7 @@ SCALES = {"thousand": 1e3, "mil": 1e3, "tausend": 1e3, "mille": 1e3, "k": 1e3, "
 NO_UNIT = ("", "-", "--", "n/a", "na", "none", "null", "?")
 
 _NUM = r"\d{1,3}(?: \d{3})+(?:[.,]\d+)?|\d+(?:[.,]\d+)*(?:e[+-]?\d+)?"
-_QUANTITY = rf"^[^\d]*(?P<num>{_NUM})(?:\s*[-–—]\s*(?:{_NUM}))?\s*(?:(?P<scale>thousand|millionen|millions|million|millones|mille|mil|tausend)(?: +|$))?\s*(?P<unit>[^(]*)"
+_QUANTITY = rf"^[^\d]*(?P<num>{_NUM})\.?(?:\s*[-–—]\s*(?:{_NUM}))?\s*(?:(?P<scale>thousand|millionen|millions|million|millones|mille|mil|tausend)(?: +|$))?\s*(?P<unit>[^(]*)"
 _FEET_INCHES = r"^[^\d]*(?P<ft>\d+)\s*(?:-?\s*ft|'|′)\s*-?\s*(?P<in>\d+(?:\.\d+)?)\s*(?:-?\s*in\b|\"|″)"
 _ODD_SPACES = r"[\x{00a0}\x{2002}\x{2003}\x{2007}\x{2009}\x{202f}\t\r\n]"
 

@@ -212,7 +212,9 @@ def normalize_units(records: DataFrame, catalog: DataFrame) -> DataFrame:
     read = read_records(records.select("record_kind", "record_id", "device", "parameter", "value", "unit", "hint", month), catalog)
     narrow = materialize(read.drop("value", "unit", "missing", "alone"), "units")
     known = narrow.join(F.broadcast(common_units(catalog).drop("dim", "common")), "parameter", "left")
-    readable = F.coalesce((F.col("number") > 0) & F.col("states").isNotNull(), F.lit(False))
+    # a nought is a stand-in unless it was rounded in a larger unit or scale ("0.00 million kV")
+    rounded = (F.col("number") == 0) & F.col("idx").isNotNull() & ((F.col("idx") != 0) | (F.col("scale") != 1))
+    readable = F.coalesce(((F.col("number") > 0) | rounded) & F.col("states").isNotNull(), F.lit(False))
     full = known.where(readable).withColumn("x", F.col("number") * F.col("scale"))
     steps = unit_steps(full.select("device", "parameter", "month", "idx", "x", "home", "low", "high", "factors"))
     unit_of = lambda i: F.get("states", i.cast("int"))

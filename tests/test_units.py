@@ -131,3 +131,34 @@ def test_viterbi_against_one_chain_at_a_time():
         i = slice(at, at + m)
         assert state[i].tolist() == viterbi_by_hand(hard[i], nb[i], s1[i], s2[i], fit[i], level[i], logf[i])
         at += m
+
+
+def test_the_model_decodes_planted_switches_of_unit(spark, catalog, monkeypatch):
+    rng = np.random.default_rng(8)
+    factor, rows, true = {"cm": 100.0, "in": 1 / 0.0254}, [], {}
+    for device in range(12):
+        for month in range(1, 13):
+            unit = "cm" if (month <= 5) == (device % 2 == 0) else "in"  # one switch a device
+            for _ in range(10):
+                i = len(rows) + 1
+                metres = float(np.exp(rng.normal(np.log(5.5), 0.35)))
+                rows.append((i, device, "ancho_total", f"{metres * factor[unit]:.1f}", "", datetime(2024, month, 3)))
+                true[i] = unit
+    for device in range(12):
+        for j in range(4):  # a few that state their unit give the level
+            rows.append((len(rows) + 1, device, "ancho_total", f"{np.exp(rng.normal(np.log(5.5), 0.2)):.2f}", "m", datetime(2024, 1 + 3 * j, 9)))
+    df = spark.createDataFrame(rows, "id bigint, equipment_id bigint, parameter string, value string, unit string, extracted_at timestamp")
+
+    def right():
+        got = units.normalize_units(units.spec_records(df), catalog).where("decoded").collect()
+        return np.mean([true[r.record_id] == r.unit for r in got])
+
+    with_states = right()
+    monkeypatch.setattr(units, "SWITCH", 0.0)  # months tell nothing about each other, nor about a record
+    assert with_states > 0.97 and right() < with_states - 0.05
+
+
+def test_noughts_rounded_in_a_larger_scale(spark, catalog):
+    rows = [(1, 1, "ancho_total", "0. million cm", "", None), (2, 1, "ancho_total", "0 m", "", None), (3, 1, "ancho_total", "0", "cm", None)]
+    df = spark.createDataFrame(rows, "id bigint, equipment_id bigint, parameter string, value string, unit string, extracted_at timestamp")
+    assert [r.record_id for r in units.not_common(units.spec_records(df), catalog).collect()] == [1]
