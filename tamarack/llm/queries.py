@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table, tune
+from ..session import materialize, shared_dir, table, tune
 from . import boilerplate, encoding, incremental, mixing, neighbors, residue, spans, splitting, survivors
 
 
@@ -70,6 +72,28 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kind(incremental.known(rows), "data_source").unionByName(kind(incremental.known(found, history), "search_result"))
 
 
+def p7_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of p7_found by the persistent index: history first, then one batch after the other is probed and appended."""
+    tune(spark)
+    sources, results = table(spark, sf_dir, "data_sources"), table(spark, sf_dir, "search_results")
+    none = F.lit(None).cast("string").alias("content_hash")
+    history = sources.where("batch_no = 0")
+    old = history.select(F.col("id").alias("record_id"), "url", "content_hash")
+    found = None
+    for kind, start, batches in (
+        ("data_source", old, sources.where("batch_no > 0").select("batch_no", F.col("id").alias("record_id"), "url", "content_hash")),
+        ("search_result", old.withColumn("content_hash", none), results.select("batch_no", F.col("seq").alias("record_id"), "url", none)),
+    ):
+        index = incremental.SegmentIndex(spark, f"{shared_dir(spark)}/segment-index-{uuid.uuid4().hex[:12]}")
+        index.append(start)
+        for (n,) in batches.select("batch_no").distinct().orderBy("batch_no").collect():  # one row a batch
+            batch = batches.where(F.col("batch_no") == n).drop("batch_no")
+            known = materialize(index.probe(batch).select(F.lit(kind).alias("record_kind"), F.col("record_id").cast("bigint").alias("record_id")), "known")
+            index.append(batch)
+            found = known if found is None else found.unionByName(known)
+    return found
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     return encoding.encode(table(spark, sf_dir, "documents"))
@@ -103,7 +127,7 @@ def p10_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.without_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p2_bodies, p3_found, p3_nearest, p5_found, p5_pieces, p6_found, p6_clean, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_portion, p10_kept)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p2_bodies, p3_found, p3_nearest, p5_found, p5_pieces, p6_found, p6_clean, p7_found, p7_batches, p8_ids, p9_mix, p9_shares, p10_found, p10_portion, p10_kept)}
 ORACLE_SQL: dict[str, str] = {
     "p5_found": """
         SELECT 'page' AS item_kind, CAST(page_id AS VARCHAR) AS item_id FROM scraped_pages WHERE length(text_content) > 4000
