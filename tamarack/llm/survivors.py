@@ -8,10 +8,10 @@ first, and so on. The survivor's empty fields are filled from the successive lay
 a layer by the policy.
 
 Nothing gathers a group. Values are counted before the shuffle, sets of agreeing values are
-found in cells as wide as the tolerance. Records are reduced to their different points in
-completeness, trust and recency; the points, sorted, pass by once, and a point's layer
-follows from the highest recency so far in each layer. A point below a complete record can
-fill nothing and is dropped, first within salted parts of a large group.
+found in cells as wide as the tolerance. A group's records, sorted, pass by once; a record's
+layer follows from the highest recency so far in each layer, so what is kept of a group is
+its layers' edges, its best record and its best value of each field. A record below a
+complete one can fill nothing and is dropped, first within salted parts of a large group.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..operators.units import read_records
 from ..session import materialize
 
-#: Records of a group from which its points are thinned out in parts of about that size first.
+#: Records of a group beyond which it is thinned out first, in parts of about that size.
 PART = 50_000
 FIELDS = ("unit", "confidence", "source_url", "extracted_at")
 GROUP = ["run_id", "equipment_id", "parameter"]
@@ -102,32 +102,101 @@ class Skyline:
         return layer + 1
 
 
-def _peeled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted points to their layers; points that a complete one dominates fall out."""
-    sky, group, below = Skyline(), None, None
-    for b in batches:
-        at = {n: i for i, n in enumerate(b.schema.names)}
-        keep, layers = [], []
-        for i, (g, recent, complete) in enumerate(zip(*(b.column(at[c]).to_pylist() for c in ("_g", "recent", "complete")))):
-            if g != group:
-                sky.start()
-                group, below = g, None
-            if below is not None and recent <= below:
-                continue
-            if complete == len(FIELDS):
-                below = recent
-            keep.append(i)
-            layers.append(sky(recent, complete))
-        out = b.take(pa.array(keep, pa.int32()))
-        yield pa.RecordBatch.from_arrays([*out.columns, pa.array(layers, pa.int32())], names=[*b.schema.names, "layer"])
+_REST = ["candidate_id", "value", *FIELDS]
+_FOLDED = "support bigint, candidate_id bigint, value string, unit string, confidence double, source_url string, extracted_at timestamp, filled array<string>, layers int"
 
 
-def peeled(points: DataFrame, keys: list[str]) -> DataFrame:
-    """points(keys..., trust, recent, complete, ...), different in these three, with their layer (1 is undominated), without those that a complete one dominates."""
-    df = points.withColumn("_g", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
-    df = df.repartition(*keys).sortWithinPartitions("_g", F.desc("trust"), F.desc("recent"), F.desc("complete"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "layer int"])
-    return df.mapInArrow(_peeled, schema).drop("_g")
+class _Group:
+    """What is kept of a group while its sorted records pass by."""
+
+    def __init__(self, first: tuple):
+        self.first, self.sky, self.below, self.point, self.layer, self.layers = first, Skyline(), None, None, 0, 0
+        self.top, self.fills = None, [None] * len(FIELDS)
+
+    def add(self, policy: tuple, complete: int, record: tuple) -> bool:
+        """Whether the record can fill fields; a point below a complete one can't."""
+        if self.top is None or policy > self.top[0]:
+            self.top = (policy, record)
+        _, trust, recent, _ = policy
+        point = (trust, recent, complete)
+        if point != self.point:
+            if self.below is not None and recent <= self.below:
+                return False
+            if complete == len(FIELDS):
+                self.below = recent
+            self.point, self.layer = point, self.sky(recent, complete)
+            self.layers = max(self.layers, self.layer)
+        rank = (-self.layer, policy)
+        for i, v in enumerate(record[2:]):
+            if v is not None and (self.fills[i] is None or rank > self.fills[i][0]):
+                self.fills[i] = (rank, v)
+        return True
+
+    def result(self) -> tuple:
+        fields = list(self.top[1][2:])
+        filled = [f for f, v, o in zip(FIELDS, fields, self.fills) if v is None and o is not None]
+        fields = [v if v is not None or o is None else o[1] for v, o in zip(fields, self.fills)]
+        return (*self.first, *self.top[1][:2], *fields, filled, self.layers)
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Iterator[tuple]]]:
+    for b in batches:
+        column = lambda c: b.column(b.schema.get_field_index(c)).to_pylist()
+        policy = zip(*(column(c) for c in ("has", "trust", "recent", "order")))
+        yield b, zip(column("_g"), policy, column("complete"), zip(*(column(c) for c in _REST)))
+
+
+def _folded(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Sorted records to one row a group."""
+    group, key, types = None, None, []
+    columns = [*names, *_REST, "filled", "layers"]
+    make = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=columns)
+    for b, records in _records(batches):
+        types = types or [*(b.schema.field(c).type for c in (*names, *_REST)), pa.list_(pa.string()), pa.int32()]
+        out, firsts = [], list(zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in names)))
+        for i, (g, policy, complete, record) in enumerate(records):
+            if group is None or g != key:
+                if group is not None:
+                    out.append(group.result())
+                group, key = _Group(firsts[i]), g
+            group.add(policy, complete, record)
+        yield make(out)
+    if group is not None:
+        yield make([group.result()])
+
+
+def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted records without those that a complete one dominates; a group's best by the policy stays."""
+    group, key, held = None, None, None
+    for b, records in _records(batches):
+        keep = []
+        before = None
+        for i, (g, policy, complete, record) in enumerate(records):
+            if group is None or g != key:
+                if held is not None:
+                    if isinstance(held, int):
+                        keep.append(held)
+                    else:
+                        before = held
+                group, key, held = _Group(()), g, None
+            best = group.top is None or policy > group.top[0]
+            if group.add(policy, complete, record):
+                keep.append(i)
+                held = None if best else held
+            elif best:
+                held = i
+        if before is not None:
+            yield before
+        yield b.take(pa.array(sorted(keep), pa.int32()))
+        if isinstance(held, int):
+            held = b.slice(held, 1)
+    if held is not None:
+        yield held
+
+
+def _sorted(records: DataFrame, keys: list[str]) -> DataFrame:
+    df = records.withColumn("_g", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
+    return df.repartition(*keys).sortWithinPartitions("_g", F.desc("trust"), F.desc("recent"), F.desc("complete"))
 
 
 def survivors(candidates: DataFrame, catalog: DataFrame, tolerance: float = 0.02, mixed: bool = False) -> DataFrame:
@@ -143,37 +212,22 @@ def survivors(candidates: DataFrame, catalog: DataFrame, tolerance: float = 0.02
     Equal records: the smallest candidate_id. Other columns, whatever their names, are ignored.
     """
     rows = materialize(keyed(candidates, catalog, mixed), "candidates")  # read once, used three times
-    chosen = agreed(rows, tolerance)
+    chosen = materialize(agreed(rows, tolerance), "sets")
     r, c = rows.alias("r"), chosen.alias("c")
     log = F.round(F.log("r.num") * _SCALE).cast("bigint")
     on = [F.col(f"r.{g}").eqNullSafe(F.col(f"c.{g}")) for g in GROUP]
     in_set = F.when(F.col("c.of").isNotNull(), F.col("r.text") == F.col("c.of")).otherwise(log.between(F.col("c.lo"), F.col("c.hi")))
     members = r.join(c, on).where(in_set).select("r.*", "c.support")
     blank = lambda x: F.when(F.trim(x) != "", x)
-    record = F.struct(_policy().alias("p"), "candidate_id", "value", blank(F.col("unit")).alias("unit"), F.when(~F.isnan("confidence"), F.col("confidence")).alias("confidence"), blank(F.col("source_url")).alias("source_url"), "extracted_at")
-    rec = members.select(*GROUP, "support", record.alias("rec"))
-    complete = sum((F.col(f"rec.{f}").isNotNull().cast("int") for f in FIELDS), F.lit(0))
-    have = [F.max(F.when(F.col("rec")[f].isNotNull(), F.struct(F.col("rec.p").alias("p"), F.col("rec")[f].alias("v")))).alias(f"of_{f}") for f in FIELDS]
-    # of the records at one point the policy's best, and the best one that has each field
-    points = rec.groupBy(*GROUP, F.col("rec.p.trust").alias("trust"), F.col("rec.p.recent").alias("recent"), complete.alias("complete")).agg(F.first("support").alias("support"), F.max("rec").alias("best"), *have)
-    top = F.max(F.when(F.col("best.candidate_id").isNotNull(), F.col("best"))).alias("top")
-    points = materialize(points, "points")
-    tops = points.groupBy(*GROUP).agg(top, F.first("support").alias("support"))
-    large = points.where(F.col("support") > PART)
-    part = F.pmod(F.xxhash64("trust", "recent", "complete"), F.ceil(F.col("support") / PART)).alias("part")
-    thinned = peeled(large.withColumn("part", part), [*GROUP, "part"]).drop("part", "layer")
-    layered = peeled(points.where(F.col("support") <= PART).unionByName(thinned).drop("best", "support"), GROUP)
-    fills = [F.max(F.when(F.col(f"of_{f}").isNotNull(), F.struct((-F.col("layer")).alias("l"), F.col(f"of_{f}.p").alias("p"), F.col(f"of_{f}.v").alias("v")))).alias(f"of_{f}") for f in FIELDS]
-    filling = layered.groupBy(*GROUP).agg(F.max("layer").alias("layers"), *fills)
-    t, g = tops.alias("t"), filling.alias("g")
-    out = t.join(g, [F.col(f"t.{k}").eqNullSafe(F.col(f"g.{k}")) for k in GROUP])
-    filled = lambda f: F.coalesce(F.col(f"t.top.{f}"), F.col(f"g.of_{f}.v"))
-    return out.select(
-        *[F.col(f"t.{k}").alias(k) for k in GROUP],
-        F.col("t.top.candidate_id").alias("candidate_id"),
-        F.col("t.top.value").alias("best_value"),
-        *[filled(f).alias(f) for f in FIELDS],
-        F.array_compact(F.array(*[F.when(F.col(f"t.top.{f}").isNull() & filled(f).isNotNull(), F.lit(f)) for f in FIELDS])).alias("filled"),
-        F.col("t.support").alias("support"),
-        F.col("g.layers").alias("layers"),
-    )
+    record = members.select(*GROUP, F.col("support").cast("bigint").alias("support"), _policy().alias("p"), "candidate_id", "value", blank(F.col("unit")).alias("unit"), F.when(~F.isnan("confidence"), F.col("confidence")).alias("confidence"), blank(F.col("source_url")).alias("source_url"), F.col("extracted_at").cast("timestamp").alias("extracted_at"))
+    complete = sum((F.col(f).isNotNull().cast("int") for f in FIELDS), F.lit(0))
+    record = record.select(*GROUP, "support", "p.*", *_REST, complete.alias("complete"))
+    if chosen.where(F.col("support") > PART).limit(1).count():  # large groups are thinned out in parts before they meet
+        part = F.pmod(F.xxhash64("candidate_id"), F.ceil(F.col("support") / PART)).cast("int").alias("part")
+        thin = _sorted(record.where(F.col("support") > PART).withColumn("part", part), [*GROUP, "part"])
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in thin.schema)
+        record = record.where(F.col("support") <= PART).unionByName(thin.mapInArrow(_thinned, schema).drop("part", "_g"))
+    groups = [f"{f.name} {f.dataType.simpleString()}" for f in record.select(*GROUP).schema]
+    schema = ", ".join([*groups, _FOLDED])
+    folded = _sorted(record, GROUP).mapInArrow(lambda it: _folded(it, [*GROUP, "support"]), schema)
+    return folded.select(*GROUP, "candidate_id", F.col("value").alias("best_value"), *FIELDS, "filled", "support", "layers")

@@ -79,19 +79,13 @@ def layers_by_hand(rows):
     return out
 
 
-def test_layers_against_peeling(spark):
+def test_layers_against_peeling():
     import random
 
     rng = random.Random(5)
-    rows = sorted({(rng.randint(0, 6) / 10, rng.randint(0, 6), rng.randint(0, 3)) for _ in range(90)})
-    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i bigint, trust double, recent bigint, complete int").withColumn("k", F.lit(None).cast("int"))
-    got = {r.i: r.layer for r in S.peeled(df, ["k"]).collect()}
-    assert got == layers_by_hand(rows)
-    complete = [*rows, (0.3, 3, 4), (0.5, 1, 4)]  # what these dominate falls out, and the layers of the rest stay
-    got = {r.i: r.layer for r in S.peeled(spark.createDataFrame([(i, *r) for i, r in enumerate(complete)], "i bigint, trust double, recent bigint, complete int").withColumn("k", F.lit(1)), ["k"]).collect()}
-    kept = [i for i, r in enumerate(complete) if not any(c != r and all(x >= y for x, y in zip(c, r)) for c in complete[-2:])]
-    hand = layers_by_hand(complete)
-    assert got == {i: hand[i] for i in kept}
+    rows = sorted({(rng.randint(0, 6) / 10, rng.randint(0, 6), rng.randint(0, 3)) for _ in range(90)}, reverse=True)
+    sky = S.Skyline()
+    assert {i: sky(recent, complete) for i, (_, recent, complete) in enumerate(rows)} == layers_by_hand(rows)
 
 
 def test_a_hot_group_is_thinned_out_in_parts_and_comes_out_alike(spark, run, monkeypatch):
