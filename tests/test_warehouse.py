@@ -81,13 +81,14 @@ def test_search(spark):
 
 
 def test_settings(tmp_path):
-    assert config.Settings().nlp.chunk_size == 512
-    for bad in ({"scraping": {"max_concurrent_requests": 51}}, {"nlp": {"chunk_overlap": 512}}, {"storage": {"database": "/etc/x"}}, {"storage": {"reports_dir": "../x"}}, {"logging": {"level": "LOUD"}}, {"nlp": {"similarity_threshold": 2}}):
+    assert config.settings({})["nlp.chunk_size"] == 512
+    for bad in ({"scraping": {"timeout_seconds": 301}}, {"nlp": {"chunk_overlap": 512}}, {"nlp": {"chunk_size": "many"}}, {"storage": {"reports_dir": "/etc/x"}}, {"storage": {"reports_dir": "../x"}}, {"scraping": {"max_retries": True}}):
         with pytest.raises(ValueError):
-            config.Settings(**bad)
+            config.settings(bad)
     with pytest.raises(ValueError):
-        config.Brand(nombre_completo="x", sitio_web="ftp://x")
-    (tmp_path / "s.yaml").write_text("logging: {level: debug}\n")
-    assert config.load_settings(str(tmp_path), "s.yaml").logging.level == "DEBUG"
+        config.check_brands({"tier_1": {"x": {"sitio_web": "ftp://x"}}})
+    assert config.check_brands({"tier_1": {"x": {"sitio_web": "https://x.example"}, "y": None}, "tier_2": None})
+    (tmp_path / "s.yaml").write_text("scraping: {max_retries: 1}\n")
+    assert config.load_settings(str(tmp_path), "s.yaml")["scraping.max_retries"] == 1
     with pytest.raises(ValueError):
         config.load_yaml(str(tmp_path), "../s.yaml")
