@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import ipaddress
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 from . import rules as R
 
@@ -46,18 +44,21 @@ def in_domains(domain: Column, domains: tuple[str, ...]) -> Column:
 
 def classify_source(url: Column) -> Column:
     """manufacturer, pdf_brochure, spec_database, industry_publication, dealer or generic; null and "" are generic."""
-    domain = F.regexp_replace(authority(url), r"^www\.", "")
-    p = path(url)
-    maker = in_domains(domain, R.MANUFACTURERS)
-    return (
-        F.when(F.coalesce(url, F.lit("")) == "", "generic")
-        .when(maker, "manufacturer")
-        .when(p.endswith(".pdf"), "pdf_brochure")
-        .when(in_domains(domain, R.SPEC_DATABASES), "spec_database")
-        .when(in_domains(domain, R.PUBLICATIONS), "industry_publication")
-        .when(domain.rlike(f"(?i){R.DEALER}") | p.rlike(f"(?i){R.DEALER}"), "dealer")
-        .otherwise("generic")
-    )
+    # one pass over the address: the struct's fields are computed once for all rules
+    parts = F.transform(F.array(F.struct(authority(url).alias("a"), path(url).alias("p"))), lambda x: F.struct(F.regexp_replace(x["a"], r"^www\.", "").alias("d"), x["p"].alias("p")))
+
+    def named(x: Column) -> Column:
+        d, p = x["d"], x["p"]
+        return (
+            F.when(in_domains(d, R.MANUFACTURERS), "manufacturer")
+            .when(p.endswith(".pdf"), "pdf_brochure")
+            .when(in_domains(d, R.SPEC_DATABASES), "spec_database")
+            .when(in_domains(d, R.PUBLICATIONS), "industry_publication")
+            .when(d.rlike(f"(?i){R.DEALER}") | p.rlike(f"(?i){R.DEALER}"), "dealer")
+            .otherwise("generic")
+        )
+
+    return F.when(F.coalesce(url, F.lit("")) == "", "generic").otherwise(F.get(F.transform(parts, named), F.lit(0)))
 
 
 def trust(source_class: Column) -> Column:
@@ -68,7 +69,15 @@ def source_confidence(extraction: Column | float, url: Column, table: Column | b
     """60 % extraction, 40 % trust in the source, and 0.05 for tables; between 0 and 1, three decimals."""
     extraction = F.lit(extraction) if isinstance(extraction, (int, float)) else extraction
     table = F.lit(table) if isinstance(table, bool) else table
-    raw = extraction * 0.6 + trust(classify_source(url)) * 0.4 + F.when(table, 0.05).otherwise(0.0)
+    return class_confidence(extraction, classify_source(url), table)
+
+
+def class_confidence(extraction: Column | float, source_class: Column, table: Column | bool = False) -> Column:
+    """The confidence of :func:`source_confidence` where a source's class is known."""
+    extraction = F.lit(extraction) if isinstance(extraction, (int, float)) else extraction
+    table = F.lit(table) if isinstance(table, bool) else table
+    trusted = F.get(F.transform(F.array(source_class), trust), F.lit(0))
+    raw = extraction * 0.6 + trusted * 0.4 + F.when(table, 0.05).otherwise(0.0)
     return F.least(F.greatest(F.round(F.round(raw, 9), 3), F.lit(0.0)), F.lit(1.0))
 
 
@@ -93,28 +102,19 @@ def in_networks(number: Column, networks: tuple[str, ...] = R.PRIVATE_V4) -> Col
     return found
 
 
-@F.pandas_udf(BooleanType())
-def _private_v6(hosts: pd.Series) -> pd.Series:
-    nets = [ipaddress.ip_network(n) for n in (*R.PRIVATE_V6, *R.PRIVATE_V4)]
-
-    def private(h):
-        try:
-            ip = ipaddress.ip_address(h)
-        except ValueError:
-            return False
-        if ip.version == 6 and ip.ipv4_mapped:
-            ip = ip.ipv4_mapped
-        return any(ip.version == n.version and ip in n for n in nets)
-
-    return hosts.map(private).astype(bool)
+def _private_v6(text: Column) -> Column:
+    """Whether an IPv6 address is local, link-local, unique-local or a private IPv4 address mapped into it."""
+    t = F.lower(F.regexp_replace(text, "%.*$", ""))
+    mapped = _v4(F.regexp_extract(t, r"^[0:]*:ffff:(\d+\.\d+\.\d+\.\d+)$", 1))
+    high, low = (F.conv(F.regexp_extract(t, r"^[0:]*:ffff:([0-9a-f]{1,4}):([0-9a-f]{1,4})$", i), 16, 10).cast("bigint") for i in (1, 2))
+    v4 = F.coalesce(in_networks(F.coalesce(mapped, high * 65536 + low)), F.lit(False))
+    return t.rlike(r"^[0:]*:0*1$|^f[cd][0-9a-f]{2}:|^fe[89ab][0-9a-f]:") | v4
 
 
 def is_private_ip(text: Column, v6: bool = True) -> Column:
-    """Whether a text is an address in a private or reserved network; IPv6 (also mapped IPv4) goes through a vectorised function, v6=False leaves it out."""
+    """Whether a text is an address in a private or reserved network; v6=False leaves IPv6 out."""
     v4 = F.coalesce(in_networks(_v4(text)), F.lit(False))
-    if not v6:
-        return v4
-    return F.when(text.contains(":"), _private_v6(text)).otherwise(v4)
+    return F.when(text.contains(":"), F.coalesce(_private_v6(text), F.lit(False))).otherwise(v4) if v6 else v4
 
 
 def is_safe(url: Column, resolver=None, v6: bool = True) -> Column:
@@ -123,10 +123,13 @@ def is_safe(url: Column, resolver=None, v6: bool = True) -> Column:
     resolver, if given, is a Column function that tells whether a host name resolves to public
     addresses only (fail closed); without one, names are not resolved. Null is not safe.
     """
-    h = host(url)
-    ok = (F.length(url) > 0) & (F.length(url) <= R.MAX_URL) & scheme(url).isin("http", "https") & (h != "") & ~h.isin(*R.BLOCKED_HOSTS) & ~is_private_ip(h, v6)
-    if resolver is not None:
-        ok = ok & (_v4(h).isNotNull() | h.contains(":") | resolver(h))
+
+    def public(h: Column) -> Column:
+        fine = (h != "") & ~h.isin(*R.BLOCKED_HOSTS) & ~is_private_ip(h, v6)
+        return fine if resolver is None else fine & (_v4(h).isNotNull() | h.contains(":") | resolver(h))
+
+    # the host is taken out of the address once, however often the rules ask for it
+    ok = (F.length(url) > 0) & (F.length(url) <= R.MAX_URL) & scheme(url).isin("http", "https") & F.get(F.transform(F.array(host(url)), public), F.lit(0))
     return F.coalesce(ok, F.lit(False))
 
 

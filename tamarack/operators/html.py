@@ -128,6 +128,6 @@ def pages(raw: DataFrame, least: int = 100, dropped: tuple[str, ...] = DROPPED,
     """Pages of raw(url, html, ...) with more than ``least`` characters of text; unsafe links and images are left out."""
     df = raw.withColumn("_p", parsed(F.col("html"), F.col("url"), dropped)).drop("html")
     keep = [c for c in df.columns if c != "_p"]
-    safe = lambda c: F.filter(F.col(f"_p.{c}"), lambda u: urls.is_safe(u, v6=False)).alias(c)
+    safe = lambda c: F.filter(F.col(f"_p.{c}"), lambda u: urls.is_safe(u, v6=v6)).alias(c)
     out = df.select(*keep, "_p.title", "_p.text_content", "_p.tables", safe("pdf_links"), safe("images"), "_p.content_length")
     return out.where(F.col("content_length") > least)

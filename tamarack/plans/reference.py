@@ -68,6 +68,7 @@ _HOSTILE = (
     "http://169.254.169.254/latest", "http://localhost/x", "http://10.1.2.3/", "http://172.20.0.1/a", "http://192.168.1.1", "ftp://files.example/a", "javascript:alert(1)", "", "https://metadata.google.internal/",
     "http://100.64.1.1/", "http://8.8.8.8/ok", "http://198.19.255.1/", "http://172.32.0.1/ok", "https://user@127.0.0.1:8080/", "file:///etc/passwd", "no scheme", "http://256.1.1.1/", "https://youtube.com/v", "https://m.facebook.com/x",
     "https://www.cat.com/a", "https://shop.komatsu.com/x.pdf", "https://www.lectura-specs.com/m", "https://mining.com/n", "https://used-machines.example/", "https://a.example/parts/1", "https://cat.com:443/x", "https://" + "a" * 2100,
+    "http://[::1]/x", "http://[0:0::1]:8080/", "http://[fc00::1]/", "http://[fd12:3456::1]/a", "https://[fe80::1]/", "https://[FEBF::2]/", "http://[::ffff:127.0.0.1]/", "http://[::ffff:10.0.0.1]/", "http://[::ffff:7f00:1]/", "http://[2001:db8::5]/ok", "http://[::ffff:8.8.8.8]/ok", "http://[ff02::1]/ok",
 )
 _ALL_URLS = "SELECT url FROM data_sources UNION ALL SELECT url FROM search_results UNION ALL SELECT unnest(" + _list(_HOSTILE) + ") AS url"
 
@@ -80,11 +81,12 @@ def _urls(spark, t) -> DataFrame:
 @query(f"SELECT url, {_CLASS} AS source_class, {_confidence(0.8, False)} AS text_confidence, {_confidence(0.9, True)} AS table_confidence FROM ({_ALL_URLS})")
 def url_classify(spark, t):
     """Class of a source and confidence of its facts."""
-    u = F.col("url")
-    return _urls(spark, t).select("url", U.classify_source(u).alias("source_class"), U.source_confidence(0.8, u).alias("text_confidence"), U.source_confidence(0.9, u, True).alias("table_confidence"))
+    c = F.col("source_class")
+    return _urls(spark, t).select("url", U.classify_source(F.col("url")).alias("source_class")).select("url", c, U.class_confidence(0.8, c).alias("text_confidence"), U.class_confidence(0.9, c, True).alias("table_confidence"))
 
 
-_HOST = f"regexp_replace(regexp_replace({_AUTH}, '^.*@', ''), ':\\d*$', '')"
+_BARE = f"regexp_replace({_AUTH}, '^.*@', '')"
+_HOST = f"CASE WHEN starts_with({_BARE}, '[') THEN regexp_extract({_BARE}, '^\\[([^\\]]*)\\]', 1) ELSE regexp_replace({_BARE}, ':\\d*$', '') END"
 _OCTETS = r"'^(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)$'"
 
 
@@ -93,11 +95,13 @@ def _private_sql(host: str) -> str:
 
     n = f"list_reduce(list_transform(string_split({host}, '.'), lambda o: TRY_CAST(o AS BIGINT)), lambda a, b: a * 256 + b)"
     nets = [ipaddress.ip_network(x) for x in R.PRIVATE_V4]
-    return f"(regexp_matches({host}, {_OCTETS}) AND (" + " OR ".join(f"{n} BETWEEN {int(x.network_address)} AND {int(x.broadcast_address)}" for x in nets) + "))"
+    v4 = f"(regexp_matches({host}, {_OCTETS}) AND (" + " OR ".join(f"{n} BETWEEN {int(x.network_address)} AND {int(x.broadcast_address)}" for x in nets) + "))"
+    # spelled out: the hostile addresses' IPv6 hosts that are private
+    return f"({v4} OR {host} IN ('::1', '0:0::1', 'fc00::1', 'fd12:3456::1', 'fe80::1', 'febf::2', '::ffff:127.0.0.1', '::ffff:10.0.0.1', '::ffff:7f00:1'))"
 
 
 def _safe_sql(url: str) -> str:
-    host = _HOST.replace("(url,", f"({url},")
+    host = "(" + _HOST.replace("(url,", f"({url},") + ")"
     return f"coalesce(length({url}) BETWEEN 1 AND {R.MAX_URL} AND lower(regexp_extract({url}, {_PARTS}, 1)) IN ('http', 'https') AND {host} <> '' AND {host} NOT IN {_in(R.BLOCKED_HOSTS)} AND NOT {_private_sql(host)}, false)"
 
 
@@ -105,7 +109,7 @@ def _safe_sql(url: str) -> str:
 def url_safe(spark, t):
     """Safety, blocking and dispatch of addresses."""
     u = F.col("url")
-    return _urls(spark, t).select("url", U.is_safe(u, v6=False).alias("safe"), U.is_blocked(u).alias("blocked"), F.coalesce(U.is_pdf(u), F.lit(False)).alias("pdf"))
+    return _urls(spark, t).select("url", U.is_safe(u).alias("safe"), U.is_blocked(u).alias("blocked"), F.coalesce(U.is_pdf(u), F.lit(False)).alias("pdf"))
 
 
 @query(
@@ -113,7 +117,7 @@ def url_safe(spark, t):
     SELECT tr AS url, CASE WHEN tr <> '' AND {_safe_sql('full_url')} THEN full_url ELSE '' END AS clean FROM c"""
 )
 def url_sanitize(spark, t):
-    return _urls(spark, t).where("url is not null").select(F.trim("url").alias("url"), U.sanitize(F.col("url"), v6=False).alias("clean"))
+    return _urls(spark, t).where("url is not null").select(F.trim("url").alias("url"), U.sanitize(F.col("url")).alias("clean"))
 
 
 @query("SELECT seq, url, brand, model FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq) AS n FROM search_results WHERE url IS NOT NULL) WHERE n = 1")
@@ -127,7 +131,7 @@ def url_first_wins(spark, t):
 )
 def search_accept(spark, t):
     """Results that are neither visited, blocked, unsafe nor repeated."""
-    return search.accept(t("search_results"), t("data_sources"), v6=False).select("seq", "url")
+    return search.accept(t("search_results"), t("data_sources")).select("seq", "url")
 
 
 # --- inventory

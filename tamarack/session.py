@@ -60,11 +60,13 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset (single machine)."""
+    """The folder that all executors share: ``spark.checkpoint.dir``. Where it is unset, a temporary one on a single machine, and an error on a cluster."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if found is None:
         found = getattr(spark, "_tamarack_dir", None)
     if found is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tamarack-")
         spark._tamarack_dir = found
     return found.rstrip("/")

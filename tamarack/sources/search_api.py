@@ -1,4 +1,7 @@
-"""Search engines as a batch data source: one partition per query, results as rows.
+"""Search engines as a batch data source: results as rows, queries that failed with their error.
+
+An engine's queries are one partition, so that its limit (``calls`` in ``seconds``, 20 in 60
+unless given) holds for all of them; several engines are several reads.
 
 ``spark.dataSource.register(SearchSource)``, then ``spark.read.format("search_api")`` with the
 options queries (a JSON list), engine (google or serper), key, cx, num, pause and a fetcher
@@ -14,7 +17,7 @@ import time
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA = "query string, seq int, title string, url string, snippet string, source_engine string"
+SCHEMA = "query string, seq int, title string, url string, snippet string, source_engine string, error string"
 
 
 def results(engine: str, payload: dict) -> list[dict]:
@@ -41,14 +44,14 @@ def http_fetch(engine: str, query: str, options: dict) -> dict:
                 return json.load(r)
         except OSError:
             if attempt == 2:
-                return {}
+                raise
             time.sleep(min(10, 2**attempt))
-    return {}
+    raise OSError("not reached")
 
 
-class _Query(InputPartition):
-    def __init__(self, query: str):
-        self.query = query
+class _Queries(InputPartition):
+    def __init__(self, queries: list[str]):
+        self.queries = queries
 
 
 class _Reader(DataSourceReader):
@@ -56,9 +59,11 @@ class _Reader(DataSourceReader):
         self.options = options
 
     def partitions(self):
-        return [_Query(q) for q in json.loads(self.options.get("queries", "[]"))]
+        return [_Queries(json.loads(self.options.get("queries", "[]")))]
 
     def read(self, partition):
+        from .web import Limit
+
         engine = self.options.get("engine", "google")
         if "fetcher" not in self.options and not self.options.get("key"):
             return  # without a key an engine has no results
@@ -66,9 +71,15 @@ class _Reader(DataSourceReader):
         if "fetcher" in self.options:
             module, name = self.options["fetcher"].split(":")
             fetch = getattr(importlib.import_module(module), name)
-        for i, r in enumerate(results(engine, fetch(engine, partition.query, dict(self.options)))):
-            yield (partition.query, i, r["title"], r["url"], r["snippet"], engine)
-        time.sleep(float(self.options.get("pause", 0)))
+        limit = Limit(int(self.options.get("calls", 20)), float(self.options.get("seconds", 60)))
+        for query in partition.queries:
+            limit()
+            try:
+                for i, r in enumerate(results(engine, fetch(engine, query, dict(self.options)))):
+                    yield (query, i, r["title"], r["url"], r["snippet"], engine, None)
+            except OSError as e:
+                yield (query, None, None, None, None, engine, str(e) or type(e).__name__)
+            time.sleep(float(self.options.get("pause", 0)))
 
 
 class SearchSource(DataSource):
