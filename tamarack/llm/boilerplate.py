@@ -38,7 +38,7 @@ MOSTLY, HOSTS = 0.5, 2
 #: Bits above which an alignment is halved before it is traced back.
 TRACE = 1 << 26
 
-# What lines are that a page may have anywhere, in English, Spanish, German and French (from the start of a line, case ignored).
+# What lines are that a page may have anywhere, in English, Spanish, German and French (from the start of a line in lower case).
 OPEN_KINDS = (
     r"advertisement|publicidad|anzeige|werbung|publicité|sponsored|patrocinado|gesponsert|sponsorisé",
     r"(?:share|compartir|teilen|partager)\b.{0,20}:",
@@ -60,10 +60,10 @@ TEASERS = r"(?:most read|lo más leído|meistgelesen|les plus lus|recently viewe
 #: Headings of sections, which the pages of a single host may all share.
 HEADINGS = r"(?:dimensions|overview|key features|trial summary|performance|operator comfort|maintenance|engine|service notes|hydraulics|haul test|field results|specifications|descripción|dimensiones|ensayo de acarreo|mantenimiento|resultados en faena|especificaciones|motor|technische daten|abmessungen|überblick|einsatzbericht|wartung|aperçu|essai sur site|entretien|caractéristiques|moteur|hydraulik|hidráulica|hydraulique)$"
 
-_OPEN = re.compile("|".join(f"(?:{p})" for p in OPEN_KINDS), re.I)
-_OPEN_ANYWHERE = re.compile(OPEN_TOPICS, re.I)
-_TEASER = re.compile(TEASERS, re.I)
-_HEADING = re.compile(HEADINGS, re.I)
+_OPEN = re.compile("|".join(f"(?:{p})" for p in OPEN_KINDS))
+_OPEN_ANYWHERE = re.compile(OPEN_TOPICS)
+_TEASER = re.compile(TEASERS)
+_HEADING = re.compile(HEADINGS)
 _NUMBER = re.compile(r"\d[\d.,]*")
 _UNITS = r"(?:%|°|[a-zA-Z]{1,3}(?:/[a-z]{1,3})?[23³]?|ton|rpm|bar)"
 _VALUE = re.compile(rf"^(?:.{{0,60}}?[\s:–-])?\d[\d.,]*\s*{_UNITS}$")
@@ -106,17 +106,17 @@ def form(line: str, names: list[str]) -> int:
 
 def kinds(x: str) -> int:
     """The bits of a stripped line that don't depend on its page."""
-    out, n, end, low = 0, len(x), x[-1], x.casefold()
+    out, n, end, low = 0, len(x), x[-1], x.lower()
     short = n <= 200
-    stands_in = bool(NOTICE_LINE.match(x))
+    stands_in = bool(NOTICE_LINE.match(low))
     if stands_in:
         out |= NOTICE
-    stands_in = stands_in or bool((MAYBE_SLOT.search(x) and SLOT.search(x)) or FILLER.match(x) or (("lorem" in low or "dummy" in low) and FILLER_ANYWHERE.search(x)))
-    if short and _TEASER.match(x):
+    stands_in = stands_in or bool((MAYBE_SLOT.search(x) and SLOT.search(x)) or FILLER.match(low) or (("lorem" in low or "dummy" in low) and FILLER_ANYWHERE.search(low)))
+    if short and _TEASER.match(low):
         out |= TEASER
-    if _OPEN.match(x) or (any(w in low for w in OPEN_WORDS) and _OPEN_ANYWHERE.search(x)):
+    if _OPEN.match(low) or (any(w in low for w in OPEN_WORDS) and _OPEN_ANYWHERE.search(low)):
         out |= OPEN
-    value, bullet = n <= 100 and bool(_VALUE.match(x)), bool(_BULLET.match(x))
+    value, bullet = n <= 100 and not _DIGITS.isdisjoint(x) and bool(_VALUE.match(x)), x[0] in "-*•·–" and bool(_BULLET.match(x))
     if value or bullet or stands_in:
         out |= CONTENT
     elif x.count(" ") >= 7 and _SENTENCE_END.search(x[-3:]):
@@ -134,11 +134,11 @@ def kinds(x: str) -> int:
         elif n <= 60 and ":" not in x and _CODE.search(x) and not _sentences(x):
             out |= MACHINE
     if short:
-        if _CRUMBS.match(x):
+        if (" / " in x or " > " in x or " » " in x or " › " in x) and _CRUMBS.match(x):
             out |= CRUMBS
-        if _MENU.match(x):
+        if (x[0] in "›≡☰»" or " | " in x or " · " in x or " • " in x) and _MENU.match(x):
             out |= MENU
-    if n <= 40 and _HEADING.match(x):
+    if n <= 40 and _HEADING.match(low):
         out |= HEADING
     elif n <= 25 and x.count(" ") <= 1 and not any(c.isdigit() for c in x):
         out |= SHORT
@@ -418,24 +418,26 @@ def spread_forms(pages: DataFrame) -> DataFrame:
     return per_form.where(F.col("shared") >= MOSTLY * F.col("pages")).select("form", F.when(F.col("hosts") >= HOSTS, 2).otherwise(1).cast("tinyint").alias("spread"))
 
 
-def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _judged(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.RecordBatch]:
     for b in batches:
+        column = lambda c: b.column(b.schema.get_field_index(c))
         flags = []
-        for codes, numbers, forms, shared, found in zip(b["codes"], b["numbers"], b["forms"], b["shared"], b["spread"]):
+        for codes, numbers, forms, shared, found in zip(*(column(c).to_pylist() for c in ("codes", "numbers", "forms", "shared", "spread"))):
             spread = {} if found is None else {x["form"]: x["spread"] for x in found}
-            n = len(codes)
-            flags.append(boilerplate_lines(codes.tolist(), numbers.tolist(), [False] * n if shared is None else list(shared), [spread.get(f, 0) for f in forms.tolist()]))
-        yield pd.DataFrame({"row": b["row"], "page_id": b["page_id"], "numbers": b["numbers"], "flags": flags})
+            flags.append(boilerplate_lines(codes, numbers, shared or [False] * len(codes), [spread.get(f, 0) for f in forms]))
+        yield pa.RecordBatch.from_arrays([*(column(c) for c in keep), pa.array(flags, pa.list_(pa.bool_()))], names=[*keep, "flags"])
 
 
-def flagged(lines: DataFrame, near: int = NEAR) -> DataFrame:
-    """(row, page_id, numbers, flags) of scanned pages: which of the non-blank lines are boilerplate. near=0 leaves differencing out."""
+def flagged(lines: DataFrame, near: int = NEAR, keep: tuple[str, ...] = ("numbers",)) -> DataFrame:
+    """(row, page_id, keep..., flags) of scanned pages: which of the non-blank lines are boilerplate. near=0 leaves differencing out."""
     sides = materialize(aligned(lines, near), "aligned")
     every = sides.select("host", "body", F.explode(F.array_distinct("forms")).alias("form"))
     found = every.join(spread_forms(sides), "form").groupBy("host", "body").agg(F.collect_list(F.struct("form", "spread")).alias("spread"))  # at most a page's lines
     known = sides.select("host", "body", "shared").join(found, ["host", "body"], "left")
-    both = lines.select("row", "page_id", "host", "body", "codes", "numbers", "forms").join(known, ["host", "body"], "left")
-    return both.select("row", "page_id", "codes", "numbers", "forms", "shared", "spread").mapInPandas(_judged, "row bigint, page_id bigint, numbers array<int>, flags array<boolean>")
+    keep = ["row", "page_id", *keep]
+    both = lines.select(*dict.fromkeys([*keep, "host", "body", "codes", "numbers", "forms"])).join(known, ["host", "body"], "left").drop("host", "body")
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in lines.select(*keep).schema), "flags array<boolean>"])
+    return both.mapInArrow(lambda it: _judged(it, keep), schema)
 
 
 def boilerplate(pages: DataFrame, near: int = NEAR) -> DataFrame:

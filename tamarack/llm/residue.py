@@ -67,10 +67,10 @@ def is_latin_filler(line: str) -> bool:
 
 def listed(template: str) -> str:
     """The verdict on a template from what it says alone: message, filler or ""."""
-    if MESSAGE.match(template):
-        return "message"
     low = template.lower()
-    if FILLER.match(template) or (("lorem" in low or "dummy" in low) and FILLER_ANYWHERE.search(template)) or is_latin_filler(low):
+    if MESSAGE.match(low):
+        return "message"
+    if FILLER.match(low) or (("lorem" in low or "dummy" in low) and FILLER_ANYWHERE.search(low)) or is_latin_filler(low):
         return "filler"
     return ""
 
@@ -79,7 +79,7 @@ def classify(template: str, lines: int, alone: int, content: int) -> str:
     """The verdict on a template: message, filler, notice or "". content: its lines that read as values, list items, headings or titles."""
     if found := listed(template):
         return found
-    if alone >= TOPICAL * lines and TOPIC.search(template):
+    if alone >= TOPICAL * lines and TOPIC.search(template.lower()):
         return "notice"
     return "notice" if lines >= RECURS and alone >= ANY * lines and not content else ""
 
@@ -216,13 +216,12 @@ class Mined:
         schema = f"{B.PAGE}, {_EXTRA}"
         scanned = materialize(B.addressed(pages).mapInArrow(_scan, schema), "scanned")
         self.pages = scanned.where("row is not null")
-        flags = B.flagged(self.pages, near).select("row", "flags")
-        every = self.pages.join(flags, "row").select("row", "page_id", "codes", "lengths", "shapes", "slots", F.transform("flags", lambda f: ~f).alias("in_body"))
-        title = lambda i: F.get("codes", i).bitwiseAND(B.TITLE) != 0
-        text = F.aggregate(F.sequence(F.lit(0), F.size("codes") - 1), F.lit(0), lambda a, i: a + F.when(F.get("in_body", i) & ~title(i), F.get("lengths", i)).otherwise(0))
-        every = every.withColumn("text", F.when(F.size("codes") > 0, text).otherwise(0))
+        every = B.flagged(self.pages, near, ("codes", "lengths", "shapes", "slots"))
+        zipped = F.arrays_zip("codes", "lengths", "flags")
+        text = F.aggregate(zipped, F.lit(0), lambda a, x: a + F.when(~x["flags"] & (x["codes"].bitwiseAND(B.TITLE) == 0), x["lengths"]).otherwise(0))
+        every = every.withColumn("text", text)
         self.every = materialize(every, "bodies")
-        at = self.every.select("row", "text", F.posexplode(F.arrays_zip("codes", "lengths", "shapes", "in_body")).alias("at", "x")).where("x.in_body")
+        at = self.every.select("row", "text", F.posexplode(F.arrays_zip("codes", "lengths", "shapes", "flags")).alias("at", "x")).where("not x.flags")
         code = F.col("x.codes")
         title = code.bitwiseAND(B.TITLE) != 0
         #: (row, at, shape, length, text, alone, content) of each body line; a title has no length, since it counts for nothing
@@ -253,7 +252,7 @@ class Mined:
         of = lambda v: F.col("verdict") == v
         first = lambda v: F.min(F.when(of(v), F.struct("at", "template"))).alias(v)
         g = found.groupBy("row").agg(F.first("text").alias("text"), F.sum(F.when(of("notice"), F.col("length"))).alias("said"), *[first(v) for v in ("notice", "message", "filler")])
-        slot = F.get(F.filter("slots", lambda s: F.get("in_body", s["at"])), F.lit(0))["slot"]
+        slot = F.get(F.filter("slots", lambda s: ~F.get("flags", s["at"])), F.lit(0))["slot"]
         e = self.every.select("row", "page_id", slot.alias("slot")).join(g, "row", "left")
         notice = F.col("notice").isNotNull() & (F.col("text") - F.col("said") <= ALONE)
         kind = F.when(notice, "notice").when(F.col("message").isNotNull() | F.col("slot").isNotNull(), "slot").when(F.col("filler").isNotNull(), "filler").otherwise("")
