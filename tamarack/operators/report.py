@@ -84,15 +84,23 @@ def json_for_html(frame: Column) -> Column:
     return F.replace(F.replace(j, F.lit("</"), F.lit("<\\/")), F.lit("<!--"), F.lit("<\\!--"))
 
 
+_CSV = {"header": True, "encoding": "UTF-8", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def csv_reader(spark):
+    """A reader that gives back what is written here; blanks at the ends, quotes and line ends in cells are kept."""
+    return spark.read.options(**_CSV, multiLine=True)
+
+
 def write_search_csv(results: DataFrame, path: str) -> None:
-    results.select("brand", "model", "title", "url", "snippet", "source_engine", "query").write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    results.select("brand", "model", "title", "url", "snippet", "source_engine", "query").write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def write_csv(specs: DataFrame, path: str, per_brand: bool = True) -> None:
     """All specs, and a folder per brand."""
-    specs.write.mode("overwrite").option("header", True).csv(f"{path}/all_specs")
+    specs.write.mode("overwrite").options(**_CSV).csv(f"{path}/all_specs")
     if per_brand:
-        specs.withColumn("brand_file", file_name(F.col("brand"))).repartition("brand_file").write.mode("overwrite").option("header", True).partitionBy("brand_file").csv(f"{path}/by_brand")
+        specs.withColumn("brand_file", file_name(F.col("brand"))).repartition("brand_file").write.mode("overwrite").options(**_CSV).partitionBy("brand_file").csv(f"{path}/by_brand")
 
 
 def summary_json(specs: DataFrame) -> str:

@@ -65,6 +65,11 @@ def inventory(machines: DataFrame) -> DataFrame:
     return g.agg(level.cast("int").alias("level"), F.count("*").alias("models"))
 
 
+def inventory_by_tier(machines: DataFrame) -> DataFrame:
+    """(tier, brand, category, models) of machines(tier, brand, category, ...)."""
+    return machines.groupBy("tier", "brand", "category").agg(F.count("*").alias("models"))
+
+
 def search(machines: DataFrame, fetch, visited: DataFrame | None = None, max_results: int = 10) -> DataFrame:
     """Queries of the machines sent through ``fetch`` and accepted: fetch maps a DataFrame with a query column to results (query columns, title, url, snippet, source_engine, seq)."""
     found = fetch(queries(machines), max_results)

@@ -30,6 +30,13 @@ def brand_table(equipment: DataFrame) -> DataFrame:
     return equipment.groupBy(F.col("brand_id").alias("id")).agg(F.min("brand").alias("name"))
 
 
+def machines_named(names: DataFrame, brands: DataFrame, equipment: DataFrame) -> DataFrame:
+    """(brand, model, equipment_id): the machines of names(brand, model) that the warehouse knows, each once."""
+    b = brands.select(F.col("id").alias("brand_id"), F.col("name").alias("brand"))
+    m = equipment.select(F.col("id").alias("equipment_id"), "brand_id", "model").join(b, "brand_id").drop("brand_id")
+    return names.select("brand", "model").distinct().join(m, ["brand", "model"])
+
+
 def visited_urls(brands: DataFrame, equipment: DataFrame, sources: DataFrame, brand: str | None = None) -> DataFrame:
     """Distinct addresses of a brand's sources (by name or, where brands have one, key); of all brands without one."""
     b = brands if brand is None else brands.where((F.col("name") == brand) | ((F.col("key") == brand) if "key" in brands.columns else F.lit(False)))
