@@ -1,11 +1,14 @@
 """The warehouse: joins of brands, machines and facts, status, and idempotent writes.
 
 Foreign keys are joins here: a cascade is a semi join, an insert-if-absent an anti join.
-Tables are Parquet folders; a write is staged beside its target and renamed.
+A table is a set of Parquet folders that a small manifest names; a write adds folders and
+then puts a new manifest in the old one's place, so a reader sees the table before or after
+a write and never in between.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,8 +94,15 @@ def clear_brand(brand_id: int, equipment: DataFrame, **children: DataFrame) -> t
 
 
 class Warehouse:
-    """Named tables under a folder, each replaced by staging and renaming, so a reader sees the old or the new one."""
+    """Named tables under a folder.
 
+    ``replace`` and ``append`` write one folder each. ``upsert`` keeps a table in ``BUCKETS``
+    folders by the hash of its keys and writes only those that a batch falls into. Folders
+    that no manifest names any more are left for readers of earlier manifests until
+    ``vacuum``.
+    """
+
+    BUCKETS = 16
     SCHEMAS = {
         "brands": "id bigint, key string, name string, country string, site string, tier string, created_at timestamp",
         "equipment": "id bigint, brand_id bigint, model string, category string, equipment_type string, series string, created_at timestamp, updated_at timestamp",
@@ -104,35 +114,87 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        self._path = hadoop.Path
-        self._fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _at(self, name: str):
-        return self._path(f"{self.path}/{name}")
+        jvm = spark.sparkContext._jvm
+        hadoop = jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._path, self._option = hadoop.Path, hadoop.Options.Rename
+        self._fs = hadoop.Path(path).getFileSystem(conf)
+        self._context = hadoop.FileContext.getFileContext(hadoop.Path(path).toUri() if ":" in path else hadoop.Path("file://" + path).toUri(), conf)
+
+    def _at(self, *names: str):
+        return self._path("/".join((self.path, *names)))
+
+    def manifest(self, name: str) -> dict:
+        """{"folders": [...], "buckets": {bucket: folder}, "keys": [...]} of a table; empty where there is none."""
+        at = self._at(name, "manifest.json")
+        if not self._fs.exists(at):
+            return {}
+        lines = self.spark.read.text(str(at.toString()), wholetext=True).collect()  # one small file
+        return json.loads(lines[0].value)
+
+    def _publish(self, name: str, manifest: dict) -> None:
+        """The new manifest in the old one's place, in one step."""
+        draft = self._at(name, f"manifest.{uuid.uuid4().hex[:8]}")
+        out = self._fs.create(draft)
+        out.write(bytearray(json.dumps(manifest).encode()))
+        out.close()
+        options = self.spark.sparkContext._gateway.new_array(self._option, 1)
+        options[0] = self._option.OVERWRITE
+        self._context.rename(self._context.makeQualified(draft), self._context.makeQualified(self._at(name, "manifest.json")), options)
 
     def create(self) -> None:
         """Empty tables where there are none."""
         for name, schema in self.SCHEMAS.items():
-            if not self._fs.exists(self._at(name)):
+            if not self.manifest(name):
                 self.replace(name, self.spark.createDataFrame([], schema))
 
+    def _folders(self, manifest: dict) -> list[str]:
+        return [*manifest.get("folders", []), *manifest.get("buckets", {}).values()]
+
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.SCHEMAS[name]).parquet(f"{self.path}/{name}") if name in self.SCHEMAS else self.spark.read.parquet(f"{self.path}/{name}")
+        paths = [f"{self.path}/{name}/{f}" for f in self._folders(self.manifest(name))]
+        if not paths:
+            return self.spark.createDataFrame([], self.SCHEMAS[name])
+        return self.spark.read.schema(self.SCHEMAS[name]).parquet(*paths) if name in self.SCHEMAS else self.spark.read.parquet(*paths)
+
+    def _write(self, name: str, df: DataFrame) -> str:
+        folder = f"v-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(f"{self.path}/{name}/{folder}")  # a failure leaves the table as it was
+        return folder
 
     def replace(self, name: str, df: DataFrame) -> None:
-        staged = f"{name}.staged-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(f"{self.path}/{staged}")  # a failure leaves the table as it was
-        old = f"{name}.old-{uuid.uuid4().hex[:8]}"
-        had = self._fs.exists(self._at(name))
-        if had:
-            self._fs.rename(self._at(name), self._at(old))
-        self._fs.rename(self._at(staged), self._at(name))
-        if had:
-            self._fs.delete(self._at(old), True)
+        self._publish(name, {"folders": [self._write(name, df)]})
 
     def append(self, name: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(f"{self.path}/{name}")
+        old = self.manifest(name)
+        self._publish(name, {**old, "folders": [*old.get("folders", []), self._write(name, df)]})
+
+    def upsert(self, name: str, rows: DataFrame, keys: list[str]) -> int:
+        """Rows in place of the stored ones of the same key; returns the number of buckets written. The first upsert by other keys writes all."""
+        old = self.manifest(name)
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.BUCKETS)).cast("int")
+        stored = self.read(name)
+        new = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in stored.columns])
+        sorted_in = old.get("keys") == keys and not old.get("folders")
+        if sorted_in:  # only the buckets that the batch falls into
+            hit = sorted(r.b for r in new.select(bucket.alias("b")).distinct().collect())  # a row a bucket at most
+            paths = [f"{self.path}/{name}/{old['buckets'][str(b)]}" for b in hit if str(b) in old["buckets"]]
+            stored = self.spark.read.schema(stored.schema).parquet(*paths) if paths else stored.where("false")
+        merged = upsert(new, stored, keys).select(*stored.columns).withColumn("bucket", bucket)
+        folder = f"v-{uuid.uuid4().hex[:12]}"
+        merged.repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/{name}/{folder}")
+        made = [str(f.getPath().getName()).removeprefix("bucket=") for f in self._fs.listStatus(self._at(name, folder)) if f.isDirectory()]
+        kept = {k: v for k, v in old.get("buckets", {}).items() if sorted_in and int(k) not in hit}
+        self._publish(name, {"buckets": {**kept, **{b: f"{folder}/bucket={b}" for b in made}}, "keys": keys})
+        return len(made)
+
+    def vacuum(self, name: str) -> int:
+        """Delete the folders that the manifest doesn't name; their number."""
+        named = {f.split("/")[0] for f in self._folders(self.manifest(name))}
+        gone = [f.getPath() for f in self._fs.listStatus(self._at(name)) if f.isDirectory() and f.getPath().getName() not in named]
+        for p in gone:
+            self._fs.delete(p, True)
+        return len(gone)
 
     def insert_absent(self, name: str, new: DataFrame, keys: list[str]) -> None:
         stored = self.read(name)
@@ -150,5 +212,5 @@ class Warehouse:
     def backup(self, to: str) -> None:
         """A copy of every table, made by tasks."""
         for name in self.SCHEMAS:
-            if self._fs.exists(self._at(name)):
+            if self.manifest(name):
                 self.read(name).write.mode("overwrite").parquet(f"{to.rstrip('/')}/{name}")

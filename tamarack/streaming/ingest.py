@@ -54,8 +54,7 @@ def into_warehouse(stream: DataFrame, store: warehouse.Warehouse, table: str, ke
 
     def put(batch: DataFrame, number: int) -> None:
         rows = batch.dropDuplicates(keys)
-        stored = store.read(table)
-        store.replace(table, warehouse.upsert(rows.select(*stored.columns), stored, keys))
+        store.upsert(table, rows, keys)  # writes the buckets that the batch falls into
         if on_batch:
             on_batch(rows, number)
 
