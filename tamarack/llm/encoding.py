@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters hashed at a place, mean distance of cuts, and the longest chunk before a cut is forced.
 WINDOW, MEAN, LONGEST = 16, 1024, 1 << 16
+#: Places of a chunk in one batch beyond which its rows are spread over several tasks.
+PLACES = 64
 
 
 def vocabulary_dir() -> str:
@@ -68,6 +70,17 @@ def exact_places(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def word_places(codes: np.ndarray) -> np.ndarray:
+    """Further places that no token reaches across: between ASCII letters, digits and marks. A mark before them is no apostrophe, which may begin a contraction."""
+    letter = ((codes | 32) >= 97) & ((codes | 32) <= 122) & (codes < 128)
+    digit = (codes >= 48) & (codes <= 57)
+    mark = (codes > 32) & (codes < 127) & ~letter & ~digit
+    out = np.zeros(len(codes) + 1, bool)
+    a, b = slice(None, -1), slice(1, None)
+    out[1:-1] = (letter[a] & (digit[b] | mark[b])) | (digit[a] & (letter[b] | mark[b])) | (mark[a] & (codes[a] != 39) & (letter[b] | digit[b]))
+    return out
+
+
 def cut_all(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, text number) of the chunks of all texts, in order; starts and ends count characters of the texts joined."""
     joined = "".join(texts)
@@ -95,6 +108,7 @@ def cut_all(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if len(start) and (end - start).max() > LONGEST:  # stretches without a picked place
         more = [np.arange(s + LONGEST, e, LONGEST) for s, e in zip(start, end) if e - s > LONGEST]
         forced = np.concatenate(more)
+        at = np.flatnonzero(exact | word_places(codes))
         near = at[np.clip(np.searchsorted(at, forced), 0, max(len(at) - 1, 0))] if len(at) else forced
         forced = np.where(np.abs(near - forced) < LONGEST // 4, near, forced)
         points = np.unique(np.concatenate((points, forced)))
@@ -104,7 +118,7 @@ def cut_all(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def join_forced(start: np.ndarray, end: np.ndarray, number: np.ndarray, exact: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Repair: chunks whose join isn't exact become one, as encoding them again as one would give."""
+    """Repair: chunks whose join isn't exact become one, as encoding them again as one would give. What is left of these are single words longer than LONGEST, which byte pairs must see whole."""
     if not len(start):
         return start, end, number
     inner = np.concatenate(([False], (number[1:] == number[:-1]) & ~exact[start[1:]]))
@@ -117,7 +131,10 @@ def chunks(texts: list[str]) -> list[list[str]]:
     """The chunks of each text; each may be encoded alone."""
     joined = "".join(texts)
     start, end, number = cut_all(texts)
-    exact = exact_places(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32))
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    exact = exact_places(codes)
+    if len(start) and (~exact[start[1:][number[1:] == number[:-1]]]).any():
+        exact |= word_places(codes)
     start, end, number = join_forced(start, end, number, exact)
     out: list[list[str]] = [[] for _ in texts]
     for s, e, d in zip(start.tolist(), end.tolist(), number.tolist()):
@@ -182,7 +199,9 @@ def encode(documents: DataFrame, path: str | None = None) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     full = docs.where(F.length("text") > 0)
     parts = full.mapInArrow(_chunked, "chunk string, docs array<bigint>, places array<int>")
-    placed = parts.repartition(F.xxhash64("chunk")).mapInArrow(lambda it: _encoded(it, path), "doc_id bigint, place int, ids binary")
+    # equal chunks meet in one task, those of a passage that most documents have in more the more places a batch has: each encodes it once more, none has all its places
+    salt = F.pmod(F.xxhash64(F.get("docs", F.lit(0))), F.greatest(F.floor(F.size("docs") / PLACES), F.lit(1)))
+    placed = parts.repartition(F.xxhash64("chunk", salt)).mapInArrow(lambda it: _encoded(it, path), "doc_id bigint, place int, ids binary")
     lists = placed.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("parts")).select("doc_id", F.col("parts.place").alias("places"), F.col("parts.ids").alias("parts"))
     ids = lists.mapInArrow(lambda it: _assembled(it, path), "doc_id bigint, ids array<int>")
     empty = docs.where(F.coalesce(F.length("text"), F.lit(0)) == 0).select("doc_id", F.array().cast("array<int>").alias("ids"))

@@ -151,10 +151,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, line in enumerate(lines):
                 kept = shapes_of.get(line)
                 if kept is None:
-                    masked, s = shape(line), slots(line)
-                    d = xxhash.xxh64_intdigest(masked.encode("utf-8", "surrogatepass")) - (1 << 63)
+                    s = slots(line)
+                    # a line that can't stand alone is no message; it is judged by what it says
+                    masked = shape(line) if len(line) <= ALONE else line if listed(line) else ""
+                    d = xxhash.xxh64_intdigest(masked.encode("utf-8", "surrogatepass")) - (1 << 63) if masked else 0
                     kept = shapes_of[line] = (d, s[0] if s else None)
-                    if d not in seen:
+                    if masked and d not in seen:
                         seen.add(d)
                         fresh.append((d, path_of(masked), masked, listed(masked)))
                 digests.append(kept[0])

@@ -53,12 +53,26 @@ def test_chunks_encode_as_the_whole(monkeypatch, longest, mean):
     monkeypatch.setattr(E, "MEAN", mean)
     enc = E.tokenizer(VOCABULARY)
     rng = random.Random(1)
-    texts = ["".join(rng.choice(ODD) for _ in range(rng.randint(0, 400))) for _ in range(300)] + ["x" * 100_000, "汉" * 100_000, " " * 100_000, "a b" * 50_000, "", "don't 've\n\n 12 ..."]
+    texts = ["".join(rng.choice(ODD) for _ in range(rng.randint(0, 400))) for _ in range(300)] + ["x" * 100_000, "汉" * 100_000, " " * 100_000, "a b" * 50_000, "ab1,'s" * 20_000, "", "don't 've\n\n 12 ..."]
     for t, parts in zip(texts, E.chunks(texts)):
         assert "".join(parts) == t
         assert sum((enc.encode_ordinary(p) for p in parts), []) == enc.encode_ordinary(t)
 
 
+def test_forced_cuts_move_to_the_ends_of_words(monkeypatch):
+    monkeypatch.setattr(E, "LONGEST", 100)
+    text = "pump300,valve'sx12" * 400
+    parts = E.chunks([text])[0]
+    enc = E.tokenizer(VOCABULARY)
+    assert max(map(len, parts)) <= 250 and sum((enc.encode_ordinary(p) for p in parts), []) == enc.encode_ordinary(text)
+
+
+def test_a_chunk_of_most_documents_is_spread(spark):
+    df = spark.range(6000).selectExpr("id AS doc_id", "repeat('This licence covers the manual in full. ', 60) AS text")
+    rows = E.encode(df).select("ids").distinct().collect()
+    assert len(rows) == 1 and rows[0].ids == E.tokenizer(VOCABULARY).encode_ordinary("This licence covers the manual in full. " * 60)
+
+
 def test_encode(spark):
     enc = E.tokenizer(VOCABULARY)
     shared = "The loader moved 300 tonnes in 4 hours, then the pump failed. " * 60
@@ -110,6 +124,14 @@ def test_newton_keeps_tokens_and_documents(spark):
     assert b > 0 and sum(rates) == pytest.approx(want_docs, rel=1e-6) and sum(r * (1 + i % 50) for i, r in enumerate(rates)) == pytest.approx(want_tokens, rel=1e-6)
 
 
+def test_rates_that_do_not_converge_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(M, "ITERATIONS", 0)
+    docs = documents(spark, {"a": [10, 200, 3000] * 20, "b": [50] * 60})
+    targets = spark.createDataFrame([("m", "a", 0.2, 2), ("m", "b", 0.8, 1)], "mix_name string, source string, target_share double, max_repeats int")
+    with pytest.raises(RuntimeError, match="converged"):
+        M.mix(docs, targets, VOCABULARY)
+
+
 def test_mix_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id bigint, source string, text string")
     targets = spark.createDataFrame([("m", "a", 1.0, 1)], "mix_name string, source string, target_share double, max_repeats int")
