@@ -1,21 +1,22 @@
 """Consensus across sources: clustering of values by a running mean, and one result per group.
 
 A group is what different sources say about one parameter of one machine. Its rows are
-counted per value before anything is shuffled; the values, sorted, are walked through once
-with a running sum, so a group of any size needs the memory of one cluster. Everything
-else is ordinary aggregation of values and clusters.
+counted per value before anything is shuffled. The different values, sorted, are walked
+through once with a running sum, which gives the values that clusters start with; a group
+of more than ``GATHERED`` different values is walked through row by row instead of in an
+array. Everything else is ordinary aggregation of values and clusters.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..session import materialize
 
 NUMERIC = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
 
@@ -30,51 +31,78 @@ def tolerance(parameter: Column) -> Column:
     return F.coalesce(*[F.when(parameter == k, F.lit(v)) for k, v in R.TOLERANCES.items()], F.lit(R.TOLERANCE))
 
 
+#: Different values of a group that are folded in one array.
+GATHERED = 100_000
+
+
 class Walk:
-    """The running cluster of a group: a value joins it if it is within ``percent`` of its mean (a mean of zero or less joins nothing but percent >= 100)."""
+    """The running cluster of a group's positive values in order: a value joins it if it is within ``percent`` of its mean."""
 
     def __init__(self):
-        self.group, self.cluster, self.sum, self.count = None, -1, 0.0, 0
+        self.group, self.sum, self.count = None, 0.0, 0
 
-    def __call__(self, group: str, value: float, n: int, percent: float) -> int:
-        """The number of the cluster of a value that stands n times."""
+    def __call__(self, group: str, value: float, n: int, percent: float) -> bool:
+        """Whether a value that stands n times starts a cluster."""
         if group != self.group:
-            self.group, self.cluster, self.count = group, -1, 0
-        if self.count:
-            mean = self.sum / self.count
-            apart = abs(value - mean) / mean * 100 if mean > 0 else 100.0
-        if not self.count or not apart <= percent:
-            self.cluster, self.sum, self.count = self.cluster + 1, 0.0, 0
-        if value <= 0 and percent < 100:  # equal values that don't join each other
-            self.cluster, self.sum, self.count = self.cluster + n - 1, value, 1
-        else:
-            self.sum, self.count = self.sum + value * n, self.count + n
-        return self.cluster
+            self.group, self.count = group, 0
+        new = not self.count or not abs(value - self.sum / self.count) / (self.sum / self.count) * 100 <= percent
+        self.sum, self.count = (0.0, 0) if new else (self.sum, self.count)
+        self.sum, self.count = self.sum + value * n, self.count + n
+        return new
 
 
 def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     walk = Walk()
     for b in batches:
         columns = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("_g", "v", "n", "percent")]
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([walk(*row) for row in zip(*columns)], pa.int64())], names=[*b.schema.names, "cluster"])
+        yield b.filter(pa.array([walk(*row) for row in zip(*columns)], pa.bool_()))
+
+
+def _starts_in_rows(values: DataFrame, keys: list[str]) -> DataFrame:
+    df = values.withColumn("_g", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})).select(*keys, "_g", "v", "n", "percent")
+    df = df.repartition(*keys).sortWithinPartitions("_g", "v")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(_walked, schema).groupBy(*keys).agg(F.array_sort(F.collect_list("v")).alias("starts"))
+
 
+def _starts_in_arrays(values: DataFrame, keys: list[str]) -> DataFrame:
+    g = values.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("vs"), F.first("percent").alias("percent"))
+    none = F.filter(F.transform("vs", lambda x: x["v"]), lambda _: F.lit(False))
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("bigint").alias("n"), none.alias("starts"))
 
-def clustered(values: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """values(keys..., v, n, percent, ...), a row per value, with the number of each one's cluster; of n equal values that are clusters of their own the last one's."""
-    df = values.withColumn("_g", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
-    df = df.repartition(*keys).sortWithinPartitions("_g", "v", *(order or []))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "cluster bigint"])
-    return df.mapInArrow(_walked, schema).drop("_g")
+    def step(acc, x):
+        mean = acc["sum"] / acc["n"]
+        fits = F.coalesce((acc["n"] > 0) & (F.abs(x["v"] - mean) / mean * 100 <= F.col("percent")), F.lit(False))
+        more = F.struct((acc["sum"] + x["v"] * x["n"]).alias("sum"), (acc["n"] + x["n"]).alias("n"), acc["starts"].alias("starts"))
+        new = F.struct((x["v"] * x["n"]).alias("sum"), x["n"].alias("n"), F.concat(acc["starts"], F.array(x["v"])).alias("starts"))
+        return F.when(fits, more).otherwise(new)
+
+    return g.select(*keys, F.aggregate("vs", start, step)["starts"].alias("starts"))
+
+
+def clustered(values: DataFrame, keys: list[str]) -> DataFrame:
+    """values(keys..., v, n, percent, ...), a row per value, with the value that its cluster starts with; values of zero or less are clusters of their own. percent is below 100."""
+    values = materialize(values, "values")
+    positive = values.where("v > 0").select(*keys, "v", "n", "percent")
+    sizes = positive.groupBy(*keys).count()
+    large = sizes.where(F.col("count") > GATHERED).select(*keys)
+    if large.limit(1).count():
+        on = lambda a, b: _same([(a[k], b[k]) for k in keys])
+        starts = _starts_in_rows(positive.join(large, on(positive, large), "left_semi"), keys).unionByName(_starts_in_arrays(positive.join(large, on(positive, large), "left_anti"), keys))
+    else:
+        starts = _starts_in_arrays(positive, keys)
+    v, s = values.alias("v"), starts.alias("s")
+    joined = v.join(s, _same([(F.col(f"v.{k}"), F.col(f"s.{k}")) for k in keys]), "left").select("v.*", "s.starts")
+    own = F.when(F.col("v") > 0, F.array_max(F.filter("starts", lambda x: x <= F.col("v")))).otherwise(F.col("v"))
+    return joined.withColumn("cluster", own).drop("starts")
 
 
 def main_cluster(labelled: DataFrame, keys: list[str], **sums: Column) -> DataFrame:
     """Per group: agree, lo, hi, best and the named sums of its largest cluster (of equal ones the first), numbers (its values in all) and clusters."""
-    apart = (F.col("v") <= 0) & (F.col("percent") < 100)
-    size = F.when(apart, 1).otherwise(F.col("n"))
-    first = F.when(apart, F.col("cluster") - F.col("n") + 1).otherwise(F.col("cluster"))
-    per = labelled.withColumn("cluster", first).groupBy(*keys, "cluster").agg(F.sum(size).alias("agree"), F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.min("best").alias("best"), F.sum(F.when(apart, F.col("n")).otherwise(0)).alias("apart"), *[F.sum(c).alias(k) for k, c in sums.items()])
+    apart = F.col("v") <= 0  # each a cluster of its own, however often it stands
+    per = labelled.groupBy(*keys, "cluster").agg(F.sum(F.when(apart, 1).otherwise(F.col("n"))).alias("agree"), F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.min("best").alias("best"), *[F.sum(c).alias(k) for k, c in sums.items()])
     chosen = F.max_by(F.struct("agree", "lo", "hi", "best", *sums), F.struct("agree", (-F.col("cluster")).alias("c"))).alias("_main")
-    g = per.groupBy(*keys).agg(chosen, F.sum("n").alias("numbers"), F.sum(F.when(F.col("apart") > 0, F.col("apart")).otherwise(1)).alias("clusters"))
+    g = per.groupBy(*keys).agg(chosen, F.sum("n").alias("numbers"), F.sum(F.when(F.col("cluster") <= 0, F.col("n")).otherwise(1)).alias("clusters"))
     return g.select(*keys, "_main.*", "numbers", "clusters")
 
 
@@ -85,13 +113,20 @@ def rated(best: Column, agree: Column, n: Column, conflict: Column) -> Column:
 
 
 def _decimals(values: Column) -> Column:
-    """Numbers with one decimal, rounded as their exact binary values; the JVM's formats round the shortest decimal form."""
-
-    @F.pandas_udf("string")
-    def run(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda xs: None if xs is None else ", ".join(f"{x:.1f}" for x in xs if x is not None and x == x))
-
-    return run(values)
+    """Numbers with one decimal, rounded as their exact binary values are; the JVM's formats round the shortest decimal form, which differs where that ends in 5."""
+
+    def one(x: Column) -> Column:
+        shown = F.format_string("%.1f", x)
+        tenths = F.floor(F.abs(x) * 10)
+        # of a number that looks like a tie, what twenty times its binary value exceeds the tie by: the sum of 16 x and 4 x, which are exact, and that sum's rounding error
+        a, b = F.abs(x) * 16, F.abs(x) * 4
+        excess = (a + b - (tenths * 2 + 1)) + (b - ((a + b) - a))
+        tie = F.abs(F.abs(x) * 10 - tenths - 0.5) < 1e-9
+        down = F.format_string("%.1f", F.signum(x) * tenths / 10)
+        even = (excess == 0) & (tenths % 2 == 0)
+        return F.when(tie & ((excess < 0) | even), down).otherwise(shown)
+
+    return F.array_join(F.transform(F.filter(values, lambda x: x.isNotNull() & ~F.isnan(x)), one), ", ")
 
 
 def consensus(candidates: DataFrame, keys: list[str] | None = None, lists: bool = True) -> DataFrame:

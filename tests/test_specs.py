@@ -105,3 +105,53 @@ def test_consensus(spark):
     assert words.best_value == "a" and words.source_count == 3
     empty = spark.createDataFrame([], "brand string, model string, parameter string, value string, unit string, confidence double, source_url string")
     assert consensus.consensus(empty).count() == 0
+
+
+def test_consensus_of_a_hot_group(spark):
+    from pyspark.sql import functions as F
+
+    n = 100_000
+    df = spark.range(n).select(F.lit("b").alias("brand"), F.lit("m").alias("model"), F.lit("torque").alias("parameter"), F.when(F.col("id") % 10 == 0, F.lit("900")).otherwise((F.lit(5000.0) + F.col("id") % 700 / 10).cast("string")).alias("value"), F.lit("Nm").alias("unit"), F.lit(0.5).alias("confidence"), F.concat(F.lit("u"), F.col("id")).alias("source_url"), F.col("id").alias("seq"))
+    r = consensus.consensus(df, lists=False).collect()
+    assert len(r) == 1 and r[0].source_count == n and not r[0].consensus and r[0].final_confidence == 0.59
+    whole = consensus.consensus(df).first()
+    assert len(whole.sources) == n * 9 // 10 and whole.conflict_detail.startswith("Conflict: 90000/100000 sources agree on ~5")
+
+
+def by_hand(values, percent):
+    groups = []
+    for v in sorted(values):
+        mean = sum(groups[-1]) / len(groups[-1]) if groups else None
+        if groups and (abs(v - mean) / mean * 100 if mean > 0 else 100.0) <= percent:
+            groups[-1].append(v)
+        else:
+            groups.append([v])
+    return groups
+
+
+@pytest.mark.parametrize("gathered", [100_000, 2])
+def test_clusters_against_the_walk_one_by_one(spark, monkeypatch, gathered):
+    import random
+
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(consensus, "GATHERED", gathered)  # 2: nearly all groups in rows
+    rng = random.Random(4)
+    groups = {0: [5.0, 5.2, 5.0, 9.0], 1: [0.0, 0.0, -1.0, 3.0, 3.1], 2: [1.0] * 5, 3: [-2.0, -2.0], None: [7.0, 8.0]}
+    groups |= {i: [round(rng.lognormvariate(3, 0.4), 1) for _ in range(rng.randint(1, 40))] for i in range(10, 40)}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k int, v double").groupBy("k", "v").agg(F.count("*").alias("n")).withColumn("percent", F.lit(10.0)).withColumn("best", F.struct("v"))
+    got = {r.k: r for r in consensus.main_cluster(consensus.clustered(df, ["k"]), ["k"]).collect()}
+    assert set(got) == set(groups)
+    for k, vs in groups.items():
+        hand = by_hand(vs, 10.0)
+        main = max(hand, key=lambda c: (len(c), -c[0]))
+        r = got[k]
+        assert (r.agree, r.lo, r.hi, r.numbers, r.clusters) == (len(main), main[0], main[-1], len(vs), len(hand)), k
+
+
+def test_decimals_are_rounded_by_their_binary_values(spark):
+    from pyspark.sql import functions as F
+
+    xs = [i / 100 for i in range(0, 40000, 5)] + [16.15, 10.05, 17.25, 0.35, -16.15, 1e15, 1729.0, 123456.25]
+    got = spark.createDataFrame([(xs,)], "x array<double>").select(consensus._decimals(F.col("x")).alias("t")).first().t.split(", ")
+    assert [a.lstrip("-") for a in got] == [f"{abs(x):.1f}" for x in xs]
