@@ -43,13 +43,15 @@ TOPICAL, ANY, RECURS = 0.5, 0.9, 5
 
 
 _DIGITS = frozenset("0123456789")
+_MARKS = str.maketrans(".,;:!?()", "        ")
 #: Rows of judged shapes that may be sent to every task.
 BROADCAST = 50_000
 
 
 def shape(line: str) -> str:
     """A line's tokens, those with digits masked."""
-    return " ".join([t if _DIGITS.isdisjoint(t) else "*" for t in line.split()])
+    tokens = line.split()
+    return " ".join(tokens if _DIGITS.isdisjoint(line) else [t if _DIGITS.isdisjoint(t) else "*" for t in tokens])
 
 
 def slots(line: str) -> list[str]:
@@ -59,7 +61,7 @@ def slots(line: str) -> list[str]:
 
 def is_latin_filler(line: str) -> bool:
     low = line.lower()
-    if LATIN_FILLER.isdisjoint(t.strip(".,;:!?()") for t in low.split()):
+    if LATIN_FILLER.isdisjoint(low.translate(_MARKS).split()):
         return False
     words = WORDS.findall(low)
     return len(words) >= 5 and sum(w in LATIN_FILLER for w in words) >= 0.8 * len(words)
@@ -151,7 +153,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, line in enumerate(lines):
                 kept = shapes_of.get(line)
                 if kept is None:
-                    s = slots(line)
+                    s = slots(line) if c[i] & (B.CONTENT | B.SENTENCE) == B.CONTENT else []  # a line with a slot reads as one that stands in
                     # a line that can't stand alone is no message; it is judged by what it says
                     masked = shape(line) if len(line) <= ALONE else line if listed(line) else ""
                     d = xxhash.xxh64_intdigest(masked.encode("utf-8", "surrogatepass")) - (1 << 63) if masked else 0
