@@ -159,9 +159,6 @@ def html_links(spark, t):
     return html.pages(raw).select("page_id", F.array_join("pdf_links", " ").alias("pdfs"))
 
 
-_PAGES = """(SELECT r.url, r.brand, r.model, p.page_id FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq) AS n FROM search_results WHERE url IS NOT NULL) r JOIN scraped_pages p ON p.url = r.url WHERE r.n = 1 AND length(p.text_content) > 100)"""
-
-
 @query("WITH every AS (SELECT seq, url, brand, model FROM search_results UNION ALL SELECT 1000000000 + page_id, url, 'B', 'M' FROM scraped_pages WHERE url IS NOT NULL), r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq) AS n FROM every WHERE url IS NOT NULL) SELECT r.url, r.brand, r.model, p.page_id FROM r JOIN scraped_pages p ON p.url = r.url WHERE r.n = 1 AND length(p.text_content) > 100")
 def scraping_phase(spark, t):
     """Fetched pages with the machine that their address was found for."""
