@@ -370,10 +370,10 @@ def _aligned(batches: Iterator[pd.DataFrame], near: int) -> Iterator[pd.DataFram
         for i, p in enumerate(block):
             if not p.own:
                 continue
-            lines, hit = list(p.forms), np.zeros(len(p.forms), bool)
+            lines, hit = p.forms, np.zeros(len(p.forms), bool)
             beside = [q for q in block[max(0, i - near) : i] + block[i + 1 : i + 1 + near] if q.host == p.host]
             for q in beside:
-                hit |= np.array(common_lines(lines, list(q.forms)), bool)
+                hit |= np.array(common_lines(lines, q.forms), bool)
             rows.append((p.host, p.body, bool(beside), p.start, p.forms, hit))
         return pd.DataFrame(rows, columns=["host", "body", "beside", "start", "forms", "shared"])
 
@@ -383,7 +383,7 @@ def _aligned(batches: Iterator[pd.DataFrame], near: int) -> Iterator[pd.DataFram
             if block and row.block != block[0].block:
                 yield done(block)
                 block = []
-            block.append(row)
+            block.append(row._replace(forms=row.forms.tolist()))  # once, and not for every neighbour
     yield done(block)
 
 
