@@ -155,12 +155,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if kept is None:
                     s = slots(line) if c[i] & (B.CONTENT | B.SENTENCE) == B.CONTENT else []  # a line with a slot reads as one that stands in
                     # a line that can't stand alone is no message; it is judged by what it says
-                    masked = shape(line) if len(line) <= ALONE else line if listed(line) else ""
+                    said = listed(line) if len(line) > ALONE else ""
+                    masked = shape(line) if len(line) <= ALONE else line if said else ""
                     d = xxhash.xxh64_intdigest(masked.encode("utf-8", "surrogatepass")) - (1 << 63) if masked else 0
                     kept = shapes_of[line] = (d, s[0] if s else None)
                     if masked and d not in seen:
                         seen.add(d)
-                        fresh.append((d, path_of(masked), masked, listed(masked)))
+                        fresh.append((d, path_of(masked), masked, said if len(line) > ALONE else listed(masked)))
                 digests.append(kept[0])
                 if kept[1] is not None:
                     found.append({"at": i, "slot": kept[1]})
@@ -234,14 +235,15 @@ class Mined:
         parts = max(2 * scanned.sparkSession.sparkContext.defaultParallelism, scanned.count() // 50_000)
         counted = self.lines.groupBy("shape").agg(F.count("*").alias("lines"), F.count_if("alone").alias("alone"), F.count_if("content").alias("content"))
         known = scanned.where("shape is not null")
-        placed = known.select("shape", "leaf").distinct().join(counted, "shape")
-        if not tree:  # every shape a template of its own that nothing is known of
-            placed = placed.withColumn("leaf", F.col("shape")).withColumn("alone", F.lit(0).cast("bigint"))
-        # a path on which no line ever stands alone holds no notice; its shapes are judged by what they say
-        open_ = placed.groupBy("leaf").agg(F.max("alone").alias("some")).where("some > 0").select("leaf")
-        sizes = placed.join(open_, "leaf", "left_semi").select("shape", "lines", "alone", "content")
-        texts = known.select("shape", "leaf", "masked").join(open_, "leaf", "left_semi").dropDuplicates(["shape"])
-        shapes = texts.join(sizes, "shape").select("shape", "leaf", "masked", "lines", "alone", "content").repartition(parts, "leaf").sortWithinPartitions("leaf", "masked")
+        if tree:
+            # a path on which no line ever stands alone holds no notice; its shapes are judged by what they say
+            lone = self.lines.where("alone").select("shape").distinct()
+            open_ = known.select("shape", "leaf").join(lone, "shape", "left_semi").select("leaf").distinct()
+            texts = known.select("shape", "leaf", "masked").join(open_, "leaf", "left_semi").dropDuplicates(["shape"])
+            shapes = texts.join(counted, "shape")
+        else:  # every shape a template of its own that nothing is known of
+            shapes = known.select("shape", F.col("shape").alias("leaf"), "masked").dropDuplicates(["shape"]).join(counted.withColumn("alone", F.lit(0).cast("bigint")), "shape")
+        shapes = shapes.select("shape", "leaf", "masked", "lines", "alone", "content").repartition(parts, "leaf").sortWithinPartitions("leaf", "masked")
         mined = materialize(shapes.mapInPandas(_mined, _MINED), "mined")
         self.templates = mined.where("template is not null").drop("shape").mapInPandas(_classified, f"{_MINED.replace('shape bigint, ', '')}, verdict string")
         judged = self.templates.where("verdict != ''").select("leaf", "number", "template", "verdict")
