@@ -6,12 +6,14 @@ measurement: for a bounded sample of queries the true neighbours are searched am
 vectors, and the smallest number of lists that holds the wanted share of them is taken.
 Inside a list vectors are compared in column blocks after a random rotation: the distance
 over the first columns estimates the whole one, and a candidate is abandoned as soon as
-a test rejects that it could still be among the k nearest; the bound comes from a first
-pass over each query's own list. Survivors are compared in full, in double precision.
+a test rejects that it could still be among the k nearest; the bound comes from the
+query's own list, which is met first. Survivors are compared in full, in double precision.
 
 Equal vectors are one vector with a list of ids of which no more than k + 1 can matter.
-Lists are gathered into blocks of bounded size (a longer list is split), queries into
-packs of bounded size, and packs meet blocks in an equi-join.
+Lists are gathered into blocks of bounded size (a longer list is split), which are stored
+once in the shared folder. A task takes a pack of blocks as queries and reads one after
+the other the blocks that they probe, so that no query or vector is shuffled once for
+each block that it meets.
 """
 
 from __future__ import annotations
@@ -22,15 +24,21 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, tune
+from ..session import materialize, stored, tune
 
-#: Vectors that centroids are fitted on, queries that the number of probes is measured with, vectors in a block, queries in a pack.
-FIT_ROWS, MEASURE_ROWS, BLOCK_ROWS, PACK_ROWS = 16_384, 256, 4096, 2048
+#: Vectors that centroids are fitted on, queries that the number of probes is measured with, most vectors in a block, most queries in a pack.
+FIT_ROWS, MEASURE_ROWS, BLOCK_ROWS, PACK_ROWS = 16_384, 256, 4096, 8192
+#: Vectors that a block may be cut down to so that all cores have one, and pairs that are compared at once.
+LEAST_ROWS, CELLS = 512, 1 << 21
 #: Width of a column block, and the significance of the test that abandons candidates.
 COLUMNS, EPSILON = 16, 2.1
+#: What squared distances of unit vectors lose in 4-byte floats is less.
+SLACK = 1e-5
 MOST_LISTS = 2048
 
 
@@ -91,71 +99,123 @@ def top(sims: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
     return np.take_along_axis(at, order, 1), np.take_along_axis(s, order, 1)
 
 
-def _scan_list(q, qr, x, xr, bound, self_at):
-    """Similarities of queries to a list's vectors, -inf where abandoned. bound: the squared distance of each query's kth so far."""
+def _scan_list(q, x, qq, xx, bound):
+    """(i, j) of the queries and a list's vectors that no test rejects.
+
+    q, x: rotated vectors as 4-byte floats; qq, xx: their squared norms by column block;
+    bound: the squared distance of each query's kth so far. What passes all tests has a
+    distance within the bound but for the rounding of 4-byte floats, which SLACK allows for.
+    """
     dims = q.shape[1]
-    partial, alive = np.zeros((len(q), len(x))), None
-    for d in range(COLUMNS, dims, COLUMNS):
-        a, b = qr[:, d - COLUMNS : d], xr[:, d - COLUMNS : d]
-        if alive is None or len(alive[0]) * 3 > partial.size:
-            partial += (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
-            alive = np.nonzero(partial * (dims / d) <= bound[:, None] * (1 + EPSILON / np.sqrt(d)) ** 2)
-            dist = None
+    dist, alive = np.zeros((len(q), len(x)), np.float32), None
+    for n, d in enumerate(range(COLUMNS, dims + COLUMNS, COLUMNS)):
+        a, b = q[:, d - COLUMNS : d], x[:, d - COLUMNS : d]
+        most = bound + SLACK if d >= dims else bound * (d / dims) * (1 + EPSILON / np.sqrt(d)) ** 2 + SLACK
+        most = most.astype(np.float32)
+        if alive is None:
+            part = a @ b.T
+            part *= -2
+            part += qq[:, n, None]
+            part += xx[None, :, n]
+            dist += part
+            ok = dist <= most[:, None]
+            if d >= dims or np.count_nonzero(ok) * 8 < ok.size:
+                alive = np.nonzero(ok)
+                dist = dist[alive]
         else:
             i, j = alive
-            dist = (partial[i, j] if dist is None else dist) + ((a[i] - b[j]) ** 2).sum(1)
-            ok = dist * (dims / d) <= bound[i] * (1 + EPSILON / np.sqrt(d)) ** 2
+            dist = dist + qq[i, n] + xx[j, n] - 2 * np.einsum("nd,nd->n", a[i], b[j])
+            ok = dist <= most[i]
             alive, dist = (i[ok], j[ok]), dist[ok]
-    sims = np.full((len(q), len(x)), -np.inf)
-    i, j = np.nonzero(np.ones(sims.shape, bool)) if alive is None else alive
-    if len(i) * 3 > sims.size:
-        sims = q @ x.T
-    elif len(i):
-        sims[i, j] = np.einsum("nd,nd->n", q[i], x[j])
-    if self_at is not None:
-        sims[self_at] = -np.inf
-    return sims
-
-
-def _scan(batches: Iterator[pd.DataFrame], dims: int, k: int) -> Iterator[pd.DataFrame]:
-    """Per query of a pack its k best in a block: (id, near, sim)."""
+    return alive
+
+
+def _merge(best_s, best_i, i, s, near):
+    """Put candidates (query, similarity, id) among the best of their queries, equal similarities by id."""
+    k = best_s.shape[1]
+    rows, who = np.unique(i, return_inverse=True)
+    who = np.concatenate((np.repeat(np.arange(len(rows)), k), who))
+    sims, ids = np.concatenate((best_s[rows].ravel(), s)), np.concatenate((best_i[rows].ravel(), near))
+    order = np.lexsort((-sims, who))
+    w, v = who[order], sims[order]
+    if ((w[1:] == w[:-1]) & (v[1:] == v[:-1]) & np.isfinite(v[1:])).any():
+        order = np.lexsort((pd.factorize(ids, sort=True)[0], -sims, who))
+    at = order[np.searchsorted(w, np.arange(len(rows)))[:, None] + np.arange(k)]
+    best_s[rows], best_i[rows] = sims[at], ids[at]
+
+
+def _read(folder: str, group: int, part: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Ids in order, lists and vectors of a stored block; nothing where it holds no row."""
+    fs, path = pafs.FileSystem.from_uri(folder)
+    found = fs.get_file_info(pafs.FileSelector(f"{path}/group={group}/part={part}", allow_not_found=True))
+    tables = [pq.ParquetFile(fs.open_input_file(f.path)).read() for f in found if f.path.endswith(".parquet")]
+    if not tables:
+        return np.zeros(0, object), np.zeros(0, np.int32), []
+    t = pa.concat_tables(tables).combine_chunks()
+    ids = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in t["tid"].chunks]).astype(object)
+    lists = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in t["tlist"].chunks])
+    e = [v for c in t["te"].chunks for v in c.flatten().to_pylist()]
+    order = np.argsort(ids, kind="stable")
+    return ids[order], lists[order], [e[n] for n in order]
+
+
+def _search(units: list[tuple[int, int]], blocks: dict[int, tuple[np.ndarray, int]], folder: str, centroids: np.ndarray, probes: int, dims: int, k: int) -> pd.DataFrame:
+    """The k best of the vectors of some blocks among those of the lists that each probes: (id, near, sim)."""
     rot = rotation(dims)
-    for b in batches:
-        for row in b.itertuples(index=False):
-            xid, xl = np.asarray(row.tid, object), np.asarray(row.tlist, np.int64)
-            order = np.argsort(xid, kind="stable")
-            xid, xl = xid[order], xl[order]
-            x = unit(bytes(row.te), dims)[order]
-            qid, bound0 = np.asarray(row.qid, object), np.asarray(row.bound, float)
-            q = unit(bytes(row.qe), dims)
-            xr, qr = x @ rot, q @ rot
-            where = {v: n for n, v in enumerate(xid)}
-            probed = [np.asarray(p, np.int64) for p in row.lists]
-            best_s = np.full((len(q), k), -np.inf)
-            best_i = np.full((len(q), k), -1)
-            who = np.concatenate([np.full(len(p), n) for n, p in enumerate(probed)]) if probed else np.zeros(0, int)
-            what = np.concatenate(probed) if probed else np.zeros(0, int)
+    turned = lambda v: (v @ rot).astype(np.float32)
+    squares = lambda v: np.stack([(c * c).sum(1) for c in (v[:, d : d + COLUMNS] for d in range(0, dims, COLUMNS))], axis=1)
+    parts = [_read(folder, g, p) for g, p in units]
+    qid = np.concatenate([i for i, _, _ in parts])
+    if not len(qid):
+        return pd.DataFrame({"id": [], "near": [], "sim": []})
+    home = np.bincount(np.concatenate([l for _, l, _ in parts]), minlength=len(centroids))
+    q = unit([v for _, _, e in parts for v in e], dims)
+    probed = np.zeros((len(q), len(centroids)), bool)
+    for at in range(0, len(q), 1024):
+        near = np.argsort(-(q[at : at + 1024] @ centroids.T), axis=1, kind="stable")[:, :probes]
+        np.put_along_axis(probed[at : at + 1024], near, True, 1)
+    qr = turned(q)
+    qq = squares(qr)
+    best_s, best_i = np.full((len(q), k), -np.inf), np.full((len(q), k), "", object)
+    asked = probed.sum(0)
+    # the blocks that the queries come from stand first, so that the others meet a bound
+    for g in sorted(blocks, key=lambda g: -int(home[blocks[g][0]].sum())):
+        if not asked[blocks[g][0]].any():
+            continue
+        for part in range(blocks[g][1]):
+            xid, xl, e = _read(folder, g, part)
+            if not len(xid):
+                continue
+            x = unit(e, dims)
+            xr = turned(x)
+            xx = squares(xr)
+            waiting = []
             for l in np.unique(xl):
-                cols = np.flatnonzero(xl == l)
-                rows = who[what == l]
-                if not len(rows):
-                    continue
-                own = np.array([where.get(v, -1) for v in qid[rows]])
-                at = np.searchsorted(cols, own)
-                hit = (own >= 0) & (at < len(cols))
-                hit[hit] = cols[at[hit]] == own[hit]
-                bound = np.minimum(bound0[rows], np.where(np.isfinite(best_s[rows, -1]), 2 - 2 * best_s[rows, -1], np.inf))
-                sims = _scan_list(q[rows], qr[rows], x[cols], xr[cols], bound, (np.flatnonzero(hit), at[hit]))
-                both = np.concatenate((best_s[rows], sims), axis=1)
-                idx = np.concatenate((best_i[rows], np.broadcast_to(cols, sims.shape)), axis=1)
-                if both.shape[1] > 64:
-                    keep, _ = top(sims, None, k)
-                    both = np.concatenate((best_s[rows], np.take_along_axis(sims, keep, 1)), axis=1)
-                    idx = np.concatenate((best_i[rows], cols[keep]), axis=1)
-                o = np.lexsort((idx, -both), axis=1)[:, :k]
-                best_s[rows], best_i[rows] = np.take_along_axis(both, o, 1), np.take_along_axis(idx, o, 1)
-            n, c = np.nonzero(np.isfinite(best_s))
-            yield pd.DataFrame({"id": qid[n], "near": xid[best_i[n, c]], "sim": best_s[n, c]})
+                cols, rows = np.flatnonzero(xl == l), np.flatnonzero(probed[:, l])
+                for at in range(0, len(rows), step := max(1, CELLS // len(cols))):
+                    r = rows[at : at + step]
+                    full = np.isfinite(best_s[r, -1])
+                    new, old = r[~full], r[full]
+                    if len(new):
+                        sims = q[new] @ x[cols].T
+                        sims[qid[new][:, None] == xid[cols][None, :]] = -np.inf
+                        c, s = top(sims, None, k)
+                        n, m = np.nonzero(np.isfinite(s))
+                        i, j = new[n], cols[c[n, m]]
+                        _merge(best_s, best_i, i, np.einsum("nd,nd->n", q[i], x[j]), xid[j])
+                    if len(old):
+                        i, j = _scan_list(qr[old], xr[cols], qq[old], xx[cols], 2 - 2 * best_s[old, -1])
+                        waiting.append((old[i], cols[j]))
+            if waiting:
+                i, j = (np.concatenate(w) for w in zip(*waiting))
+                other = qid[i] != xid[j]
+                i, j = i[other], j[other]
+                s = np.einsum("nd,nd->n", q[i], x[j])
+                ok = s >= best_s[i, -1]
+                if ok.any():
+                    _merge(best_s, best_i, i[ok], s[ok], xid[j[ok]])
+    n, c = np.nonzero(np.isfinite(best_s))
+    return pd.DataFrame({"id": qid[n], "near": best_i[n, c], "sim": best_s[n, c]})
 
 
 def _bisect(c: np.ndarray, sizes: np.ndarray, lists: np.ndarray, most: int, out: list) -> None:
@@ -197,46 +257,44 @@ def nearest(chunks: DataFrame, k: int = 5, dims: int = 64, recall: float = 0.998
     def assign(batches):
         for b in batches:
             v = unit(b["e"].map(bytes).tolist(), dims)
-            near = np.argsort(-(v @ centroids.T), axis=1, kind="stable")[:, :probes]
-            yield pd.DataFrame({"id": b["id"], "e": b["e"], "list": near[:, 0].astype("int32"), "lists": list(near.astype("int32"))})
+            yield pd.DataFrame({"id": b["id"], "e": b["e"], "list": (v @ centroids.T).argmax(1).astype("int32")})
 
-    listed = materialize(heads.select("id", "e").mapInPandas(assign, "id string, e binary, list int, lists array<int>"), "listed")
+    listed = heads.select("id", "e").mapInPandas(assign, "id string, e binary, list int")
     sizes = np.zeros(lists, np.int64)
     for r in listed.groupBy("list").count().collect():  # one row per list
         sizes[r["list"]] = r["count"]
+    cores = spark.sparkContext.defaultParallelism
+    rows_a_block = int(np.clip(n // (4 * cores), LEAST_ROWS, BLOCK_ROWS))
     groups: list[np.ndarray] = []
-    _bisect(centroids, sizes, np.arange(lists), BLOCK_ROWS, groups)
-    rows = [(int(l), g, int(max(1, -(-int(sizes[m].sum()) // BLOCK_ROWS)))) for g, m in enumerate(groups) for l in m]
-    where = F.broadcast(spark.createDataFrame(rows, "list int, group int, parts int"))
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    vectors = listed.select("id", "e", "list").join(where, "list").withColumn("part", part)
-    blocks = vectors.groupBy("group", "part").agg(F.collect_list(F.struct("id", "list", "e")).alias("t"))
-    blocks = blocks.select("group", "part", F.col("t.id").alias("tid"), F.col("t.list").alias("tlist"), F.col("t.e").alias("te"))
-
-    def scan(queries: DataFrame, total: int) -> DataFrame:
-        """queries(id, e, bound, list): one row per probed list."""
-        packs = max(1, -(-total // PACK_ROWS))
-        routed = queries.join(where, "list").groupBy("group", "id").agg(F.first("e").alias("e"), F.first("bound").alias("bound"), F.first("parts").alias("parts"), F.collect_list("list").alias("lists"))
-        pack = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(packs)).alias("pack")
-        packed = routed.groupBy("group", "parts", pack).agg(F.collect_list(F.struct("id", "e", "bound", "lists")).alias("q"))
-        packed = packed.select("group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("q.id").alias("qid"), F.col("q.e").alias("qe"), F.col("q.bound").alias("bound"), F.col("q.lists").alias("lists"))
-        joined = packed.join(blocks, ["group", "part"]).select("tid", "tlist", "te", "qid", "qe", "bound", "lists")
-        return joined.mapInPandas(lambda it: _scan(_bytes(it), dims, k), "id string, near string, sim double")
-
-    def best(found: DataFrame) -> DataFrame:
-        """(id, near: array of (sim, near) best first)."""
-        order = F.array_sort(F.collect_set(F.struct((-F.col("sim")).alias("s"), "near")))
-        return found.groupBy("id").agg(F.slice(order, 1, k).alias("near"))
-
-    home = materialize(scan(listed.select("id", "e", F.lit(float("inf")).alias("bound"), "list"), n), "home")
-    bound = home.groupBy("id").agg(F.count("*").alias("c"), F.min("sim").alias("kth"))
-    rest = listed.withColumn("more", F.slice("lists", 2, max(1, probes))).where(F.size("more") > 0)
-    rest = rest.join(bound, "id", "left").select("id", "e", F.when(F.col("c") >= k, 2 - 2 * F.col("kth") + 1e-9).otherwise(float("inf")).alias("bound"), F.explode("more").alias("list"))
-    near = best(home.unionByName(scan(rest, n)))
+    _bisect(centroids, sizes, np.arange(lists), rows_a_block, groups)
+    blocks = {g: (m, int(max(1, -(-int(sizes[m].sum()) // rows_a_block)))) for g, m in enumerate(groups)}
+    where = F.broadcast(spark.createDataFrame([(int(l), g, parts) for g, (m, parts) in blocks.items() for l in m], "list int, group int, parts int"))
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
+    vectors = listed.join(where, "list").select("id", "e", "list", "group", part)
+    gathered = vectors.groupBy("group", "part").agg(F.collect_list(F.struct("id", "list", "e")).alias("t"))
+    folder = stored(gathered.select("group", "part", F.col("t.id").alias("tid"), F.col("t.list").alias("tlist"), F.col("t.e").alias("te")), "blocks", "group", "part")
+    # queries are packs of blocks that lie together; a task reads the blocks that its pack probes from the shared folder
+    packs: list[list[tuple[int, int]]] = []
+    most, held = max(rows_a_block, min(PACK_ROWS, n // (3 * cores))), np.inf
+    for g, (m, parts) in blocks.items():
+        for p in range(parts):
+            size = sizes[m].sum() / parts
+            if held + size > most:
+                packs.append([])
+                held = 0
+            packs[-1].append((g, p))
+            held += size
+
+    def search(batches):
+        for b in batches:
+            for p in b["id"]:
+                yield _search(packs[p], blocks, folder, centroids, probes, dims, k)
+
+    # written, so that the planner takes its size from files and not from the few rows of packs
+    near = materialize(spark.range(0, len(packs), 1, len(packs)).mapInPandas(search, "id string, near string, sim double"), "near")
     # from vectors to chunks: a neighbour stands for its ids, a vector's own copies come first
     ids = heads.select("id", "ids")
-    one = near.select("id", F.explode("near").alias("x")).select("id", F.col("x.near").alias("near"), (-F.col("x.s")).alias("sim"))
-    spread = one.join(ids.select(F.col("id").alias("near"), "ids"), "near").groupBy("id").agg(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("sim")).alias("s"), i.alias("i"))))).alias("around"))
+    spread = near.join(ids.select(F.col("id").alias("near"), "ids"), "near").groupBy("id").agg(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("sim")).alias("s"), i.alias("i"))))).alias("around"))
     copies = ids.select("id", F.transform("ids", lambda i: F.struct(F.lit(-1.0).alias("s"), i.alias("i"))).alias("own"))
     none = F.filter("own", lambda _: F.lit(False))
     pool = copies.join(spread, "id", "left").select("id", F.array_sort(F.concat("own", F.coalesce("around", none))).alias("pool"))
@@ -245,14 +303,6 @@ def nearest(chunks: DataFrame, k: int = 5, dims: int = 64, recall: float = 0.998
     return mine.select("chunk_id", F.posexplode("top").alias("r", "p")).select("chunk_id", F.col("p.i").alias("near"), (-F.col("p.s")).alias("sim"), (F.col("r") + 1).alias("rank"))
 
 
-def _bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        b = b.copy()
-        for c in ("te", "qe"):
-            b[c] = b[c].map(lambda v: b"".join(bytes(x) for x in v))
-        yield b
-
-
 def true_nearest(vectors: DataFrame, queries: list[bytes], k: int, dims: int) -> np.ndarray:
     """The exact k nearest of a bounded set of queries among all vectors(e): their unit vectors, (queries, k, dims), NaN where there are fewer."""
     q = unit(queries, dims)

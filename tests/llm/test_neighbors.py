@@ -57,3 +57,40 @@ def test_many_equal_similarities():
     s[1, 50] = 1
     at, _ = N.top(s, None, 5)
     assert at[0].tolist() == [0, 1, 2, 3, 4] and at[1].tolist() == [50, 0, 1, 2, 3]
+
+
+def shuffled(spark):
+    """Bytes that the session's stages have written to shuffles."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), spark.sparkContext._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_vectors_are_not_shuffled_once_for_each_block_that_they_meet(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 128)
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((4000, 64)).astype("float32")
+    ids = [f"c{i:04d}" for i in range(4000)]
+    df = frame(spark, [(i, [float(v) for v in r]) for i, r in zip(ids, x)])
+    before = shuffled(spark)
+    got = {}
+    for r in N.nearest(df, 5, 64, 1.0, lists=60).collect():  # isotropic: nearly all lists are probed
+        got.setdefault(r.chunk_id, set()).add(r.near)
+    assert shuffled(spark) - before < 10 * x.nbytes
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    true = np.argsort(-s, axis=1)[:, :5]
+    assert sum(len(got[i] & {ids[j] for j in t}) for i, t in zip(ids, true)) >= 0.99 * 5 * 4000
+
+
+def test_a_list_longer_than_a_block_is_read_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 50)
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((300, 16)).astype("float32")
+    ids = [f"c{i:04d}" for i in range(300)]
+    got = {}
+    for r in N.nearest(frame(spark, [(i, [float(v) for v in r]) for i, r in zip(ids, x)]), 5, 16, lists=1).collect():
+        got.setdefault(r.chunk_id, {})[r["rank"]] = r.near
+    true = brute(ids, x, 5)
+    assert sum(len(set(got[i].values()) & set(true[i])) for i in ids) >= 0.97 * 5 * 300
