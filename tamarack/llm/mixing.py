@@ -6,7 +6,9 @@ the total) and to its number of documents (so that short texts aren't favoured).
 method solves the convex dual: each iteration is one distributed aggregation over a
 histogram of sizes, which is built with partial sums; the driver holds two numbers per
 row of the target table. Rates are rounded to copies systematically along the sizes, in
-buckets of bounded length.
+buckets of bounded length. Flat rates solve the first problem; what rounding them misses
+of a source's tokens is asked for again with the number of copies that it gave, which tilts
+the rates by size; of some rounds those rates are kept whose copies come nearest to the share.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from ..session import materialize
 from .encoding import tokenizer, vocabulary_dir
 
 ITERATIONS, CLOSE, BUCKET = 60, 1e-9, 10_000
+#: Rounds in which what rounding missed is asked for again, Newton steps in one, and the part of its tokens that a source may miss without another.
+ROUNDS, STEPS, NEAR = 4, 12, 1e-3
 
 
 def _counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -38,12 +42,12 @@ def token_counts(documents: DataFrame, path: str | None = None) -> DataFrame:
     return documents.select("doc_id", "source", "text").mapInArrow(lambda it: _counted(it, path), "doc_id bigint, source string, tokens bigint")
 
 
-def _solve(hist: DataFrame, goals: dict[tuple[str, str], tuple[float, float, float, float, float]]) -> dict[tuple[str, str], tuple[float, float]]:
-    """(a, b) of each (mix, source); goals: documents and tokens wanted, cap, mean size, rate to start from. One aggregation over the histogram an iteration; rates that don't converge are an error and never used."""
+def _solve(hist: DataFrame, goals: dict[tuple[str, str], tuple[float, float, float, float, float]], most: int | None = None) -> dict[tuple[str, str], tuple[float, float]]:
+    """(a, b) of each (mix, source); goals: documents and tokens wanted, cap, mean size, rate to start from. One aggregation over the histogram an iteration; rates that don't converge are an error, or left out where ``most`` names the number of iterations, and never used."""
     spark = hist.sparkSession
     par = {k: np.array([np.log(start), 0.0]) for k, (_, _, _, _, start) in goals.items()}
     todo = set(goals)
-    for _ in range(ITERATIONS):
+    for _ in range(ITERATIONS if most is None else most):
         if not todo:
             break
         rows = [(m, s, float(par[m, s][0]), float(par[m, s][1]), goals[m, s][2], goals[m, s][3]) for m, s in sorted(todo)]
@@ -65,13 +69,13 @@ def _solve(hist: DataFrame, goals: dict[tuple[str, str], tuple[float, float, flo
             hess = np.array([[r.f0, r.f1], [r.f1, r.f2]]) + 1e-12 * np.eye(2) * (1 + r.f2)
             step = np.linalg.lstsq(hess, gap, rcond=1e-10)[0]
             par[k] = par[k] + step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
-    if todo:
+    if todo and most is None:
         raise RuntimeError(f"rates of {sorted(todo)} haven't converged in {ITERATIONS} iterations")
-    return {k: (float(v[0]), float(v[1])) for k, v in par.items()}
+    return {k: (float(v[0]), float(v[1])) for k, v in par.items() if k not in todo}
 
 
 def plan(counts: DataFrame, targets: DataFrame, total_tokens: dict[str, float] | None = None) -> list[tuple]:
-    """Rows (mix, source, share, effective share, cap, a, b, rate, buckets) for the target table's rows.
+    """Rows (mix, source, share, effective share, cap, a, b, mean size, buckets) for the target table's rows.
 
     A mix's total is the largest at which every source that has tokens meets its share within
     its cap, unless ``total_tokens`` gives it; then sources fall short where their cap binds.
@@ -100,12 +104,51 @@ def plan(counts: DataFrame, targets: DataFrame, total_tokens: dict[str, float] |
             else:
                 goals[mix, s] = (want / tokens * docs, want, cap, tokens / docs, min(want / tokens, cap * 0.999))
     solved = _solve(hist, goals) | fixed
-    return [(m, s, share, eff, int(cap), *solved.get((m, s), (-1e9, 0.0)), have[s][1] / have[s][0] if s in have else 1.0, max(1, have[s][0] // BUCKET) if s in have else 1) for m, s, share, eff, cap in known]
+
+    def rows_of(rates):
+        return [row(m, s, share, eff, cap, rates) for m, s, share, eff, cap in known]
+
+    row = lambda m, s, share, eff, cap, rates: (m, s, share, eff, int(cap), *rates.get((m, s), (-1e9, 0.0)), have[s][1] / have[s][0] if s in have else 1.0, max(1, have[s][0] // BUCKET) if s in have else 1)
+    aims, missed, open_ = {k: np.array(g[:2]) for k, g in goals.items()}, {k: np.inf for k in goals}, dict(goals)
+    tried = dict(solved)
+    for n in range(ROUNDS + 1):
+        if not open_:
+            break
+        now = counts.sparkSession.createDataFrame([r for r in rows_of(tried) if r[:2] in open_], PLAN)
+        sums = _rounded(counts, now).groupBy("mix_name", "source").agg(F.sum("copies").alias("docs"), F.sum(F.col("copies") * F.col("tokens")).alias("tokens"))
+        got = {(r.mix_name, r.source): np.array([r.docs, r.tokens], float) for r in sums.collect()}  # as many rows as the target table
+        for k in list(open_):
+            gap = np.array(goals[k][:2]) - got.get(k, 0.0)
+            if (miss := abs(gap[1]) / goals[k][1]) < missed[k]:
+                missed[k], solved[k] = miss, tried[k]
+            # as many documents as were got, so that their number doesn't jump, of other sizes
+            aims[k] = np.array([goals[k][0] - gap[0], aims[k][1] + gap[1]])
+            if missed[k] <= NEAR or (aims[k] <= 0).any():
+                del open_[k]
+        if n < ROUNDS and open_:
+            again = _solve(hist, {k: (*map(float, aims[k]), *goals[k][2:]) for k in open_}, STEPS)
+            open_ = {k: g for k, g in open_.items() if k in again}
+            tried = {**tried, **again}
+    return rows_of(solved)
 
 
 PLAN = "mix_name string, source string, target_share double, effective_share double, max_repeats int, a double, b double, mean double, buckets bigint"
 
 
+def _rounded(counts: DataFrame, planned: DataFrame) -> DataFrame:
+    """(mix_name, doc_id, source, tokens, copies >= 1) by the rates of planned."""
+    rate = F.least(F.exp(F.least(F.col("a") + F.col("b") * F.col("tokens") / F.col("mean"), F.lit(60.0))), F.col("max_repeats").cast("double"))
+    rated = counts.where("tokens > 0").join(F.broadcast(planned), "source").withColumn("rate", rate).where("rate > 0")
+    whole = F.floor(F.col("rate") + 1e-9)
+    h = F.xxhash64("mix_name", "doc_id")
+    rated = rated.withColumn("whole", whole).withColumn("rest", F.greatest(F.col("rate") - whole, F.lit(0.0))).withColumn("h", h).withColumn("bucket", F.pmod(h, F.col("buckets")))
+    # systematic rounding: a document gets one more where the running sum of the rests passes a whole number
+    along = Window.partitionBy("mix_name", "source", "bucket").orderBy("tokens", "h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = F.sum("rest").over(along) + F.lit(0.5)
+    copies = (F.col("whole") + F.when(F.floor(run) > F.floor(run - F.col("rest")), 1).otherwise(0)).cast("int")
+    return rated.select("mix_name", "doc_id", "source", "tokens", copies.alias("copies")).where("copies > 0")
+
+
 def mix(documents: DataFrame, targets: DataFrame, path: str | None = None, total_tokens: dict[str, float] | None = None) -> tuple[DataFrame, DataFrame]:
     """(copies, shares) of documents(doc_id, source, text) mixed to targets(mix_name, source, target_share, max_repeats).
 
@@ -117,17 +160,7 @@ def mix(documents: DataFrame, targets: DataFrame, path: str | None = None, total
     spark = documents.sparkSession
     counts = materialize(token_counts(documents, path), "tokens")
     planned = spark.createDataFrame(plan(counts, targets, total_tokens), PLAN)
-    rate = F.least(F.exp(F.least(F.col("a") + F.col("b") * F.col("tokens") / F.col("mean"), F.lit(60.0))), F.col("max_repeats").cast("double"))
-    rated = counts.where("tokens > 0").join(F.broadcast(planned), "source").withColumn("rate", rate).where("rate > 0")
-    whole = F.floor(F.col("rate") + 1e-9)
-    h = F.xxhash64("mix_name", "doc_id")
-    rated = rated.withColumn("whole", whole).withColumn("rest", F.greatest(F.col("rate") - whole, F.lit(0.0))).withColumn("h", h).withColumn("bucket", F.pmod(h, F.col("buckets")))
-    # systematic rounding: a document gets one more where the running sum of the rests passes a whole number
-    along = Window.partitionBy("mix_name", "source", "bucket").orderBy("tokens", "h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offset = F.lit(0.5)
-    run = F.sum("rest").over(along) + offset
-    copies = (F.col("whole") + F.when(F.floor(run) > F.floor(run - F.col("rest")), 1).otherwise(0)).cast("int")
-    chosen = materialize(rated.select("mix_name", "doc_id", "source", "tokens", copies.alias("copies")).where("copies > 0"), "copies")
+    chosen = materialize(_rounded(counts, planned), "copies")
     got = chosen.groupBy("mix_name", "source").agg(F.count("*").alias("documents"), F.sum("copies").alias("copies"), F.sum(F.col("copies") * F.col("tokens")).alias("tokens"))
     sums = got.groupBy("mix_name").agg(F.sum("tokens").alias("total"))
     shares = (

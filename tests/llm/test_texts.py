@@ -124,6 +124,23 @@ def test_newton_keeps_tokens_and_documents(spark):
     assert b > 0 and sum(rates) == pytest.approx(want_docs, rel=1e-6) and sum(r * (1 + i % 50) for i, r in enumerate(rates)) == pytest.approx(want_tokens, rel=1e-6)
 
 
+def test_what_rounding_misses_tilts_the_rates(spark, monkeypatch):
+    rng = random.Random(3)
+    docs = documents(spark, {**{s: [int(20 * 1.08 ** rng.randint(0, 40)) for _ in range(50)] for s in "abcd"}, "z": [40] * 300})
+    targets = spark.createDataFrame([*(("m", s, 0.1, 3) for s in "abcd"), ("m", "z", 0.6, 1)], "mix_name string, source string, target_share double, max_repeats int")
+    counts = M.token_counts(docs, VOCABULARY).localCheckpoint()
+
+    def missed():
+        planned = M.plan(counts, targets)
+        got = {r.source: r.t for r in M._rounded(counts, spark.createDataFrame(planned, M.PLAN)).selectExpr("source", "copies * tokens as t").groupBy("source").sum("t").toDF("source", "t").collect()}
+        return sum(abs(got[s] / (got["z"] / 6) - 1) for s in "abcd"), [r[6] for r in planned]
+
+    now, tilts = missed()
+    monkeypatch.setattr(M, "ROUNDS", 0)
+    flat, none = missed()
+    assert any(tilts) and not any(none) and now < 0.8 * flat
+
+
 def test_rates_that_do_not_converge_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(M, "ITERATIONS", 0)
     docs = documents(spark, {"a": [10, 200, 3000] * 20, "b": [50] * 60})
